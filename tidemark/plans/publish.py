@@ -1,0 +1,69 @@
+"""Replacing written tables so that an interrupted run can be repeated.
+
+A result is first written in full beside the table. Its success marker then means "to be
+published", and publishing can be repeated from the staged files until it is through.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+STAGED = "__staged"
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    file_system, hadoop_path = _file_system(spark, path)
+    return file_system.exists(hadoop_path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    file_system, hadoop_path = _file_system(spark, path)
+    file_system.delete(hadoop_path, True)
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    file_system, old_path = _file_system(spark, old)
+    if not file_system.rename(old_path, spark._jvm.org.apache.hadoop.fs.Path(new)):
+        raise OSError(f"could not rename {old} to {new}")
+
+
+def _is_pending(spark: SparkSession, path: str) -> bool:
+    return path_exists(spark, f"{path}{STAGED}/_SUCCESS")
+
+
+def replace_table(df: DataFrame, path: str) -> None:
+    """Replace the whole table at `path`, which `df` may read."""
+    df.write.mode("overwrite").parquet(path + STAGED)
+    finish_replace(df.sparkSession, path)
+
+
+def finish_replace(spark: SparkSession, path: str) -> None:
+    """Publish a staged table, if one is pending."""
+    if _is_pending(spark, path):
+        _delete(spark, path)
+        _rename(spark, path + STAGED, path)
+
+
+def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
+    """Replace the partitions `df` holds rows of; leave the others alone.
+
+    The rebalance hint lets adaptive execution split a large day over several files and put
+    small days together.
+    """
+    (df.hint("rebalance", partition).write.mode("overwrite")
+       .partitionBy(partition).parquet(path + STAGED))
+    finish_partitions(df.sparkSession, path, partition)
+
+
+def finish_partitions(spark: SparkSession, path: str, partition: str) -> None:
+    """Publish staged partitions, if any are pending."""
+    if not _is_pending(spark, path):
+        return
+    (spark.read.parquet(path + STAGED).hint("rebalance", partition).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
+    _delete(spark, path + STAGED)
