@@ -11,16 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column, Window as W, functions as F
 
 
-def interval_steps(first: Column, last: Column, weight: Column,
-                   day: str = "day", change: str = "change") -> Column:
-    """Generator of the two steps of an interval; `last` NULL means without end.
+def step_pair(first: Column, last: Column, **weights: Column) -> Column:
+    """Array of the two steps of an interval; `last` NULL means without end.
 
-    The second step of an endless interval has a NULL day: filter it out.
+    Each keyword names a change and gives its weight. The second step of an endless interval
+    has a NULL day: filter it out.
     """
-    return F.inline(F.array(
-        F.struct(first.alias(day), weight.alias(change)),
-        F.struct(F.date_add(last, 1).alias(day), (-weight).alias(change)),
-    ))
+    return F.array(
+        F.struct(first.alias("day"), *[w.alias(n) for n, w in weights.items()]),
+        F.struct(F.date_add(last, 1).alias("day"), *[(-w).alias(n) for n, w in weights.items()]),
+    )
 
 
 def value_on_step(change: str, keys: list[str], day: str = "day") -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tidemark import columns as c
 from tidemark.columns import ACCOUNT, CALC_DATE, USER
-from tidemark.functions.steps import change_since_previous, interval_steps, value_on_step
+from tidemark.functions.steps import change_since_previous, step_pair, value_on_step
 from tidemark.functions.time import day_of
 
 OPEN_ACCOUNTS = "open_accounts"
@@ -63,29 +63,33 @@ def _user_steps(spans: DataFrame, transactions: DataFrame, window_days: int,
                 min_transactions: int | None) -> DataFrame:
     """Per user and day of change: open spans, open accounts and recent activity from then on.
 
-    Coverage and activity are step functions of the account, summed per day before they are
-    brought together, so neither long spans nor busy accounts or users multiply rows.
+    Coverage and activity are step functions of the account. They meet as two short lists per
+    account, of its spans (at most one per kept closure, so per day) and of its active days
+    (summed to one entry per day first): no list outgrows the calendar, and neither long spans
+    nor busy accounts or users multiply rows.
     """
-    coverage = (
-        spans.select(ACCOUNT, USER, interval_steps(
-            F.col("first_day"), F.col("last_day"), F.lit(1).cast("bigint"), change="d_spans"))
-        .filter(F.col("day").isNotNull())
-        .groupBy(ACCOUNT, USER, "day").agg(F.sum("d_spans").alias("d_spans"))
-    )
     counted = transactions.filter(F.col(c.TX_DATE).isNotNull())
     if min_transactions is not None:
         counted = counted.filter(F.col(c.TX_COUNT) >= min_transactions)
     activity = (
-        counted.groupBy(ACCOUNT, day_of(c.TX_DATE).alias("tx_day"))
+        counted.groupBy(ACCOUNT, day_of(c.TX_DATE).alias("day"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .join(coverage.select(ACCOUNT, USER).distinct(), ACCOUNT)
-        .select(ACCOUNT, USER, interval_steps(
-            F.col("tx_day"), F.date_add("tx_day", window_days), F.col("n"), change="d_recent"))
+        .groupBy(ACCOUNT).agg(F.collect_list(F.struct("day", "n")).alias("active_days"))
     )
-    nothing = F.lit(0).cast("bigint")
+    one, nothing = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     by_account = (
-        coverage.withColumn("d_recent", nothing)
-        .unionByName(activity.withColumn("d_spans", nothing))
+        spans.groupBy(ACCOUNT, USER)
+        .agg(F.collect_list(F.struct("first_day", "last_day")).alias("spans"))
+        .join(activity, ACCOUNT, "left")
+        .select(ACCOUNT, USER, F.inline(F.concat(
+            F.flatten(F.transform("spans", lambda s: step_pair(
+                s["first_day"], s["last_day"], d_spans=one, d_recent=nothing))),
+            F.flatten(F.transform(
+                F.coalesce("active_days", F.array()),
+                lambda a: step_pair(a["day"], F.date_add(a["day"], window_days),
+                                    d_spans=nothing, d_recent=a["n"]))),
+        )))
+        .filter(F.col("day").isNotNull())
         .groupBy(ACCOUNT, USER, "day")
         .agg(F.sum("d_spans").alias("d_spans"), F.sum("d_recent").alias("d_recent"))
     )

@@ -135,14 +135,15 @@ def with_closure_flag(status_rows: DataFrame) -> DataFrame:
     of their qualifying groups contributes one copy of every row, as a join on the account
     would. With unique account ids the factor is 1.
     """
-    owner = W.partitionBy(ACCOUNT, USER)
+    owner = W.partitionBy(ACCOUNT, USER).orderBy(c.CREATED, CLOSED)
+    whole_owner = owner.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     account = W.partitionBy(ACCOUNT)
     groups = F.when(F.col(ACCOUNT).isNotNull(), F.col("qualifying_groups")).otherwise(0)
     return (
         status_rows
         .withColumns({
-            "num_closures": F.count(CLOSED).over(owner),
-            "position": F.row_number().over(owner.orderBy(c.CREATED, CLOSED)),
+            "num_closures": F.count(CLOSED).over(whole_owner),
+            "position": F.row_number().over(owner),
         })
         .withColumns({
             "qualifying_groups": F.count_if(
@@ -151,7 +152,8 @@ def with_closure_flag(status_rows: DataFrame) -> DataFrame:
         })
         .withColumn(c.FLAG, F.when((groups > 0) & (F.col("unreopened") > 0), 1)
                     .otherwise(0).cast("bigint"))
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), groups.cast("int")))))
+        .withColumn("copy", F.explode(F.sequence(
+            F.lit(1), F.greatest(F.lit(1), groups.cast("int")))))
         .drop("num_closures", "position", "qualifying_groups", "unreopened", "copy")
     )
 
