@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark import columns as c
@@ -26,8 +27,22 @@ BASE_TABLES = {
 }
 
 
+def _read_stored(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
+    """The stored table with its day partition; without any partition yet, an empty table."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return spark.createDataFrame([], _stored_schema(contract))
+
+
+def _stored_schema(contract: T.StructType) -> T.StructType:
+    return T.StructType([*contract.fields, T.StructField(EVENT_DATE, T.DateType())])
+
+
 def read_base(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
-    return contracts.conform(spark.read.parquet(path), contract)
+    return contracts.conform(_read_stored(spark, path, contract), contract)
 
 
 def load_base(spark: SparkSession, source: DataFrame, path: str, contract: T.StructType,
@@ -38,18 +53,18 @@ def load_base(spark: SparkSession, source: DataFrame, path: str, contract: T.Str
     merge it by delete+insert into the days it covers, rewrite those days only, and return the
     batch.
     """
-    inc_source = contracts.conform(source, contract)
-    publish.finish_partitions(spark, path, EVENT_DATE)
+    incoming = contracts.conform(source, contract)
+    publish.finish_partitions(spark, path, EVENT_DATE, _stored_schema(contract))
     if not publish.path_exists(spark, path):
-        publish.replace_partitions(_with_date(inc_source, key), path, EVENT_DATE)
+        publish.replace_partitions(_with_date(incoming, key), path, EVENT_DATE)
         return None
-    stored = spark.read.parquet(path)
+    stored = _read_stored(spark, path, contract)
     contracts.require_same_columns(stored.drop(EVENT_DATE), contract)
     target = contracts.conform(stored, contract)
     start = inc.look_back_start(target, key, days)
     if start is None:
-        return inc_source.filter(F.lit(False))
-    batch = inc_source.filter(F.col(key) >= F.lit(start).cast("timestamp_ntz"))
+        return incoming.filter(F.lit(False))
+    batch = incoming.filter(F.col(key) >= F.lit(start).cast("timestamp_ntz"))
     recent = contracts.conform(
         stored.filter(F.col(EVENT_DATE) >= F.lit(start.date())), contract)
     merged = inc.delete_insert(recent, batch, [key], salts=inc.SALTS)

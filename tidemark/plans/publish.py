@@ -6,7 +6,7 @@ published", and publishing can be repeated from the staged files until it is thr
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 STAGED = "__staged"
 
@@ -57,13 +57,15 @@ def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
     """
     (df.hint("rebalance", partition).write.mode("overwrite")
        .partitionBy(partition).parquet(path + STAGED))
-    finish_partitions(df.sparkSession, path, partition)
+    finish_partitions(df.sparkSession, path, partition, df.schema)
 
 
-def finish_partitions(spark: SparkSession, path: str, partition: str) -> None:
+def finish_partitions(spark: SparkSession, path: str, partition: str,
+                      schema: T.StructType) -> None:
     """Publish staged partitions, if any are pending."""
     if not _is_pending(spark, path):
         return
-    (spark.read.parquet(path + STAGED).hint("rebalance", partition).write.mode("overwrite")
+    staged = spark.read.schema(schema).parquet(path + STAGED)
+    (staged.hint("rebalance", partition).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
     _delete(spark, path + STAGED)
