@@ -99,14 +99,14 @@ def _changed_rows(t: AccountTables) -> DataFrame:
 
 
 def _mart_literal(spark: SparkSession, folder: str) -> DataFrame:
-    t = read_account_tables(spark, folder)
+    t = _stored(read_account_tables(spark, folder))
     path = new_scratch_path(spark, "unified_accounts")
     loads.load_mart(spark, marts.unified_accounts(_first_run(t)), path)
     return loads.load_mart(spark, marts.unified_accounts(t), path)
 
 
 def _mart_rebuild(spark: SparkSession, folder: str) -> DataFrame:
-    t = read_account_tables(spark, folder)
+    t = _stored(read_account_tables(spark, folder))
     seen = _first_run(t)
     path = new_scratch_path(spark, "unified_accounts")
     loads.rebuild_touched(spark, seen, incremental.touched_accounts(seen.created), path)
@@ -117,20 +117,31 @@ def _mart_rebuild(spark: SparkSession, folder: str) -> DataFrame:
     return loads.rebuild_touched(spark, t, incremental.touched_accounts(*batches), path)
 
 
+def _stored(t: AccountTables) -> AccountTables:
+    """The sources as written tables, for queries that read them many times."""
+    return AccountTables(**{
+        "created": materialise(t.created, "account_created"),
+        "closed": materialise(t.closed, "account_closed"),
+        "reopened": materialise(t.reopened, "account_reopened"),
+        "transactions": materialise(t.transactions, "account_transactions"),
+    })
+
+
 def _published(t: AccountTables) -> dict[str, DataFrame]:
-    """Sources and published tables; the ones several checks read are written first."""
+    """The sources with the tables built on them, written because several checks read them."""
     kept = materialise(closures.latest_closure_per_day(t.closed), "deduplicated_closures")
-    t = AccountTables(t.created, kept, t.reopened, t.transactions)
-    unified = materialise(marts.unified_accounts(t), "unified_accounts")
-    rate = activity.active_user_rate(activity.open_spans(unified), t.transactions)
-    return {"deduplicated_closures": kept, "unified_accounts": unified,
-            "active_user_rate": materialise(rate, "active_user_rate")}
+    deduplicated = AccountTables(t.created, kept, t.reopened, t.transactions)
+    unified = materialise(marts.unified_accounts(deduplicated), "unified_accounts")
+    intervals = activity.open_intervals(activity.open_spans(unified))
+    rate = activity.active_user_rate(intervals, t.transactions)
+    return _by_name(t) | {
+        "deduplicated_closures": kept, "unified_accounts": unified,
+        "active_user_rate": materialise(rate, "active_user_rate")}
 
 
 def _check_not_null(t: AccountTables) -> DataFrame:
-    published = _published(t)
-    tables = _by_name(t) | {"unified": published["unified_accounts"],
-                            "rate": published["active_user_rate"]}
+    tables = _published(_stored(t))
+    tables |= {"unified": tables["unified_accounts"], "rate": tables["active_user_rate"]}
     return _union(
         quality.null_counts(tables[name], columns)
         .select(F.lit(name).alias("table_name"), "column_name", quality.FAILURES)
@@ -165,7 +176,18 @@ def _check_one_user(t: AccountTables) -> DataFrame:
 
 def _check_summary(t: AccountTables) -> DataFrame:
     declared = checks.source_checks() + checks.freshness_checks() + checks.mart_checks()
-    return checks.run_checks(_by_name(t) | _published(t), declared, as_of=RUN_AT)
+    return checks.run_checks(_published(_stored(t)), declared, as_of=RUN_AT)
+
+
+def _stored_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """Failing rows of the source checks, stored as tables and counted from there."""
+    t = _stored(read_account_tables(spark, folder))
+    paths = checks.store_failures(spark, _by_name(t), checks.source_checks(),
+                                  new_scratch_path(spark, "failures"))
+    return _union(
+        spark.read.parquet(path).agg(F.count(F.lit(1)).alias("stored_rows"))
+        .select(F.lit(name).alias("check_name"), "stored_rows")
+        for name, path in paths.items())
 
 
 def all_queries() -> dict[str, Query]:
@@ -197,7 +219,7 @@ def all_queries() -> dict[str, Query]:
             lambda t: marts.active_user_rate(t, min_transactions=1)),
         "active_user_rate_as_of": q(marts.active_user_rate_as_of),
         # Looking up one user is the operator; it reads the whole tables like the others.
-        "user_activity_drilldown": q(lambda t: activity.user_drilldown(_activity(t), "user-1")),
+        "user_drilldown": q(lambda t: activity.user_drilldown(_activity(t), "user-1")),
         "current_account_status": q(
             lambda t: lifecycle.current_account_status(marts.unified_accounts(t))),
         "status_counts": q(lambda t: reporting.status_counts(marts.unified_accounts(t))),
@@ -235,5 +257,6 @@ def all_queries() -> dict[str, Query]:
         "check_totals": q(lambda t: quality.total_mismatches(
             marts.unified_accounts(_first_run(t)), t.transactions)),
         "check_one_user_per_account": q(_check_one_user),
+        "check_stored_failures": _stored_failures,
         "check_summary": q(_check_summary),
     }

@@ -106,6 +106,25 @@ def test_interrupted_publish_is_finished_by_the_next_run(spark, tmp_path, monkey
     assert not publish.path_exists(spark, path + publish.STAGED)
 
 
+def test_publish_interrupted_between_two_days(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    load(spark, closures(spark, ("a", "8 10:00"), ("a", "9 10:00")), path)
+    source = closures(spark, ("b", "8 10:00"), ("b", "9 10:00"))
+    moved = []
+
+    def rename_once(*args):
+        if moved:
+            raise OSError("lost")
+        moved.append(rename(*args))
+
+    rename = publish._rename
+    with monkeypatch.context() as m:
+        m.setattr(publish, "_rename", rename_once)
+        with pytest.raises(OSError):
+            loads.load_base(spark, source, path, *CLOSED)
+    assert days(load(spark, closures(spark), path)) == [("b", 8), ("b", 9)]
+
+
 def test_interrupted_replace_is_finished(spark, tmp_path, monkeypatch):
     path = f"{tmp_path}/t"
     publish.replace_table(spark.range(3), path)

@@ -9,7 +9,7 @@ from tidemark.sources.events import read_account_tables
 
 LAZY = [n for n in entry_module.queries()
         if not n.startswith("incremental") and n not in
-        ("check_summary", "check_not_null", "changed_rows", "development_limit")]
+        ("check_summary", "check_stored_failures", "check_not_null", "changed_rows", "development_limit")]
 
 
 def plan_of(df):
@@ -50,3 +50,10 @@ def test_only_the_daily_sums_reach_one_task(spark, smallest, no_broadcast):
     assert plan.count("SinglePartition") == 1
     below = plan[plan.index("SinglePartition"):].splitlines()[1]
     assert re.search(r"HashAggregate\(keys=\[day#\d+\]", below)
+
+
+def test_drilldown_filters_the_accounts_first(spark, smallest, no_broadcast):
+    """The user filter sits below the shuffle that brings the accounts together."""
+    plan = plan_of(entry_module.queries()["user_drilldown"](spark, smallest))
+    exchange = plan.index("Exchange hashpartitioning(account_id_hashed")
+    assert "user-1" in plan[exchange:]

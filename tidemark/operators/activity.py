@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidemark import columns as c
 from tidemark.columns import ACCOUNT, CALC_DATE, USER
@@ -35,6 +35,40 @@ def open_spans(status_rows: DataFrame) -> DataFrame:
     )
 
 
+def open_spans_from_events(created: DataFrame, closures: DataFrame,
+                           reopened: DataFrame) -> DataFrame:
+    """The same spans as from the status rows, without pairing closures and reopenings.
+
+    A closure was reopened exactly if it lies before the account's last reopening, so one
+    timestamp per account, combined before the shuffle, replaces all reopenings.
+    """
+    last_reopened = reopened.groupBy(ACCOUNT).agg(F.max(c.REOPENED).alias("last_reopened"))
+    return (
+        created.select(ACCOUNT, USER, c.CREATED, c.ACCOUNT_TYPE).distinct()
+        .join(closures, ACCOUNT, "left")
+        .join(last_reopened, ACCOUNT, "left")
+        .filter(F.col(c.CLOSED).isNull() | (F.col(c.CLOSED) < F.col("last_reopened")))
+        .withColumn(c.STATUS, F.when(F.col(c.CLOSED).isNull(), c.OPEN)
+                    .otherwise(c.REOPENED_STATE))
+        .transform(open_spans)
+    )
+
+
+def open_intervals(spans: DataFrame) -> DataFrame:
+    """One interval per account and user: the union of spans that start on the same day.
+
+    That is how `open_spans` come: from the creation to each closure. The union reaches from
+    the first day to the latest last day, without end if one span has none.
+    """
+    return (
+        spans.groupBy(ACCOUNT, USER)
+        .agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"),
+             F.bool_or(F.col("last_day").isNull()).alias("endless"))
+        .select(ACCOUNT, USER, "first_day",
+                F.when(~F.col("endless"), F.col("last_day")).alias("last_day"))
+    )
+
+
 def _days_between(spans: DataFrame, dates: DataFrame) -> DataFrame:
     """One row per span and calculation date it covers.
 
@@ -59,6 +93,18 @@ def open_accounts_by_date(spans: DataFrame, dates: DataFrame) -> DataFrame:
     return _days_between(spans, dates).select(CALC_DATE, ACCOUNT, USER)
 
 
+def _active_days(transactions: DataFrame, min_transactions: int | None) -> DataFrame:
+    """Per account the list of its days with transaction rows, one entry per day."""
+    counted = transactions.filter(F.col(c.TX_DATE).isNotNull())
+    if min_transactions is not None:
+        counted = counted.filter(F.col(c.TX_COUNT) >= min_transactions)
+    return (
+        counted.groupBy(ACCOUNT, day_of(c.TX_DATE).alias("day"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(ACCOUNT).agg(F.collect_list(F.struct("day", "n")).alias("active_days"))
+    )
+
+
 def _user_steps(spans: DataFrame, transactions: DataFrame, window_days: int,
                 min_transactions: int | None) -> DataFrame:
     """Per user and day of change: open spans, open accounts and recent activity from then on.
@@ -68,19 +114,11 @@ def _user_steps(spans: DataFrame, transactions: DataFrame, window_days: int,
     (summed to one entry per day first): no list outgrows the calendar, and neither long spans
     nor busy accounts or users multiply rows.
     """
-    counted = transactions.filter(F.col(c.TX_DATE).isNotNull())
-    if min_transactions is not None:
-        counted = counted.filter(F.col(c.TX_COUNT) >= min_transactions)
-    activity = (
-        counted.groupBy(ACCOUNT, day_of(c.TX_DATE).alias("day"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy(ACCOUNT).agg(F.collect_list(F.struct("day", "n")).alias("active_days"))
-    )
     one, nothing = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     by_account = (
         spans.groupBy(ACCOUNT, USER)
         .agg(F.collect_list(F.struct("first_day", "last_day")).alias("spans"))
-        .join(activity, ACCOUNT, "left")
+        .join(_active_days(transactions, min_transactions), ACCOUNT, "left")
         .select(ACCOUNT, USER, F.inline(F.concat(
             F.flatten(F.transform("spans", lambda s: step_pair(
                 s["first_day"], s["last_day"], d_spans=one, d_recent=nothing))),
@@ -138,20 +176,46 @@ def user_activity_by_date(spans: DataFrame, transactions: DataFrame, window_days
     )
 
 
-def active_user_rate(spans: DataFrame, transactions: DataFrame, window_days: int = 7,
+def active_user_rate(intervals: DataFrame, transactions: DataFrame, window_days: int = 7,
                      min_transactions: int | None = None) -> DataFrame:
     """Share of the users with an open account who were active in the window, per date.
 
-    Works on changes throughout, so its cost follows the number of events and not the number
-    of days accounts stay open. Only the last running sum is not partitioned; its input is
-    one row per calendar day.
+    Takes `open_intervals` or `spans_as_of`: intervals of an account that meet at most at their
+    ends, so that an active day falls into few of them. (Others give the same rate, slower.)
+
+    An account's interval makes its user open, and where it overlaps the window of an active
+    day, active. Both are summed as steps per user, so the cost follows the number of events
+    and not the days accounts stay open. Only the last running sum is not partitioned; its
+    input is one row per calendar day.
     """
-    users = _user_steps(spans, transactions, window_days, min_transactions)
-    is_open = F.when(F.col("open_spans") > 0, 1).otherwise(0).cast("bigint")
-    is_active = F.when(F.col(RECENT) > 0, 1).otherwise(0).cast("bigint")
+    one, nothing = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+
+    def active_steps(active_day: Column) -> Column:
+        first, last = active_day["day"], F.date_add(active_day["day"], window_days)
+        overlapping = F.filter("intervals", lambda i: (i["first_day"] <= last) & (
+            i["last_day"].isNull() | (i["last_day"] >= first)))
+        return F.flatten(F.transform(overlapping, lambda i: step_pair(
+            F.greatest(i["first_day"], first), F.least(i["last_day"], last),
+            d_open=nothing, d_active=one)))
+
+    users = (
+        intervals.filter(F.col(USER).isNotNull())
+        .groupBy(ACCOUNT, USER)
+        .agg(F.collect_list(F.struct("first_day", "last_day")).alias("intervals"))
+        .join(_active_days(transactions, min_transactions), ACCOUNT, "left")
+        .select(USER, F.inline(F.concat(
+            F.flatten(F.transform("intervals", lambda i: step_pair(
+                i["first_day"], i["last_day"], d_open=one, d_active=nothing))),
+            F.flatten(F.transform(F.coalesce("active_days", F.array()), active_steps)),
+        )))
+        .filter(F.col("day").isNotNull())
+        .groupBy(USER, "day")
+        .agg(F.sum("d_open").alias("d_open"), F.sum("d_active").alias("d_active"))
+    )
+    is_open = F.when(value_on_step("d_open", [USER]) > 0, one).otherwise(nothing)
+    is_active = F.when(value_on_step("d_active", [USER]) > 0, one).otherwise(nothing)
     changes = (
-        users.filter(F.col(USER).isNotNull())
-        .select(USER, "day", is_open.alias("open"), is_active.alias("active"))
+        users.select(USER, "day", is_open.alias("open"), is_active.alias("active"))
         .select("day", change_since_previous("open", [USER]).alias("d_open"),
                 change_since_previous("active", [USER]).alias("d_active"))
         .groupBy("day")

@@ -34,11 +34,8 @@ def _read_stored(spark: SparkSession, path: str, contract: T.StructType) -> Data
     except AnalysisException as error:
         if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
-        return spark.createDataFrame([], _stored_schema(contract))
-
-
-def _stored_schema(contract: T.StructType) -> T.StructType:
-    return T.StructType([*contract.fields, T.StructField(EVENT_DATE, T.DateType())])
+        return spark.createDataFrame([], T.StructType(
+            [*contract.fields, T.StructField(EVENT_DATE, T.DateType())]))
 
 
 def read_base(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
@@ -54,7 +51,7 @@ def load_base(spark: SparkSession, source: DataFrame, path: str, contract: T.Str
     batch.
     """
     incoming = contracts.conform(source, contract)
-    publish.finish_partitions(spark, path, EVENT_DATE, _stored_schema(contract))
+    publish.finish_partitions(spark, path)
     if not publish.path_exists(spark, path):
         publish.replace_partitions(_with_date(incoming, key), path, EVENT_DATE)
         return None

@@ -22,13 +22,15 @@ def unified_accounts(t: AccountTables, mode: str = "day") -> DataFrame:
 
 
 def open_spans(t: AccountTables) -> DataFrame:
-    """Spans straight from the status rows: totals and flags have no part in the rate."""
-    return activity.open_spans(status_rows(t))
+    """The spans of the status rows that read open or reopened."""
+    return activity.open_spans_from_events(
+        t.created, latest_closure_per_day(t.closed), t.reopened)
 
 
 def active_user_rate(t: AccountTables, window_days: int = 7,
                      min_transactions: int | None = None) -> DataFrame:
-    return activity.active_user_rate(open_spans(t), t.transactions, window_days, min_transactions)
+    intervals = activity.open_intervals(open_spans(t))
+    return activity.active_user_rate(intervals, t.transactions, window_days, min_transactions)
 
 
 def active_user_rate_as_of(t: AccountTables, window_days: int = 7) -> DataFrame:
@@ -55,8 +57,8 @@ def build_marts(spark: SparkSession, t: AccountTables, folder: str) -> dict[str,
     deduplicated = AccountTables(t.created, closures, t.reopened, t.transactions)
     unified = publish_table("unified_accounts", contracts.conform(
         unified_accounts(deduplicated), contracts.UNIFIED_ACCOUNTS))
+    intervals = activity.open_intervals(activity.open_spans(unified))
     rate = publish_table("active_user_rate", contracts.conform(
-        activity.active_user_rate(activity.open_spans(unified), t.transactions),
-        contracts.ACTIVE_USER_RATE))
+        activity.active_user_rate(intervals, t.transactions), contracts.ACTIVE_USER_RATE))
     return {"deduplicated_closures": closures, "unified_accounts": unified,
             "active_user_rate": rate}

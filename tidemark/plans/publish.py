@@ -6,7 +6,7 @@ published", and publishing can be repeated from the staged files until it is thr
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession
 
 STAGED = "__staged"
 
@@ -57,15 +57,26 @@ def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
     """
     (df.hint("rebalance", partition).write.mode("overwrite")
        .partitionBy(partition).parquet(path + STAGED))
-    finish_partitions(df.sparkSession, path, partition, df.schema)
+    finish_partitions(df.sparkSession, path)
 
 
-def finish_partitions(spark: SparkSession, path: str, partition: str,
-                      schema: T.StructType) -> None:
-    """Publish staged partitions, if any are pending."""
+def finish_partitions(spark: SparkSession, path: str) -> None:
+    """Publish staged partitions, if any are pending, by moving their folders.
+
+    A folder leaves the staging area only once it is in place, so after an interruption the
+    rest can still be moved. The loop runs over days, not over data.
+    """
     if not _is_pending(spark, path):
         return
-    staged = spark.read.schema(schema).parquet(path + STAGED)
-    (staged.hint("rebalance", partition).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
+    if not path_exists(spark, path):
+        _rename(spark, path + STAGED, path)
+        return
+    for folder in _folders(spark, path + STAGED):
+        _delete(spark, f"{path}/{folder}")
+        _rename(spark, f"{path}{STAGED}/{folder}", f"{path}/{folder}")
     _delete(spark, path + STAGED)
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    file_system, hadoop_path = _file_system(spark, path)
+    return [s.getPath().getName() for s in file_system.listStatus(hadoop_path) if s.isDirectory()]

@@ -66,7 +66,8 @@ ACTIVE_USER_RATE = T.StructType([
 
 def missing_columns(df: DataFrame, contract: T.StructType) -> list[str]:
     """Columns the contract names and `df` lacks. Reads the schema only, runs no job."""
-    return [name for name in contract.fieldNames() if name not in df.columns]
+    present = set(df.columns)
+    return [name for name in contract.fieldNames() if name not in present]
 
 
 def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
