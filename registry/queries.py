@@ -56,11 +56,11 @@ def _activity(t: AccountTables) -> DataFrame:
 
 
 def _development_limit(t: AccountTables) -> DataFrame:
-    limited = development_limit(t.transactions, enabled=True).agg(
-        F.count(F.lit(1)).alias("limited_rows"))
-    everything = development_limit(t.transactions, enabled=False).agg(
-        F.count(F.lit(1)).alias("all_rows"))
-    return limited.join(everything)
+    return _union(
+        development_limit(t.transactions, enabled)
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(enabled).alias("limited"), "row_count")
+        for enabled in (True, False))
 
 
 def _first_run(t: AccountTables) -> AccountTables:
@@ -225,7 +225,7 @@ def all_queries() -> dict[str, Query]:
         "status_counts": q(lambda t: reporting.status_counts(marts.unified_accounts(t))),
         "transactions_by_type_status": q(lambda t: reporting.transactions_by_type_and_status(
             lifecycle.current_account_status(marts.unified_accounts(t)))),
-        "anomalous_accounts": q(lambda t: lifecycle.anomalous_accounts(t.created, _pairs(t))),
+        "anomalous_accounts": q(lambda t: lifecycle.anomalous_accounts(_pairs(t))),
         "lifecycle_by_week": q(lambda t: reporting.lifecycle_by_period(
             t.created, t.closed, t.reopened, period="week")),
         "cohort_retention_by_week": q(lambda t: reporting.cohort_retention(

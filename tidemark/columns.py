@@ -1,4 +1,4 @@
-"""Column and status names shared by every operator."""
+"""Column and status names shared by every operator: fixed values of the data model."""
 
 ACCOUNT = "account_id_hashed"
 USER = "user_id_hashed"

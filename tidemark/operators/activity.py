@@ -72,19 +72,20 @@ def open_intervals(spans: DataFrame) -> DataFrame:
 def _days_between(spans: DataFrame, dates: DataFrame) -> DataFrame:
     """One row per span and calculation date it covers.
 
-    The range join as generated days plus an equality: the dates are at most one row per
-    calendar day, and only their first and last bound the generated range.
+    The range join as generated days plus an equality. The dates are broadcast: distinct
+    values of a DATE are at most one per calendar day, some thousands, and could not exceed
+    the 3.7 million days the type holds. A shuffled join would gather all rows of a date.
     """
-    first = dates.agg(F.min(CALC_DATE)).scalar()
-    last = dates.agg(F.max(CALC_DATE)).scalar()
+    bounds = dates.agg(F.struct(F.min(CALC_DATE).alias("first"),
+                                F.max(CALC_DATE).alias("last"))).scalar()
     return (
         spans
-        .withColumn("from_day", F.greatest(F.col("first_day"), first))
-        .withColumn("to_day", F.least(F.coalesce(F.col("last_day"), last), last))
+        .withColumn("from_day", F.greatest(F.col("first_day"), bounds["first"]))
+        .withColumn("to_day", F.least(F.col("last_day"), bounds["last"]))
         .filter(F.col("from_day") <= F.col("to_day"))
         .withColumn(CALC_DATE, F.explode(F.sequence("from_day", "to_day")))
         .drop("from_day", "to_day")
-        .join(dates, CALC_DATE, "left_semi")
+        .join(F.broadcast(dates), CALC_DATE, "left_semi")
     )
 
 

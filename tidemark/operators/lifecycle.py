@@ -194,12 +194,15 @@ def current_account_status(unified: DataFrame) -> DataFrame:
     )
 
 
-def anomalous_accounts(created: DataFrame, pairs: DataFrame) -> DataFrame:
+def anomalous_accounts(pairs: DataFrame) -> DataFrame:
     """Accounts closed several times with at least one closure never reopened."""
-    owners = (
-        created.groupBy(ACCOUNT, USER)
-        .agg(F.min(c.CREATED).alias(c.CREATED), F.max(c.ACCOUNT_TYPE).alias(c.ACCOUNT_TYPE))
+    return (
+        pairs.groupBy(ACCOUNT, USER)
+        .agg(
+            F.max(c.ACCOUNT_TYPE).alias(c.ACCOUNT_TYPE),
+            F.min(c.CREATED).alias(c.CREATED),
+            F.count(CLOSED).alias("num_closures"),
+            F.count_if(F.col(REOPENED).isNull()).alias("num_unreopened_closures"),
+        )
+        .filter((F.col("num_closures") > 1) & (F.col("num_unreopened_closures") > 0))
     )
-    flagged = multiple_closures(pairs).filter(F.col("num_unreopened_closures") > 0)
-    return owners.join(flagged, [ACCOUNT, USER]).select(
-        ACCOUNT, USER, c.ACCOUNT_TYPE, c.CREATED, "num_closures", "num_unreopened_closures")

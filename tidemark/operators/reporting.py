@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from tidemark import columns as c
 from tidemark.columns import ACCOUNT, ACCOUNT_TYPE, STATUS
 from tidemark.functions.time import day_of
-from tidemark.operators.closures import latest_closure_per_day
 
 PERIODS = ("week", "month", "quarter", "year")
 
@@ -42,7 +41,7 @@ def lifecycle_by_period(created: DataFrame, closed: DataFrame, reopened: DataFra
                         period: str = "month") -> DataFrame:
     """Accounts created, churned (closed) and reactivated (reopened) per period.
 
-    An account counts once per period and kind; closures are deduplicated by day.
+    An account counts once per period and kind, so repeated events need no other care.
     """
     def kind(df: DataFrame, ts: str, name: str) -> DataFrame:
         return df.filter(F.col(ts).isNotNull() & F.col(ACCOUNT).isNotNull()).select(
@@ -50,7 +49,7 @@ def lifecycle_by_period(created: DataFrame, closed: DataFrame, reopened: DataFra
 
     once = (
         kind(created, c.CREATED, "created")
-        .unionByName(kind(latest_closure_per_day(closed), c.CLOSED, "closed"))
+        .unionByName(kind(closed, c.CLOSED, "closed"))
         .unionByName(kind(reopened, c.REOPENED, "reopened"))
         .distinct()
     )

@@ -48,7 +48,8 @@ def load_base(spark: SparkSession, source: DataFrame, path: str, contract: T.Str
 
     The first run writes everything and returns None; later runs read the look-back window,
     merge it by delete+insert into the days it covers, rewrite those days only, and return the
-    batch.
+    batch. The latest timestamp is looked up in the latest day, not in the whole target. A
+    target without any has no look-back window, and nothing is loaded.
     """
     incoming = contracts.conform(source, contract)
     publish.finish_partitions(spark, path)
@@ -57,10 +58,10 @@ def load_base(spark: SparkSession, source: DataFrame, path: str, contract: T.Str
         return None
     stored = _read_stored(spark, path, contract)
     contracts.require_same_columns(stored.drop(EVENT_DATE), contract)
-    target = contracts.conform(stored, contract)
-    start = inc.look_back_start(target, key, days)
-    if start is None:
+    latest = publish.latest_partition(spark, path, EVENT_DATE)
+    if latest is None:
         return incoming.filter(F.lit(False))
+    start = inc.look_back_start(stored.filter(F.col(EVENT_DATE) == latest), key, days)
     batch = incoming.filter(F.col(key) >= F.lit(start).cast("timestamp_ntz"))
     recent = contracts.conform(
         stored.filter(F.col(EVENT_DATE) >= F.lit(start.date())), contract)

@@ -80,3 +80,10 @@ def finish_partitions(spark: SparkSession, path: str) -> None:
 def _folders(spark: SparkSession, path: str) -> list[str]:
     file_system, hadoop_path = _file_system(spark, path)
     return [s.getPath().getName() for s in file_system.listStatus(hadoop_path) if s.isDirectory()]
+
+
+def latest_partition(spark: SparkSession, path: str, partition: str) -> str | None:
+    """The largest partition value by folder name, which spares a scan; NULLs do not count."""
+    prefix = f"{partition}="
+    values = [f.removeprefix(prefix) for f in _folders(spark, path) if f.startswith(prefix)]
+    return max((v for v in values if v != "__HIVE_DEFAULT_PARTITION__"), default=None)

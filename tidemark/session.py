@@ -48,8 +48,19 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="tidemark-")
 
 
+@functools.cache
+def _run_folder(spark: SparkSession) -> str:
+    """This session's folder under the scratch root, removed when the session's JVM ends."""
+    folder = f"{scratch_root(spark)}/tidemark/{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    file_system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    file_system.mkdirs(path)
+    file_system.deleteOnExit(path)
+    return folder
+
+
 def new_scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/tidemark/{uuid.uuid4().hex}/{name}"
+    return f"{_run_folder(spark)}/{uuid.uuid4().hex}/{name}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

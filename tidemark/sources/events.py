@@ -25,7 +25,8 @@ CLOSING_VALUE = 75
 REOPENING_VALUE = 75
 ACTIVITY_VALUE = 90
 
-# Upper bounds of the largest signup value per account type; above the last one the type is NULL.
+# Upper bound of the largest signup value per account type; above the last one the type is
+# NULL. The type names are fixed values of the data model.
 TYPE_BANDS = [(120, "uk_retail"), (180, "uk_retail_pot"), (300, "uk_retail_joint")]
 
 
