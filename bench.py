@@ -1,8 +1,7 @@
 """Times the headline queries on the tables of $BENCH_SF_DIR and prints one JSON line.
 
 Each query runs once to warm up and then three times; the median counts. `value` is the sum
-over the queries. The `literal_*` entries run the plain SQL texts on Spark: the form the
-DataFrame plans replace, for comparison, and not part of `value`.
+over the queries.
 """
 
 from __future__ import annotations
@@ -15,7 +14,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from registry import oracle  # noqa: E402
 from registry.queries import all_queries  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 
@@ -35,8 +33,6 @@ HEADLINE = [
     "incremental_closures_state",
     "incremental_mart_rebuild",
 ]
-LITERAL = ["unified_accounts", "user_activity_by_date", "active_user_rate",
-           "active_user_rate_as_of"]
 RUNS = 3
 
 
@@ -66,18 +62,11 @@ def main() -> None:
     queries = all_queries()
     timed = {name: median_seconds(lambda: consume(queries[name](spark, folder)))
              for name in HEADLINE}
-    spark.read.parquet(f"{folder}/events.parquet").createOrReplaceTempView("events")
-    texts = oracle.texts()
-    literal = {}
-    for name in LITERAL:
-        text = texts[name].replace("AS VARCHAR", "AS STRING")
-        literal[f"literal_{name}"] = median_seconds(lambda: consume(spark.sql(text)))
     print(json.dumps({
         "metric": "headline_total",
         "value": round(sum(timed.values()), 3),
         "unit": "sec",
         "queries": timed,
-        "comparison": literal,
         "sf": os.path.basename(folder).removeprefix("sf"),
         "events": spark.read.parquet(f"{folder}/events.parquet").count(),
         "cpus": cpus,
