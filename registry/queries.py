@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import columns as c
 from tidemark.columns import ACCOUNT, USER
+from tidemark.functions.time import moment
 from tidemark.operators import activity, closures, incremental, lifecycle, quality, reporting
 from tidemark.plans import checks, loads, marts
 from tidemark.session import materialise, new_scratch_path
@@ -66,7 +67,7 @@ def _development_limit(t: AccountTables) -> DataFrame:
 def _first_run(t: AccountTables) -> AccountTables:
     """What had happened when the first of two runs took place."""
     def before(df: DataFrame, ts: str) -> DataFrame:
-        return df.filter(F.col(ts) < F.lit(FIRST_RUN_END).cast("timestamp_ntz"))
+        return df.filter(F.col(ts) < moment(FIRST_RUN_END))
 
     return AccountTables(before(t.created, c.CREATED), before(t.closed, c.CLOSED),
                          before(t.reopened, c.REOPENED), before(t.transactions, c.TX_DATE))
@@ -84,7 +85,7 @@ def _base_state(name: str) -> Query:
         in_time = (F.col(c.TX_COUNT) < 2 if name == "account_transactions"
                    else F.hour(key) < 22)
         seen = source.filter(
-            (F.col(key) < F.lit(FIRST_RUN_END).cast("timestamp_ntz")) & in_time)
+            (F.col(key) < moment(FIRST_RUN_END)) & in_time)
         path = new_scratch_path(spark, name)
         loads.load_base(spark, seen, path, contract, key)
         loads.load_base(spark, source, path, contract, key)

@@ -22,3 +22,15 @@ def test_equals_the_sql_text(spark, small, name):
     assert sorted(df.columns) == columns
     assert expected, "an empty answer shows nothing"
     assert spark_rows(df) == expected
+
+
+@pytest.mark.parametrize("name", [
+    "closures_gap_dedupe", "unified_accounts", "user_activity_by_date", "active_user_rate_as_of",
+    "lifecycle_by_week", "incremental_closures_state", "check_freshness"])
+def test_does_not_depend_on_the_session_zone(spark, smallest, name):
+    expected, _ = duck_rows(duck(smallest), TEXTS[name])
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert spark_rows(QUERIES[name](spark, smallest)) == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark import columns as c
 from tidemark.columns import ACCOUNT
+from tidemark.functions.time import moment
 
 # Largest number of keys sent to every executor; counted before each use.
 BROADCAST_KEYS = 500_000
@@ -29,7 +30,7 @@ def look_back(source: DataFrame, target: DataFrame, ts: str, days: int = 3) -> D
     start = look_back_start(target, ts, days)
     if start is None:
         return source.filter(F.lit(False))
-    return source.filter(F.col(ts) >= F.lit(start).cast("timestamp_ntz"))
+    return source.filter(F.col(ts) >= moment(start))
 
 
 def delete_insert(target: DataFrame, batch: DataFrame, keys: list[str],
@@ -60,7 +61,7 @@ def delete_insert(target: DataFrame, batch: DataFrame, keys: list[str],
 def changed_rows(unified: DataFrame, target: DataFrame) -> DataFrame:
     """Rows whose created, closed or reopened timestamp reaches the target's latest one."""
     latest = target.agg(*[F.max(n).alias(n) for n in (c.CREATED, c.CLOSED, c.REOPENED)]).first()
-    reached = [F.col(n) >= F.lit(latest[n]).cast("timestamp_ntz")
+    reached = [F.col(n) >= moment(latest[n])
                for n in (c.CREATED, c.CLOSED, c.REOPENED) if latest[n] is not None]
     return unified.filter(functools.reduce(operator.or_, reached, F.lit(False)))
 

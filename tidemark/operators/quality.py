@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import columns as c
 from tidemark.columns import ACCOUNT
+from tidemark.functions.time import moment
 from tidemark.operators.lifecycle import transaction_totals
 
 FAILURES = "failures"
@@ -68,13 +69,13 @@ def freshness(df: DataFrame, ts: str, as_of: datetime.datetime,
 
     An empty table has no latest timestamp and counts as stale.
     """
-    moment = F.lit(as_of).cast("timestamp_ntz")
-    stale_before = F.lit(as_of - warn_after).cast("timestamp_ntz")
+    now = moment(as_of)
+    stale_before = moment(as_of - warn_after)
     return (
         df.agg(F.max(ts).alias("latest_ts"))
         .select(
             "latest_ts",
-            F.timestamp_diff("SECOND", F.col("latest_ts"), moment).alias("age_seconds"),
+            F.timestamp_diff("SECOND", F.col("latest_ts"), now).alias("age_seconds"),
             F.coalesce(F.col("latest_ts") < stale_before, F.lit(True)).alias("is_stale"),
         )
     )

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark import columns as c
 from tidemark.columns import ACCOUNT, CALC_DATE, CLOSED, CREATED, REOPENED, USER
+from tidemark.functions.time import moment
 from tidemark.operators import quality as q
 from tidemark.sources import contracts
 
@@ -200,7 +201,7 @@ def run_checks(tables: Tables, checks: list[Check],
         else:
             if as_of is None:
                 raise ValueError("freshness checks need as_of")
-            stale_before = F.lit(as_of - check.warn_after).cast("timestamp_ntz")
+            stale_before = moment(as_of - check.warn_after)
             is_stale = F.coalesce(F.max(check.loaded_at) < stale_before, F.lit(True))
             one_pass.setdefault(check.table, []).append((check, is_stale.cast("bigint")))
     parts += [_counted(group, tables[table]) for table, group in one_pass.items()]

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark import columns as c
 from tidemark.columns import ACCOUNT
-from tidemark.functions.time import day_of
+from tidemark.functions.time import day_of, moment
 from tidemark.operators import incremental as inc
 from tidemark.operators.lifecycle import unified_accounts
 from tidemark.plans import publish
@@ -62,7 +62,7 @@ def load_base(spark: SparkSession, source: DataFrame, path: str, contract: T.Str
     if latest is None:
         return incoming.filter(F.lit(False))
     start = inc.look_back_start(stored.filter(F.col(EVENT_DATE) == latest), key, days)
-    batch = incoming.filter(F.col(key) >= F.lit(start).cast("timestamp_ntz"))
+    batch = incoming.filter(F.col(key) >= moment(start))
     recent = contracts.conform(
         stored.filter(F.col(EVENT_DATE) >= F.lit(start.date())), contract)
     merged = inc.delete_insert(recent, batch, [key], salts=inc.SALTS)
