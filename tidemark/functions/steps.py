@@ -24,13 +24,9 @@ def step_pair(first: Column, last: Column, **weights: Column) -> Column:
 
 
 def value_on_step(change: str, keys: list[str], day: str = "day") -> Column:
-    """Value of the step function from this step's day on (one row per key and day)."""
+    """Value of the step function from this step's day on (one row per key and day).
+
+    The value before the step is this one less the change.
+    """
     window = W.partitionBy(*keys).orderBy(day)
     return F.sum(change).over(window.rowsBetween(W.unboundedPreceding, W.currentRow))
-
-
-def change_since_previous(value: str | Column, keys: list[str], day: str = "day") -> Column:
-    """Turn values back into changes; before the first step the value is 0."""
-    value = F.col(value) if isinstance(value, str) else value
-    previous = F.lag(value, 1, 0).over(W.partitionBy(*keys).orderBy(day))
-    return value - previous

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidemark import columns as c
 from tidemark.columns import ACCOUNT, CALC_DATE, USER
-from tidemark.functions.steps import change_since_previous, step_pair, value_on_step
+from tidemark.functions.steps import step_pair, value_on_step
 from tidemark.functions.time import day_of
 
 OPEN_ACCOUNTS = "open_accounts"
@@ -133,19 +133,21 @@ def _user_steps(spans: DataFrame, transactions: DataFrame, window_days: int,
         .agg(F.sum("d_spans").alias("d_spans"), F.sum("d_recent").alias("d_recent"))
     )
     owner = [ACCOUNT, USER]
-    open_now = F.when((F.col("spans") > 0) & F.col(ACCOUNT).isNotNull(), 1).otherwise(0)
-    account_values = (
+    known = F.col(ACCOUNT).isNotNull()
+
+    def open_accounts(spans: Column) -> Column:
+        return ((spans > 0) & known).cast("bigint")
+
+    spans_now, recent_now = F.col("spans"), F.col("recent")
+    spans_before, recent_before = spans_now - F.col("d_spans"), recent_now - F.col("d_recent")
+    changes = (
         by_account
         .withColumns({"spans": value_on_step("d_spans", owner),
                       "recent": value_on_step("d_recent", owner)})
-        .select(ACCOUNT, USER, "day", "spans", open_now.cast("bigint").alias("open"),
-                (F.col("spans") * F.col("recent")).alias("recent"))
-    )
-    changes = (
-        account_values
-        .withColumns({f"d_{n}": change_since_previous(n, owner)
-                      for n in ("spans", "open", "recent")})
-        .filter((F.col("d_spans") != 0) | (F.col("d_open") != 0) | (F.col("d_recent") != 0))
+        .select(USER, "day", "d_spans",
+                (open_accounts(spans_now) - open_accounts(spans_before)).alias("d_open"),
+                (spans_now * recent_now - spans_before * recent_before).alias("d_recent"))
+        .filter((F.col("d_spans") != 0) | (F.col("d_recent") != 0))
         .groupBy(USER, "day")
         .agg(*[F.sum(f"d_{n}").alias(f"d_{n}") for n in ("spans", "open", "recent")])
     )
@@ -191,42 +193,43 @@ def active_user_rate(intervals: DataFrame, transactions: DataFrame, window_days:
     """
     one, nothing = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
 
-    def active_steps(active_day: Column) -> Column:
-        first, last = active_day["day"], F.date_add(active_day["day"], window_days)
-        overlapping = F.filter("intervals", lambda i: (i["first_day"] <= last) & (
-            i["last_day"].isNull() | (i["last_day"] >= first)))
-        return F.flatten(F.transform(overlapping, lambda i: step_pair(
-            F.greatest(i["first_day"], first), F.least(i["last_day"], last),
-            d_open=nothing, d_active=one)))
+    def in_reach(active: Column) -> Column:
+        reaches_start = F.date_add(active["day"], window_days) >= F.col("first_day")
+        return reaches_start & (F.col("last_day").isNull() | (active["day"] <= F.col("last_day")))
+
+    def active_steps(active: Column) -> Column:
+        return step_pair(
+            F.greatest(F.col("first_day"), active["day"]),
+            F.least(F.col("last_day"), F.date_add(active["day"], window_days)),
+            d_open=nothing, d_active=one)
 
+    near = F.filter(F.coalesce("active_days", F.array()), in_reach)
     users = (
         intervals.filter(F.col(USER).isNotNull())
-        .groupBy(ACCOUNT, USER)
-        .agg(F.collect_list(F.struct("first_day", "last_day")).alias("intervals"))
         .join(_active_days(transactions, min_transactions), ACCOUNT, "left")
         .select(USER, F.inline(F.concat(
-            F.flatten(F.transform("intervals", lambda i: step_pair(
-                i["first_day"], i["last_day"], d_open=one, d_active=nothing))),
-            F.flatten(F.transform(F.coalesce("active_days", F.array()), active_steps)),
+            step_pair(F.col("first_day"), F.col("last_day"), d_open=one, d_active=nothing),
+            F.flatten(F.transform(near, active_steps)),
         )))
         .filter(F.col("day").isNotNull())
         .groupBy(USER, "day")
         .agg(F.sum("d_open").alias("d_open"), F.sum("d_active").alias("d_active"))
+        .select("day", "d_open", "d_active",
+                value_on_step("d_open", [USER]).alias("open"),
+                value_on_step("d_active", [USER]).alias("active"))
     )
-    is_open = F.when(value_on_step("d_open", [USER]) > 0, one).otherwise(nothing)
-    is_active = F.when(value_on_step("d_active", [USER]) > 0, one).otherwise(nothing)
-    changes = (
-        users.select(USER, "day", is_open.alias("open"), is_active.alias("active"))
-        .select("day", change_since_previous("open", [USER]).alias("d_open"),
-                change_since_previous("active", [USER]).alias("d_active"))
-        .groupBy("day")
-        .agg(F.sum("d_open").alias("d_open"), F.sum("d_active").alias("d_active"))
-        .withColumn("wanted", F.lit(False))
-    )
-    dates = calculation_dates(transactions).select(
-        F.col(CALC_DATE).alias("day"),
-        F.lit(0).cast("bigint").alias("d_open"), F.lit(0).cast("bigint").alias("d_active"),
-        F.lit(True).alias("wanted"),
+
+    def crossing(value: str) -> Column:
+        """+1 where the value rises above 0, -1 where it falls back to 0."""
+        before = F.col(value) - F.col(f"d_{value}")
+        return (F.col(value) > 0).cast("bigint") - (before > 0).cast("bigint")
+
+    changes = users.select("day", crossing("open").alias("d_open"),
+                           crossing("active").alias("d_active"), F.lit(False).alias("wanted"))
+    dates = (
+        transactions.select(day_of(c.TX_DATE).alias("day"), nothing.alias("d_open"),
+                            nothing.alias("d_active"), F.lit(True).alias("wanted"))
+        .filter(F.col("day").isNotNull())
     )
     per_day = (
         changes.unionByName(dates).groupBy("day")
