@@ -162,3 +162,17 @@ def test_reading_folders_and_databases(spark, tmp_path, damaged):
 def test_development_limit(damaged):
     assert development_limit(damaged.closed, True, rows=2).count() == 2
     assert development_limit(damaged.closed, False, rows=2).count() == 4
+
+
+def test_scratch_folder_comes_from_the_session():
+    from tidemark.session import scratch_root
+
+    class Session:
+        def __init__(self, master, folder):
+            self.sparkContext = type("Context", (), {"master": master})()
+            self.conf = {"spark.checkpoint.dir": folder}
+
+    assert scratch_root(Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    assert scratch_root(Session("local[2]", None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(Session("spark://host:7077", None))

@@ -95,7 +95,10 @@ def open_accounts_by_date(spans: DataFrame, dates: DataFrame) -> DataFrame:
 
 
 def _active_days(transactions: DataFrame, min_transactions: int | None) -> DataFrame:
-    """Per account the list of its days with transaction rows, one entry per day."""
+    """Per account the list of its days with transaction rows and how many.
+
+    Counted by day first, so a list is no longer than the calendar.
+    """
     counted = transactions.filter(F.col(c.TX_DATE).isNotNull())
     if min_transactions is not None:
         counted = counted.filter(F.col(c.TX_COUNT) >= min_transactions)
@@ -111,24 +114,28 @@ def _user_steps(spans: DataFrame, transactions: DataFrame, window_days: int,
     """Per user and day of change: open spans, open accounts and recent activity from then on.
 
     Coverage and activity are step functions of the account. They meet as two short lists per
-    account, of its spans (at most one per kept closure, so per day) and of its active days
-    (summed to one entry per day first): no list outgrows the calendar, and neither long spans
-    nor busy accounts or users multiply rows.
+    account, of its coverage and of its active days. Both are summed to one entry per day
+    first, so no list outgrows the calendar, and neither long spans nor busy accounts or users
+    multiply rows.
     """
     one, nothing = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    coverage = (
+        spans.select(ACCOUNT, USER, F.inline(step_pair(
+            F.col("first_day"), F.col("last_day"), d_spans=one)))
+        .filter(F.col("day").isNotNull())
+        .groupBy(ACCOUNT, USER, "day").agg(F.sum("d_spans").alias("d_spans"))
+        .groupBy(ACCOUNT, USER).agg(F.collect_list(F.struct("day", "d_spans")).alias("coverage"))
+    )
     by_account = (
-        spans.groupBy(ACCOUNT, USER)
-        .agg(F.collect_list(F.struct("first_day", "last_day")).alias("spans"))
-        .join(_active_days(transactions, min_transactions), ACCOUNT, "left")
+        coverage.join(_active_days(transactions, min_transactions), ACCOUNT, "left")
         .select(ACCOUNT, USER, F.inline(F.concat(
-            F.flatten(F.transform("spans", lambda s: step_pair(
-                s["first_day"], s["last_day"], d_spans=one, d_recent=nothing))),
+            F.transform("coverage", lambda s: F.struct(
+                s["day"].alias("day"), s["d_spans"].alias("d_spans"), nothing.alias("d_recent"))),
             F.flatten(F.transform(
                 F.coalesce("active_days", F.array()),
                 lambda a: step_pair(a["day"], F.date_add(a["day"], window_days),
                                     d_spans=nothing, d_recent=a["n"]))),
         )))
-        .filter(F.col("day").isNotNull())
         .groupBy(ACCOUNT, USER, "day")
         .agg(F.sum("d_spans").alias("d_spans"), F.sum("d_recent").alias("d_recent"))
     )
