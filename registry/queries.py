@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from registry.scratch import with_scratch
 from tidemark import columns as c
 from tidemark.columns import ACCOUNT, USER
 from tidemark.functions.time import moment
@@ -192,6 +193,10 @@ def _stored_failures(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
+    return {name: with_scratch(query) for name, query in _queries().items()}
+
+
+def _queries() -> dict[str, Query]:
     q = _over_tables
     return {
         "typed_accounts": q(lambda t: t.created),

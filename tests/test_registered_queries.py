@@ -1,14 +1,18 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from registry import oracle
+from registry.queries import all_queries
 from compare import duck, duck_rows, spark_rows
 
-QUERIES = entry_module.queries()
-TEXTS = entry_module.oracle_sql()
+QUERIES = all_queries()
+TEXTS = oracle.texts()
 
 
 def test_every_query_has_a_text():
     assert QUERIES.keys() == TEXTS.keys()
+    assert QUERIES.keys() <= entry_module.queries().keys()
+    assert TEXTS.keys() <= entry_module.oracle_sql().keys()
 
 
 def test_entry(spark):

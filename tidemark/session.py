@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,22 +29,16 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: `spark.checkpoint.dir`.
+    """The folder for intermediate tables, which the driver and all executors must share.
 
-    Only a local master may do without it, since one machine's temporary folder is invisible
-    to the executors of a cluster.
+    It is `spark.checkpoint.dir`, or what `SparkContext.setCheckpointDir` set; one of them is
+    required, since no folder of one machine would do on a cluster.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    folder = (spark.conf.get("spark.checkpoint.dir", None)
+              or spark.sparkContext.getCheckpointDir())
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return _local_folder()
-
-
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
+    return folder.rstrip("/")
 
 
 @functools.cache
