@@ -95,10 +95,9 @@ def item_windows(tokens: DataFrame) -> DataFrame:
 def bitmap_of(windows: DataFrame) -> bytes:
     """A bit for the upper bits of each hash: BITMAP_BITS / 8 bytes, whatever the items."""
     shift = 64 - BITMAP_BITS.bit_length() + 1
-    bit = F.shiftrightunsigned("hash", shift)
-    words = windows.select(F.shiftright(bit, 5).cast("int").alias("word"),
-                           F.shiftleft(F.lit(1).cast("bigint"), (bit % 32).cast("int")).alias("b")) \
-        .groupBy("word").agg(F.bit_or("b").alias("bits"))
+    words = windows.select(F.shiftrightunsigned("hash", shift).alias("bit")).selectExpr(
+        "int(shiftright(bit, 5)) AS word", "shiftleft(1L, int(bit % 32)) AS bits",
+    ).groupBy("word").agg(F.bit_or("bits").alias("bits"))
     filled = np.zeros(BITMAP_BITS // 32, dtype=np.uint32)
     # At most BITMAP_BITS / 32 rows come back, whatever the number of items.
     for row in words.toLocalIterator():
