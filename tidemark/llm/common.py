@@ -41,6 +41,30 @@ def hex16(value: Column) -> Column:
     return F.lpad(F.lower(F.hex(value)), 16, "0")
 
 
+def running_sums(column: str, chunk: int = 64) -> Column:
+    """For each number of an array column, the sum of those before it.
+
+    Sums of whole chunks are taken first, so an array of n numbers costs n * chunk steps.
+    """
+    def total(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0).cast("bigint"), lambda a, x: a + x)
+
+    at = F.col(column)
+    chunks = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(at) - 1, F.lit(0)), F.lit(chunk)),
+        lambda k: total(F.slice(at, k + 1, chunk)))
+    # One entry per chunk: its own sums of numbers before it, and what came before the chunk.
+    return F.flatten(F.transform(
+        F.aggregate(chunks, F.struct(F.lit(0).cast("bigint").alias("sum"),
+                                     F.array().cast("array<bigint>").alias("all")),
+                    lambda s, c: F.struct((s["sum"] + c).alias("sum"),
+                                          F.concat(s["all"], F.array(s["sum"])).alias("all")),
+                    lambda s: s["all"]),
+        lambda before, k: F.transform(
+            F.slice(at, k * chunk + 1, chunk),
+            lambda _, i: before + total(F.slice(at, k * chunk + 1, i)))))
+
+
 def utf8(column: pa.ChunkedArray | pa.Array) -> Iterator[bytes | None]:
     """The UTF-8 bytes of each string of an Arrow column, one at a time."""
     for value in column:

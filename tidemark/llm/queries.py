@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from registry.scratch import with_scratch
-from tidemark.llm import (decontaminate, licenses, mixing, quality_rules, secrets, simhash)
+from tidemark.llm import (chat, decontaminate, licenses, mixing, pii, quality_rules, secrets,
+                          simhash)
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,14 +23,26 @@ def _decontamination(spark: SparkSession, folder: str) -> DataFrame:
                                   read_table(spark, folder, "benchmark"))
 
 
+def _chat(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and one whose texts are control strings of other templates."""
+    text = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", text), (-1, 1, "assistant", text)],
+        "conv_id bigint, turn bigint, role string, text string")
+    told = read_table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.transcript_digests(chat.chat_transcripts(told.unionByName(extra)))
+
+
 def all_queries() -> dict[str, Query]:
     queries = {
         "op1_host_rules": _over_documents(quality_rules.judged),
         "op3_decontamination": _decontamination,
         "op5_license_scan": _over_documents(licenses.license_scan),
+        "op6_pii": _over_documents(pii.find_pii),
         "op7_mixing": _over_documents(mixing.mixture),
         "op8_simhash": _over_documents(simhash.near_duplicates),
         "op9_secret_scan": _over_documents(secrets.secret_spans),
+        "op10_chat": _chat,
     }
     return {name: with_scratch(query) for name, query in queries.items()}
 
