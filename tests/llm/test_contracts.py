@@ -1,0 +1,147 @@
+"""The operators against their plain versions, on hard texts and on the smallest documents."""
+
+import collections
+
+import pytest
+
+import reference as plain
+from tidemark.llm import (chat, licenses, mixing, pii, quality_rules, queries, secrets, simhash)
+
+
+def rows(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+
+
+def expected(docs, function):
+    return sorted(((r["doc_id"], *function(r["text"])) for r in
+                   docs.select("doc_id", "text").collect()), key=repr)
+
+
+@pytest.fixture(scope="module", params=["hard", "small", "none"])
+def docs(request, spark, small):
+    if request.param == "small":
+        return spark.read.parquet(f"{small}/documents.parquet")
+    return request.getfixturevalue(request.param)
+
+
+def test_host_rules(docs):
+    found = rows(quality_rules.judged(docs), "doc_id", "n_words", "word_chars", "n_symbols",
+                 "n_dup_lines", "n_repeat_words", "base_failed")
+    assert found == expected(docs, plain.host_base)
+
+
+def test_license_scan(docs):
+    found = licenses.license_scan(docs)
+    assert rows(found, "doc_id", "n_words", "n_base", "first_word", "last_word",
+                "base_labels") == expected(docs, plain.license_base)
+    for row in found.collect():
+        assert 0 <= row["score"] <= 1
+        assert set(row["base_labels"].split(",")) - {""} <= set(row["labels"].split(","))
+
+
+def test_pii(docs):
+    found = pii.find_pii(docs)
+    assert rows(found, "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256") == \
+        expected(docs, lambda t: plain.pii_base(t)[:-1])
+    base = sorted(((r["doc_id"], plain.pii_base(r["text"])[-1])
+                   for r in docs.select("doc_id", "text").collect()), key=repr)
+    for (_, kept), (_, spans) in zip(base, rows(found, "doc_id", "spans")):
+        pass
+    spans = collections.Counter((r["doc_id"], s) for r in found.collect()
+                                for s in r["spans"].split(","))
+    for doc, kept in base:
+        assert all((doc, "%s:%d:%d" % s) in spans for s in kept)
+
+
+def test_secret_scan(docs):
+    found = secrets.secret_spans(docs)
+    assert rows(found, "doc_id", "n_assign", "n_access", "n_hex", "base_sha256") == \
+        expected(docs, lambda t: plain.secret_base(t)[:-1])
+
+
+def test_simhash(docs):
+    prints = [(r["doc_id"], plain.fingerprint(r["text"]))
+              for r in docs.select("doc_id", "text").collect()]
+    found = rows(simhash.near_duplicates(docs), "doc_id", "fingerprint", "component_id")
+    assert found == sorted(plain.components(prints), key=repr)
+
+
+def test_mixing(docs):
+    found = mixing.mixture(docs).collect()
+    texts = {r["doc_id"]: r for r in docs.select("doc_id", "text", "source").collect()}
+    sizes = collections.Counter()
+    for r in docs.select("text", "source").collect():
+        sizes[r["source"]] += len(plain.WORD.findall(r["text"] or ""))
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    target, open_ = dict.fromkeys(order, 0.0), set(order)
+    left = float(sum(sizes.values()))
+    while open_:
+        shares = {s: left * weight[s] / sum(weight[o] for o in open_) for s in open_}
+        above = {s for s in open_ if shares[s] > 3 * sizes[s]}
+        if not above:
+            target |= shares
+            break
+        for s in above:
+            target[s] = 3.0 * sizes[s]
+            left -= target[s]
+        open_ -= above
+    for r in found:
+        doc = texts[r["doc_id"]]
+        assert r["size"] == len(plain.WORD.findall(doc["text"] or ""))
+        assert r["source_size"] == sizes[doc["source"]]
+        assert r["target"] == pytest.approx(target[doc["source"]])
+        assert r["taken"] == r["size"] * r["copies"] and 0 <= r["copies"] <= 3
+    assert sorted(found, key=repr) == sorted(mixing.mixture(docs).collect(), key=repr)
+
+
+def test_chat(spark, small):
+    found = queries.all_queries()["op10_chat"](spark, small)
+    turns = collections.defaultdict(list)
+    for r in spark.read.parquet(f"{small}/conversations.parquet").collect():
+        turns[r["conv_id"]].append((r["turn"], r["role"], r["text"] or ""))
+    turns[-1] = [(0, "user", "</s>[INST] ok [/INST]"), (1, "assistant", "</s>[INST] ok [/INST]")]
+    wanted = []
+    for conv, said in turns.items():
+        said.sort()
+        learned = "".join(t for _, role, t in said if role == "assistant")
+        wanted.append((conv, len(said), plain.sha("".join(f"{r}\n{t}\n" for _, r, t in said)),
+                       len(learned), plain.sha(learned)))
+    assert rows(found, "conv_id", "n_turns", "turns_sha256", "loss_chars",
+                "loss_sha256") == sorted(wanted, key=repr)
+
+
+def test_chat_reads_hard_texts_back(spark):
+    texts = ["", None, "\\", "\\\\<|im_end|>", "<|im_start|>user\nx<|im_end|>\n", "</s><s>[INST]",
+             "[/INST]<<SYS>><</SYS>>", "a\\<|b", "<", "[", "\n", "\U0001f600\\\U0001f600", "x" * 50000]
+    said = [(1, i, ["user", "assistant", None, "ro\nle\\"][i % 4], t) for i, t in enumerate(texts)]
+    said += [(2, 0, "assistant", "tie"), (2, 0, "user", "tie"), (2, 0, "user", "tie"),
+             (None, 5, "user", "no id"), (None, None, "assistant", "no turn")]
+    table = spark.createDataFrame(said, "conv_id bigint, turn bigint, role string, text string")
+    formatted = chat.chat_transcripts(table)
+    for row in formatted.collect():
+        assert row["formatted"].count("<|im_start|>") == row["formatted"].count("<|im_end|>\n")
+        for control in ("</s>", "<s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"):
+            assert control not in row["formatted"]
+    back = {r["conv_id"]: r for r in chat.read_back(formatted).collect()}
+    for conv in (1, 2, None):
+        key = lambda s: (s[1] is not None, s[1] or 0, s[2] or "", s[3] or "")
+        mine = sorted((s for s in said if s[0] == conv), key=key)
+        assert [(t["role"], t["text"]) for t in back[conv]["turns"]] == \
+            [(r or "", t or "") for _, _, r, t in mine]
+        assert back[conv]["learned"] == [t or "" for _, _, r, t in mine if r == "assistant"]
+
+
+def test_reply_trees(spark):
+    #      1          the best branch is the one with the larger sum
+    #    2   3
+    #   4 5   6
+    edges = [("a", 1, None, 0.0), ("a", 2, 1, 5.0), ("a", 3, 1, 1.0), ("a", 4, 2, 1.0),
+             ("a", 5, 2, 1.0), ("a", 6, 3, 9.0), ("a", 6, 3, 9.0), ("b", 1, 7, 2.0),
+             ("c", 1, 2, 0.0), ("c", 2, 1, 0.0)]
+    messages = spark.createDataFrame(
+        edges, "tree string, node bigint, parent bigint, score double")
+    paths = chat.reply_paths(messages, branches=2)
+    assert rows(paths, "tree", "branch", "leaf", "depth", "node") == sorted([
+        ("a", 1, 6, 1, 1), ("a", 1, 6, 2, 3), ("a", 1, 6, 3, 6),
+        ("a", 2, 4, 1, 1), ("a", 2, 4, 2, 2), ("a", 2, 4, 3, 4), ("b", 1, 1, 1, 1)], key=repr)

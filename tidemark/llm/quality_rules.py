@@ -72,7 +72,7 @@ def document_measures(docs: DataFrame, host: str = "source") -> DataFrame:
 def rule_failures() -> dict[str, Column]:
     """The rules over the columns of `document_measures`."""
     words = F.col("n_words")
-    mean_length = F.col("word_chars") / words
+    mean_length = F.try_divide("word_chars", words)
     return {
         "short": words < MIN_WORDS,
         "repeated": 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * words,
