@@ -93,8 +93,11 @@ _UP: np.ndarray | None = None
 _DOWN: np.ndarray | None = None
 
 
-def _hash_piece(data: np.ndarray, separator: np.ndarray) -> np.ndarray:
-    """Hashes of the words of up to _PIECE bytes: polynomials in the bytes, from prefix sums."""
+def _hash_piece(data: np.ndarray, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of up to _PIECE bytes, and their last two bytes, the last one high.
+
+    The hashes are polynomials in the bytes, taken from prefix sums.
+    """
     global _UP, _DOWN
     if _UP is None:
         _UP, _DOWN = _powers(_BASE), _powers(_INVERSE)
@@ -105,18 +108,21 @@ def _hash_piece(data: np.ndarray, separator: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _UP[:len(data)], out=sums[1:])
     poly = (sums[ends] - sums[starts]) * _DOWN[starts]
-    return splitmix(poly + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    sizes = ends - starts
+    hashes = splitmix(poly + sizes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    before = np.where(sizes > 1, data[np.maximum(ends - 2, 0)], 0).astype(np.uint16)
+    return hashes, (data[ends - 1].astype(np.uint16) << 8) | before
 
 
-def word_hashes(data: bytes, separator: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the words of a text in order; `separator` marks the bytes between words.
+def words_of(data: bytes, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes and last two bytes of the words of a text; `separator` marks bytes between.
 
     Long texts are hashed piece by piece, cut between words, so that memory stays bounded; a
-    single word longer than a piece is hashed by its own length.
+    word longer than a piece is hashed by the hashes of its pieces.
     """
     array = np.frombuffer(data, dtype=np.uint8)
     if len(array) <= _PIECE:
-        return _hash_piece(array, separator) if len(array) else np.zeros(0, dtype=np.uint64)
+        return _hash_piece(array, separator)
     parts, at = [], 0
     while at < len(array):
         end = min(at + _PIECE, len(array))
@@ -132,15 +138,19 @@ def word_hashes(data: bytes, separator: np.ndarray) -> np.ndarray:
                 continue
         parts.append(_hash_piece(array[at:end], separator))
         at = end
-    return np.concatenate(parts)
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def word_hashes(data: bytes, separator: np.ndarray) -> np.ndarray:
+    return words_of(data, separator)[0]
 
 
-def _long_word(data: np.ndarray) -> np.ndarray:
-    value = np.uint64(len(data))
-    nothing = np.zeros(256, dtype=bool)
+def _long_word(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    value, nothing = np.full(1, np.uint64(len(data))), np.zeros(256, dtype=bool)
     for at in range(0, len(data), _PIECE):
-        value = splitmix((value + _hash_piece(data[at:at + _PIECE], nothing))[:1])[0]
-    return np.array([value], dtype=np.uint64)
+        hashes, tail = _hash_piece(data[at:at + _PIECE], nothing)
+        value = splitmix(value + hashes)
+    return value, tail
 
 
 def separators(characters: bytes) -> np.ndarray:

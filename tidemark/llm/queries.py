@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from registry.scratch import with_scratch
-from tidemark.llm import (chat, decontaminate, licenses, mixing, pii, quality_rules, secrets,
-                          simhash)
+from tidemark.llm import (chat, decontaminate, kneser_ney, licenses, mixing, pii, pitman_yor,
+                          quality_rules, secrets, simhash)
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def _decontamination(spark: SparkSession, folder: str) -> DataFrame:
                                   read_table(spark, folder, "benchmark"))
 
 
+def _quality(spark: SparkSession, folder: str) -> DataFrame:
+    return kneser_ney.judged(read_table(spark, folder, "documents"),
+                             read_table(spark, folder, "labels"))
+
+
 def _chat(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations, and one whose texts are control strings of other templates."""
     text = "</s>[INST] ok [/INST]"
@@ -36,7 +41,9 @@ def _chat(spark: SparkSession, folder: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     queries = {
         "op1_host_rules": _over_documents(quality_rules.judged),
+        "op2_pitman_yor": _over_documents(pitman_yor.document_scores),
         "op3_decontamination": _decontamination,
+        "op4_kneser_ney": _quality,
         "op5_license_scan": _over_documents(licenses.license_scan),
         "op6_pii": _over_documents(pii.find_pii),
         "op7_mixing": _over_documents(mixing.mixture),

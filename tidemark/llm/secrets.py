@@ -147,7 +147,7 @@ def redacted(docs: DataFrame, vocabulary: str = VOCABULARY,
                             redact(t, vocabulary, characters_per_token, mark) for v in values],
                            pa.string())
 
-    new_text = F.arrow_udf(run, "string", F.ArrowUDFType.SCALAR_ITER)
+    new_text = F.arrow_udf(run, "string")
     changed = docs.withColumn("text", new_text(F.col("text").cast("string")))
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.length("text").cast("bigint"))
