@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from registry.scratch import with_scratch
 from tidemark.llm import (chat, decontaminate, kneser_ney, licenses, mixing, pii, pitman_yor,
                           quality_rules, secrets, simhash)
@@ -50,6 +51,7 @@ def all_queries() -> dict[str, Query]:
         "op8_simhash": _over_documents(simhash.near_duplicates),
         "op9_secret_scan": _over_documents(secrets.secret_spans),
         "op10_chat": _chat,
+        "pipeline": corpus_pipeline.run,
     }
     return {name: with_scratch(query) for name, query in queries.items()}
 
