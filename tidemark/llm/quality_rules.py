@@ -86,7 +86,8 @@ def host_rates(measures: DataFrame) -> DataFrame:
     """`host`, `n_docs` and per rule the failures and the shrunk rate of each host.
 
     For a rule with mean rate m over all documents and variance v of the hosts' rates, the
-    prior is Beta(m*s, (1-m)*s) with s = m(1-m)/v - 1, at least 1 and at most 1e6.
+    prior is Beta(m*s, (1-m)*s) with s = m(1-m)/v - 1, at most 1e6. It is at least 2: a single
+    document never decides about its host.
     """
     rules = rule_failures()
     hosts = materialise(measures.groupBy("host").agg(
@@ -100,7 +101,7 @@ def host_rates(measures: DataFrame) -> DataFrame:
         mean = (moments and moments[f"{rule}_mean"]) or 0.0
         variance = (moments and moments[f"{rule}_var"]) or 0.0
         strength = mean * (1 - mean) / variance - 1 if variance > 0 else 1e6
-        strength = min(max(strength, 1.0), 1e6)
+        strength = min(max(strength, 2.0), 1e6)
         return ((F.col(f"{rule}_failures") + mean * strength)
                 / (F.col("n_docs") + strength)).alias(f"{rule}_rate")
 
