@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from registry.scratch import with_scratch
-from tidemark.llm import (chat, decontaminate, kneser_ney, licenses, mixing, pii, pitman_yor,
-                          quality_rules, secrets, simhash)
+from tidemark.llm import (chat, decontaminate, kneser_ney, licenses, mixing, oracle, pii,
+                          pitman_yor, quality_rules, secrets, simhash)
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,4 +57,4 @@ def all_queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.TEXTS)
