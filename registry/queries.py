@@ -14,7 +14,7 @@ from tidemark.columns import ACCOUNT, USER
 from tidemark.functions.time import moment
 from tidemark.operators import activity, closures, incremental, lifecycle, quality, reporting
 from tidemark.plans import checks, loads, marts
-from tidemark.session import materialise, new_scratch_path
+from tidemark.session import new_scratch_path
 from tidemark.sources import contracts
 from tidemark.sources.events import read_account_tables
 from tidemark.sources.tables import AccountTables, development_limit
@@ -22,6 +22,7 @@ from tidemark.sources.tables import AccountTables, development_limit
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_AT = datetime.datetime(2024, 1, 31, 6)
+LIMITED_ROWS = 100
 FIRST_RUN_END = datetime.datetime(2024, 1, 20)
 NULLABLE = {
     "account_created": contracts.ACCOUNT_CREATED.fieldNames(),
@@ -57,9 +58,22 @@ def _activity(t: AccountTables) -> DataFrame:
     return activity.user_activity_by_date(marts.open_spans(t), t.transactions)
 
 
+def _damaged(t: AccountTables) -> AccountTables:
+    """Some created rows without account id, others without user: no row is dropped.
+
+    The events of the former become orphans, so that checks and marts have both to deal with.
+    """
+    def lost(column: str, digit: str):
+        return F.when(~F.col(ACCOUNT).endswith(digit), F.col(column)).alias(column)
+
+    created = t.created.select(
+        lost(ACCOUNT, "7"), lost(USER, "3"), c.ACCOUNT_TYPE, c.CREATED)
+    return AccountTables(created, t.closed, t.reopened, t.transactions)
+
+
 def _development_limit(t: AccountTables) -> DataFrame:
     return _union(
-        development_limit(t.transactions, enabled)
+        development_limit(t.transactions, enabled, rows=LIMITED_ROWS)
         .agg(F.count(F.lit(1)).alias("row_count"))
         .select(F.lit(enabled).alias("limited"), "row_count")
         for enabled in (True, False))
@@ -100,16 +114,28 @@ def _changed_rows(t: AccountTables) -> DataFrame:
     return incremental.changed_rows(marts.unified_accounts(t), target)
 
 
-def _mart_literal(spark: SparkSession, folder: str) -> DataFrame:
-    t = _stored(read_account_tables(spark, folder))
+def _mart_literal(spark: SparkSession, folder: str, null_safe: bool = False) -> DataFrame:
+    t = _damaged(read_account_tables(spark, folder))
     path = new_scratch_path(spark, "unified_accounts")
-    loads.load_mart(spark, marts.unified_accounts(_first_run(t)), path)
-    return loads.load_mart(spark, marts.unified_accounts(t), path)
+    loads.load_mart(spark, marts.unified_accounts(_first_run(t)), path, null_safe)
+    return loads.load_mart(spark, marts.unified_accounts(t), path, null_safe)
 
 
-def _mart_rebuild(spark: SparkSession, folder: str) -> DataFrame:
-    t = _stored(read_account_tables(spark, folder))
+def _in_time(t: AccountTables) -> AccountTables:
+    """What the first run saw: nothing later than its end, and no row of a day's last hours."""
     seen = _first_run(t)
+
+    def before_ten(df: DataFrame, ts: str) -> DataFrame:
+        return df.filter(F.hour(ts) < 22)
+
+    return AccountTables(before_ten(seen.created, c.CREATED), before_ten(seen.closed, c.CLOSED),
+                         before_ten(seen.reopened, c.REOPENED), seen.transactions)
+
+
+def _mart_rebuild(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows without account id, and late rows that the second run's look-back misses."""
+    t = _damaged(read_account_tables(spark, folder))
+    seen = _in_time(t)
     path = new_scratch_path(spark, "unified_accounts")
     loads.rebuild_touched(spark, seen, incremental.touched_accounts(seen.created), path)
     batches = [incremental.look_back(now, before, key) for now, before, key in (
@@ -119,30 +145,41 @@ def _mart_rebuild(spark: SparkSession, folder: str) -> DataFrame:
     return loads.rebuild_touched(spark, t, incremental.touched_accounts(*batches), path)
 
 
-def _stored(t: AccountTables) -> AccountTables:
-    """The sources as written tables, for queries that read them many times."""
-    return AccountTables(**{
-        "created": materialise(t.created, "account_created"),
-        "closed": materialise(t.closed, "account_closed"),
-        "reopened": materialise(t.reopened, "account_reopened"),
-        "transactions": materialise(t.transactions, "account_transactions"),
-    })
+def _built(spark: SparkSession, t: AccountTables) -> dict[str, DataFrame]:
+    """The sources, and the marts as written tables."""
+    return _by_name(t) | marts.build_marts(spark, t, new_scratch_path(spark, "marts"))
+
+
+def _built_mart(name: str) -> Query:
+    return lambda spark, folder: _built(spark, read_account_tables(spark, folder))[name]
 
 
-def _published(t: AccountTables) -> dict[str, DataFrame]:
-    """The sources with the tables built on them, written because several checks read them."""
-    kept = materialise(closures.latest_closure_per_day(t.closed), "deduplicated_closures")
-    deduplicated = AccountTables(t.created, kept, t.reopened, t.transactions)
-    unified = materialise(marts.unified_accounts(deduplicated), "unified_accounts")
-    intervals = activity.open_intervals(activity.open_spans(unified))
-    rate = activity.active_user_rate(intervals, t.transactions)
-    return _by_name(t) | {
-        "deduplicated_closures": kept, "unified_accounts": unified,
-        "active_user_rate": materialise(rate, "active_user_rate")}
+def _schema_guard(spark: SparkSession, folder: str) -> DataFrame:
+    """A load whose source lacks a column is refused and leaves the table as it was."""
+    source = read_account_tables(spark, folder).closed
+    contract, key = loads.BASE_TABLES["account_closed"]
+    path = new_scratch_path(spark, "account_closed")
+    loads.load_base(spark, source, path, contract, key)
+    refused = False
+    try:
+        loads.load_base(spark, source.drop(key), path, contract, key)
+    except contracts.SchemaMismatch:
+        refused = True
+    return loads.read_base(spark, path, contract).withColumn("refused", F.lit(refused))
 
 
-def _check_not_null(t: AccountTables) -> DataFrame:
-    tables = _published(_stored(t))
+def _column_comments(spark: SparkSession, folder: str) -> DataFrame:
+    """The comments a written mart keeps, and how many values each column has."""
+    mart = _built(spark, read_account_tables(spark, folder))["active_user_rate"]
+    counts = mart.agg(*[F.count(n).alias(n) for n in mart.columns])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(f.name).alias("column_name"),
+                 F.lit(f.metadata.get("comment")).alias("comment"), F.col(f.name).alias("n_values"))
+        for f in mart.schema.fields])))
+
+
+def _check_not_null(spark: SparkSession, folder: str) -> DataFrame:
+    tables = _built(spark, _damaged(read_account_tables(spark, folder)))
     tables |= {"unified": tables["unified_accounts"], "rate": tables["active_user_rate"]}
     return _union(
         quality.null_counts(tables[name], columns)
@@ -176,20 +213,26 @@ def _check_one_user(t: AccountTables) -> DataFrame:
     return several(ACCOUNT, USER).unionByName(several(USER, ACCOUNT))
 
 
-def _check_summary(t: AccountTables) -> DataFrame:
+def _check_summary(spark: SparkSession, folder: str) -> DataFrame:
     declared = checks.source_checks() + checks.freshness_checks() + checks.mart_checks()
-    return checks.run_checks(_published(_stored(t)), declared, as_of=RUN_AT)
+    tables = _built(spark, _damaged(read_account_tables(spark, folder)))
+    return checks.run_checks(tables, declared, as_of=RUN_AT)
 
 
 def _stored_failures(spark: SparkSession, folder: str) -> DataFrame:
-    """Failing rows of the source checks, stored as tables and counted from there."""
-    t = _stored(read_account_tables(spark, folder))
-    paths = checks.store_failures(spark, _by_name(t), checks.source_checks(),
-                                  new_scratch_path(spark, "failures"))
+    """Failing rows of all row and table checks, stored as tables and counted from there."""
+    tables = _built(spark, _damaged(read_account_tables(spark, folder)))
+    declared = checks.source_checks() + checks.mart_checks()
+    stored = checks.store_failures(spark, tables, declared, new_scratch_path(spark, "failures"))
     return _union(
-        spark.read.parquet(path).agg(F.count(F.lit(1)).alias("stored_rows"))
+        df.agg(F.count(F.lit(1)).alias("stored_rows"))
         .select(F.lit(name).alias("check_name"), "stored_rows")
-        for name, path in paths.items())
+        for name, df in stored.items())
+
+
+def _check_columns(t: AccountTables) -> DataFrame:
+    """The declared columns, with one taken away from the created table."""
+    return checks.column_report(_by_name(t) | {"account_created": t.created.drop(USER)})
 
 
 def all_queries() -> dict[str, Query]:
@@ -213,6 +256,7 @@ def _queries() -> dict[str, Query]:
         "consecutive_closures": q(lambda t: lifecycle.consecutive_closures(_pairs(t))),
         "transaction_totals": q(lambda t: lifecycle.transaction_totals(t.transactions)),
         "unified_accounts": q(marts.unified_accounts),
+        "unified_accounts_without_id": q(lambda t: marts.unified_accounts(_damaged(t))),
         "unified_accounts_gap": q(lambda t: marts.unified_accounts(t, mode="gap")),
         "calculation_dates": q(lambda t: activity.calculation_dates(t.transactions)),
         "open_accounts_by_date": q(lambda t: activity.open_accounts_by_date(
@@ -226,6 +270,10 @@ def _queries() -> dict[str, Query]:
         "active_user_rate_as_of": q(marts.active_user_rate_as_of),
         # Looking up one user is the operator; it reads the whole tables like the others.
         "user_drilldown": q(lambda t: activity.user_drilldown(_activity(t), "user-1")),
+        "user_drilldown_on_date": q(lambda t: activity.user_drilldown(
+            _activity(t), "user-1", datetime.date(2024, 1, 20))),
+        "current_account_status_without_id": q(lambda t: lifecycle.current_account_status(
+            marts.unified_accounts(_damaged(t)))),
         "current_account_status": q(
             lambda t: lifecycle.current_account_status(marts.unified_accounts(t))),
         "status_counts": q(lambda t: reporting.status_counts(marts.unified_accounts(t))),
@@ -234,6 +282,8 @@ def _queries() -> dict[str, Query]:
         "anomalous_accounts": q(lambda t: lifecycle.anomalous_accounts(_pairs(t))),
         "lifecycle_by_week": q(lambda t: reporting.lifecycle_by_period(
             t.created, t.closed, t.reopened, period="week")),
+        "lifecycle_by_month": q(lambda t: reporting.lifecycle_by_period(
+            t.created, t.closed, t.reopened, period="month")),
         "cohort_retention_by_week": q(lambda t: reporting.cohort_retention(
             lifecycle.current_account_status(marts.unified_accounts(t)), period="week")),
         "account_transactions_over_time": q(
@@ -244,8 +294,14 @@ def _queries() -> dict[str, Query]:
         "incremental_reopens_state": _base_state("account_reopened"),
         "incremental_transactions_state": _base_state("account_transactions"),
         "incremental_mart_literal": _mart_literal,
+        "incremental_mart_null_safe": lambda spark, folder: _mart_literal(spark, folder, True),
         "incremental_mart_rebuild": _mart_rebuild,
-        "check_not_null": q(_check_not_null),
+        "schema_guard": _schema_guard,
+        "mart_unified_accounts": _built_mart("unified_accounts"),
+        "mart_active_user_rate": _built_mart("active_user_rate"),
+        "mart_column_comments": _column_comments,
+        "check_columns_exist": q(_check_columns),
+        "check_not_null": _check_not_null,
         "check_unique": q(lambda t: quality.duplicated_keys(
             t.transactions, [ACCOUNT], ignore_nulls=True)),
         "check_unique_combination": q(lambda t: quality.duplicated_keys(
@@ -253,9 +309,9 @@ def _queries() -> dict[str, Query]:
         # The accepted lists and bounds here are tighter than declared, to have failures.
         "check_accepted_values": q(lambda t: quality.unaccepted_values(
             marts.unified_accounts(t), c.ACCOUNT_TYPE, ["uk_retail", "uk_retail_pot"])),
-        "check_relationships": q(_check_relationships),
+        "check_relationships": q(lambda t: _check_relationships(_damaged(t))),
         "check_expression": q(lambda t: quality.violating_rows(
-            marts.unified_accounts(t), F.col(c.TOTAL) >= 1)),
+            marts.unified_accounts(_damaged(t)), F.col(c.TOTAL) >= 1)),
         "check_freshness": q(_check_freshness),
         "check_lifecycle_order": q(
             lambda t: quality.lifecycle_order_violations(marts.unified_accounts(t))),
@@ -264,5 +320,5 @@ def _queries() -> dict[str, Query]:
             marts.unified_accounts(_first_run(t)), t.transactions)),
         "check_one_user_per_account": q(_check_one_user),
         "check_stored_failures": _stored_failures,
-        "check_summary": q(_check_summary),
+        "check_summary": _check_summary,
     }

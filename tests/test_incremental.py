@@ -27,18 +27,12 @@ def days(df):
     return sorted((r.account_id_hashed, r.closed_ts.day) for r in df.collect())
 
 
-@pytest.fixture(params=["broadcast keys", "salted join"])
-def key_path(request, monkeypatch):
-    if request.param == "salted join":
-        monkeypatch.setattr(inc, "BROADCAST_KEYS", -1)
-
-
 def test_first_run_takes_everything(spark, tmp_path):
     source = closures(spark, ("a", "1 10:00"), ("b", None))
     assert spark_rows(load(spark, source, f"{tmp_path}/t")) == spark_rows(source)
 
 
-def test_look_back_is_three_days_inclusive_and_misses_older_rows(spark, tmp_path, key_path):
+def test_look_back_is_three_days_inclusive_and_misses_older_rows(spark, tmp_path):
     path = f"{tmp_path}/t"
     load(spark, closures(spark, ("a", "1 10:00"), ("a", "10 10:00")), path)
     source = closures(spark, ("a", "1 10:00"), ("a", "10 10:00"), ("late", "5 10:00"),
@@ -47,14 +41,14 @@ def test_look_back_is_three_days_inclusive_and_misses_older_rows(spark, tmp_path
     assert days(got) == [("a", 1), ("a", 10), ("edge", 7), ("new", 12)]
 
 
-def test_rows_of_a_reloaded_key_are_replaced(spark, tmp_path, key_path):
+def test_rows_of_a_reloaded_key_are_replaced(spark, tmp_path):
     path = f"{tmp_path}/t"
     load(spark, closures(spark, ("gone", "9 10:00"), ("kept", "9 11:00"), ("a", "10 10:00")), path)
     got = load(spark, closures(spark, ("there", "9 10:00"), ("a", "10 10:00")), path)
     assert days(got) == [("a", 10), ("kept", 9), ("there", 9)]
 
 
-def test_running_twice_changes_nothing(spark, tmp_path, small, key_path):
+def test_running_twice_changes_nothing(spark, tmp_path, small):
     t = survey_tables(spark, small)
     path = f"{tmp_path}/t"
     once = spark_rows(load(spark, t.closed, path))
@@ -62,13 +56,20 @@ def test_running_twice_changes_nothing(spark, tmp_path, small, key_path):
     assert spark_rows(load(spark, t.closed, path)) == once
 
 
+def files(spark, path, folder):
+    """The files of a partition in the current version, with their times."""
+    import pathlib
+
+    run = publish.partitions(spark, path)[folder]
+    return {p: p.stat().st_mtime_ns for p in pathlib.Path(f"{path}/data/{run}/{folder}").iterdir()}
+
+
 def test_only_days_in_the_look_back_are_rewritten(spark, tmp_path):
-    path = f"{tmp_path}/t"
+    path, day = f"{tmp_path}/t", "event_date=2024-01-01"
     load(spark, closures(spark, ("a", "1 10:00"), ("a", "10 10:00")), path)
-    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").glob("event_date=2024-01-01/*")}
+    before = files(spark, path, day)
     load(spark, closures(spark, ("a", "1 10:00"), ("a", "10 10:00"), ("b", "10 11:00")), path)
-    assert files and files == {
-        p: p.stat().st_mtime_ns for p in (tmp_path / "t").glob("event_date=2024-01-01/*")}
+    assert before and before == files(spark, path, day)
 
 
 def test_empty_target_loads_nothing(spark, tmp_path):
@@ -85,55 +86,56 @@ def test_changed_schema_is_refused(spark, tmp_path):
     load(spark, closures(spark, ("a", "1 10:00")), path)
     with pytest.raises(contracts.SchemaMismatch):
         loads.load_base(spark, closures(spark).drop(c.CLOSED), path, *CLOSED)
-    spark.range(1).withColumn(c.ACCOUNT, F.lit("a")).withColumn(
-        c.CLOSED, F.lit(ts("1 10:00")).cast("timestamp_ntz")).withColumn(
-        loads.EVENT_DATE, F.lit("2024-01-01").cast("date")).write.mode("overwrite").partitionBy(
-        loads.EVENT_DATE).parquet(path)
+    publish.replace_partitions(
+        spark.range(1).withColumn(c.ACCOUNT, F.lit("a")).withColumn(
+            c.CLOSED, F.lit(ts("1 10:00")).cast("timestamp_ntz")).withColumn(
+            loads.EVENT_DATE, F.lit("2024-01-01").cast("date")), path, loads.EVENT_DATE,
+        emptied=publish.partitions(spark, path))
     with pytest.raises(contracts.SchemaMismatch, match="id"):
         loads.load_base(spark, closures(spark), path, *CLOSED)
 
 
-def test_interrupted_publish_is_finished_by_the_next_run(spark, tmp_path, monkeypatch):
-    path = f"{tmp_path}/t"
-    load(spark, closures(spark, ("a", "1 10:00"), ("a", "9 10:00")), path)
-    with monkeypatch.context() as m:
-        m.setattr(publish, "finish_partitions", lambda *a: None)
-        source = closures(spark, ("a", "9 10:00"), ("b", "9 11:00"))
-        loads.load_base(spark, source, path, *CLOSED)
-    assert publish.path_exists(spark, path + publish.STAGED)
-    got = load(spark, closures(spark), path)
-    assert days(got) == [("a", 1), ("a", 9), ("b", 9)]
-    assert not publish.path_exists(spark, path + publish.STAGED)
-
-
-def test_publish_interrupted_between_two_days(spark, tmp_path, monkeypatch):
+def test_an_interrupted_run_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
     path = f"{tmp_path}/t"
-    load(spark, closures(spark, ("a", "8 10:00"), ("a", "9 10:00")), path)
-    source = closures(spark, ("b", "8 10:00"), ("b", "9 10:00"))
-    moved = []
+    before = load(spark, closures(spark, ("a", "1 10:00"), ("a", "9 10:00")), path)
+    source = closures(spark, ("a", "9 10:00"), ("b", "9 11:00"))
 
-    def rename_once(*args):
-        if moved:
-            raise OSError("lost")
-        moved.append(rename(*args))
+    def lost(*args):
+        raise OSError("lost")
 
-    rename = publish._rename
     with monkeypatch.context() as m:
-        m.setattr(publish, "_rename", rename_once)
+        m.setattr(publish, "_publish", lost)
         with pytest.raises(OSError):
             loads.load_base(spark, source, path, *CLOSED)
-    assert days(load(spark, closures(spark), path)) == [("b", 8), ("b", 9)]
+    assert days(loads.read_base(spark, path, contracts.ACCOUNT_CLOSED)) == [("a", 1), ("a", 9)]
+    # A version without its success marker does not count either.
+    spark.range(1).write.parquet(f"{path}/versions/2")
+    (tmp_path / "t/versions/2/_SUCCESS").unlink()
+    assert days(loads.read_base(spark, path, contracts.ACCOUNT_CLOSED)) == [("a", 1), ("a", 9)]
+    assert days(load(spark, source, path)) == [("a", 1), ("a", 9), ("b", 9)]
+    # Who began to read the old version still can.
+    assert days(before) == [("a", 1), ("a", 9)]
 
 
-def test_interrupted_replace_is_finished(spark, tmp_path, monkeypatch):
+def test_versions_of_a_whole_table(spark, tmp_path):
     path = f"{tmp_path}/t"
+    assert not publish.table_exists(spark, path) and publish.read_table(spark, path) is None
     publish.replace_table(spark.range(3), path)
-    with monkeypatch.context() as m:
-        m.setattr(publish, "finish_replace", lambda *a: None)
-        publish.replace_table(spark.range(5), path)
-    assert spark.read.parquet(path).count() == 3
-    publish.finish_replace(spark, path)
-    assert spark.read.parquet(path).count() == 5
+    publish.replace_table(publish.read_table(spark, path).unionByName(spark.range(2)), path)
+    assert publish.read_table(spark, path).count() == 5
+    assert len(list((tmp_path / "t/data").iterdir())) == 2
+    publish.vacuum(spark, path)
+    assert publish.read_table(spark, path).count() == 5
+    assert len(list((tmp_path / "t/data").iterdir())) == 1
+
+
+def test_the_batch_is_read_once(spark, tmp_path):
+    """What is deleted is what is inserted, even if the source has changed in between."""
+    path, source = f"{tmp_path}/t", f"{tmp_path}/source"
+    closures(spark, ("a", "9 10:00"), ("b", "9 11:00")).write.parquet(source)
+    read = spark.read.schema(contracts.ACCOUNT_CLOSED).parquet(source)
+    load(spark, read, path)
+    assert days(load(spark, read, path)) == [("a", 9), ("b", 9)]
 
 
 @pytest.fixture(scope="module")
@@ -141,11 +143,12 @@ def runs(spark, small):
     return survey_tables(spark, small, before="2024-01-20 00:00:00"), survey_tables(spark, small)
 
 
-def test_mart_keeps_stale_open_rows(spark, tmp_path, runs, key_path):
+def test_mart_keeps_stale_open_rows(spark, tmp_path, runs):
     first, second = (marts.unified_accounts(t) for t in runs)
     path = f"{tmp_path}/mart"
-    assert loads.load_mart(spark, first, path).count() == 336
-    assert inc.changed_rows(second, spark.read.parquet(path)).count() == 341
+    before = loads.load_mart(spark, first, path)
+    assert before.count() == 336
+    assert inc.changed_rows(second, before).count() == 341
     merged = loads.load_mart(spark, second, path)
     assert merged.count() == 592
     rows = ["account_id_hashed", "closed_ts", "account_status"]
@@ -154,9 +157,7 @@ def test_mart_keeps_stale_open_rows(spark, tmp_path, runs, key_path):
     assert len(merged.select(rows[:2]).exceptAll(second.select(rows[:2])).collect()) == 8
 
 
-@pytest.mark.parametrize("limit", [inc.BROADCAST_KEYS, -1])
-def test_rebuilding_touched_accounts_equals_a_full_rebuild(spark, tmp_path, runs, monkeypatch, limit):
-    monkeypatch.setattr(inc, "BROADCAST_KEYS", limit)
+def test_rebuilding_touched_accounts_equals_a_full_rebuild(spark, tmp_path, runs):
     seen, now = runs
     path = f"{tmp_path}/mart"
     loads.rebuild_touched(spark, seen, inc.touched_accounts(seen.created), path)
@@ -168,6 +169,45 @@ def test_rebuilding_touched_accounts_equals_a_full_rebuild(spark, tmp_path, runs
     assert spark_rows(got) == spark_rows(marts.unified_accounts(now))
 
 
+@pytest.mark.parametrize("others", [0, 1_000_000])
+def test_rebuild_is_the_same_however_many_accounts_are_touched(spark, tmp_path, others):
+    path = f"{tmp_path}/mart"
+    created = [("a", "u", "uk_retail", "1"), ("b", "u", "uk_retail", "1"), (None, "v", None, "1")]
+    old = spark_tables(spark, written(created=created, transactions=[("a", 1, "2"), ("b", 1, "2")]))
+    loads.rebuild_touched(spark, old, inc.touched_accounts(old.created), path)
+    # b has a late row, but is not touched; a and the rows without id are.
+    now = spark_tables(spark, written(
+        created=[*created, (None, "w", "uk_retail", "9")],
+        transactions=[("a", 1, "2"), ("b", 1, "2"), ("b", 5, "1"), ("a", 2, "9")]))
+    touched = spark_tables(spark, written(closed=[("a", "9"), (None, "9")])).closed.select(c.ACCOUNT)
+    many = spark.range(others).select(F.concat(F.lit("other-"), "id").alias(c.ACCOUNT))
+    got = loads.rebuild_touched(spark, now, inc.touched_accounts(touched, many), path)
+    rows = sorted((r.account_id_hashed or "", r.user_id_hashed, r.total_transactions)
+                  for r in got.collect())
+    assert rows == [("", "v", 0), ("", "w", 0), ("a", "u", 3), ("b", "u", 1)]
+
+
+def test_untouched_buckets_keep_their_files(spark, tmp_path):
+    path = f"{tmp_path}/mart"
+    t = spark_tables(spark, written(created=[(f"a{i}", "u", "uk_retail", "1") for i in range(40)]))
+    loads.rebuild_touched(spark, t, inc.touched_accounts(t.created), path)
+    before = publish.partitions(spark, path)
+    touched = t.created.filter(F.col(c.ACCOUNT) == "a7").select(c.ACCOUNT)
+    got = loads.rebuild_touched(spark, t, touched, path)
+    after = publish.partitions(spark, path)
+    assert got.count() == 40 and before.keys() == after.keys()
+    assert sum(before[f] != after[f] for f in before) == 1
+
+
+def test_an_account_that_vanished_leaves_its_bucket(spark, tmp_path):
+    path = f"{tmp_path}/mart"
+    t = spark_tables(spark, written(created=[("a", "u", "uk_retail", "1"), ("b", "u", "uk_retail", "1")]))
+    loads.rebuild_touched(spark, t, inc.touched_accounts(t.created), path)
+    less = spark_tables(spark, written(created=[("b", "u", "uk_retail", "1")]))
+    got = loads.rebuild_touched(spark, less, inc.touched_accounts(t.created), path)
+    assert [r.account_id_hashed for r in got.collect()] == ["b"]
+
+
 def test_newest_open_account_is_inserted_again_unless_null_safe(spark, tmp_path):
     t = spark_tables(spark, written(created=[("a", "u", "uk_retail", "1 08:00")],
                                     closed=[("x", "1 09:00")], reopened=[("x", "1 09:00")]))

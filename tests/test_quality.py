@@ -92,13 +92,31 @@ def test_freshness_boundary(spark):
 
 def test_failing_rows_are_stored_and_cleared(spark, tmp_path, sources):
     rules = [checks.not_null("account_created", c.USER), checks.unique("account_created", c.ACCOUNT)]
-    paths = checks.store_failures(spark, sources, rules, str(tmp_path))
-    stored = [spark.read.parquet(p).collect() for p in paths.values()]
-    assert [r.account_id_hashed for r in stored[0]] == ["b"]
-    assert [tuple(r) for r in stored[1]] == [("a", 2)]
+    stored = checks.store_failures(spark, sources, rules, str(tmp_path))
+    assert [r.account_id_hashed for r in stored[rules[0].name].collect()] == ["b"]
+    assert [tuple(r) for r in stored[rules[1].name].collect()] == [("a", 2)]
     sound = {"account_created": sources["account_created"].filter(F.col(c.ACCOUNT) == "none")}
-    checks.store_failures(spark, sound, rules, str(tmp_path))
-    assert spark.read.parquet(paths[rules[0].name]).count() == 0
+    stored = checks.store_failures(spark, sound, rules, str(tmp_path))
+    assert [stored[r.name].count() for r in rules] == [0, 0]
+
+
+def test_row_checks_of_a_table_are_stored_in_one_pass(spark, tmp_path, sources):
+    rules = [r for r in checks.source_checks() if r.table == "account_created"]
+    stored = checks.store_failures(spark, sources, rules, str(tmp_path))
+    assert {n: df.count() for n, df in stored.items()} == {
+        r.name: EXPECTED[r.name][0] for r in rules}
+    written_tables = {p.name for p in tmp_path.iterdir()}
+    assert written_tables == {"rows_of_account_created"} | {
+        r.name for r in rules if isinstance(r, checks.TableCheck)}
+
+
+def test_column_report(sources):
+    lacking = sources | {"account_created": sources["account_created"].drop(c.USER)}
+    report = {(r.table_name, r.column_name): (r.present, r.n_values)
+              for r in checks.column_report(lacking).collect()}
+    assert report["account_created", c.USER] == (False, 0)
+    assert report["account_created", c.ACCOUNT] == (True, 3)
+    assert report["account_transactions", c.TX_DATE] == (True, 3)
 
 
 def test_mart_checks_on_damaged_marts(spark):
@@ -160,19 +178,20 @@ def test_reading_folders_and_databases(spark, tmp_path, damaged):
 
 
 def test_development_limit(damaged):
-    assert development_limit(damaged.closed, True, rows=2).count() == 2
-    assert development_limit(damaged.closed, False, rows=2).count() == 4
+    assert development_limit(damaged.closed, True, 2).count() == 2
+    assert development_limit(damaged.closed, False, 2).count() == 4
 
 
 def test_scratch_folder_comes_from_the_session():
     from tidemark.session import scratch_root
 
     class Session:
-        def __init__(self, master, folder):
-            self.sparkContext = type("Context", (), {"master": master})()
+        def __init__(self, folder, context_folder=None):
+            self.sparkContext = type("Context", (), {
+                "getCheckpointDir": lambda _: context_folder})()
             self.conf = {"spark.checkpoint.dir": folder}
 
-    assert scratch_root(Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
-    assert scratch_root(Session("local[2]", None))
+    assert scratch_root(Session("hdfs:///shared/")) == "hdfs:///shared"
+    assert scratch_root(Session(None, "hdfs:///other")) == "hdfs:///other"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_root(Session("spark://host:7077", None))
+        scratch_root(Session(None))

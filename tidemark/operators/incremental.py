@@ -5,16 +5,12 @@ from __future__ import annotations
 import functools
 import operator
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import columns as c
 from tidemark.columns import ACCOUNT
 from tidemark.functions.time import moment
 
-# Largest number of keys sent to every executor; counted before each use.
-BROADCAST_KEYS = 500_000
-SALTS = 16
-
 
 def look_back_start(target: DataFrame, ts: str, days: int = 3):
     """The moment `days` before the target's latest timestamp; None if there is none."""
@@ -33,29 +29,22 @@ def look_back(source: DataFrame, target: DataFrame, ts: str, days: int = 3) -> D
     return source.filter(F.col(ts) >= moment(start))
 
 
+def _matches(keys: list[str], prefix: str, null_safe: bool) -> Column:
+    same = [F.col(k).eqNullSafe(F.col(prefix + k)) if null_safe
+            else F.col(k) == F.col(prefix + k) for k in keys]
+    return functools.reduce(operator.and_, same)
+
+
 def delete_insert(target: DataFrame, batch: DataFrame, keys: list[str],
-                  null_safe: bool = False, salts: int = 1) -> DataFrame:
+                  null_safe: bool = False) -> DataFrame:
     """Target rows whose key is not in the batch, and the batch.
 
-    A NULL in a key matches nothing unless `null_safe`. Few keys are broadcast. Otherwise
-    the join shuffles; with `salts` > 1 a key shared by many target rows is spread over that
-    many tasks, at the price of as many copies of each batch key.
+    A NULL in a key matches nothing unless `null_safe`. The batch shrinks to its distinct keys,
+    so the target is the only side that can be skewed, and adaptive execution splits it.
     """
     batch_keys = batch.select([F.col(k).alias(f"batch_{k}") for k in keys]).distinct()
-    rows = target
-    if batch_keys.count() <= BROADCAST_KEYS:
-        batch_keys = F.broadcast(batch_keys)
-    elif salts > 1:
-        salt = F.pmod(F.xxhash64(*target.columns), F.lit(salts)).cast("int")
-        rows = target.withColumn("salt", salt)
-        batch_keys = batch_keys.withColumn(
-            "batch_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    same = [F.col(k).eqNullSafe(F.col(f"batch_{k}")) if null_safe
-            else F.col(k) == F.col(f"batch_{k}") for k in keys]
-    if "batch_salt" in batch_keys.columns:
-        same.append(F.col("salt") == F.col("batch_salt"))
-    kept = rows.join(batch_keys, functools.reduce(operator.and_, same), "left_anti")
-    return kept.select(*target.columns).unionByName(batch)
+    kept = target.join(batch_keys, _matches(keys, "batch_", null_safe), "left_anti")
+    return kept.unionByName(batch)
 
 
 def changed_rows(unified: DataFrame, target: DataFrame) -> DataFrame:
@@ -67,6 +56,13 @@ def changed_rows(unified: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def touched_accounts(*batches: DataFrame) -> DataFrame:
-    """The distinct accounts in any of the batches."""
+    """The distinct accounts in any of the batches; rows without account id count as one."""
     keys = [b.select(ACCOUNT) for b in batches]
-    return functools.reduce(DataFrame.unionByName, keys).dropna().distinct()
+    return functools.reduce(DataFrame.unionByName, keys).distinct()
+
+
+def of_accounts(df: DataFrame, accounts: DataFrame, inside: bool = True) -> DataFrame:
+    """Rows of the given accounts, or of all others; a NULL account id equals NULL."""
+    keys = accounts.select(F.col(ACCOUNT).alias(f"touched_{ACCOUNT}"))
+    return df.join(keys, _matches([ACCOUNT], "touched_", True),
+                   "left_semi" if inside else "left_anti")

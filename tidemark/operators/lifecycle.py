@@ -69,15 +69,36 @@ def closure_reopen_pairs(created: DataFrame, closures: DataFrame,
     """One row per account and closure with the reopening that followed.
 
     Accounts without closure keep one row; events of unknown accounts drop out. Grouping by
-    all columns is done early, on the accounts, where copies combine before the shuffle.
+    all columns is done early, on the accounts, where copies combine before the shuffle. Rows
+    without account id match no event; they go round the join, which would bring all of them
+    to one task.
     """
-    accounts = created.select(ACCOUNT, USER, c.CREATED, c.ACCOUNT_TYPE).distinct()
+    return _paired(created, closures, reopened).unionByName(_never_closed(created))
+
+
+def _paired(created: DataFrame, closures: DataFrame, reopened: DataFrame) -> DataFrame:
+    accounts = _with_id(created.select(ACCOUNT, USER, c.CREATED, c.ACCOUNT_TYPE)).distinct()
     return (
         accounts.join(first_reopen_after(closures, reopened), ACCOUNT, "left")
         .select(*PAIR_COLUMNS)
     )
 
 
+def _never_closed(created: DataFrame) -> DataFrame:
+    """The pairs of created rows without account id: no event is theirs."""
+    never = F.lit(None).cast("timestamp_ntz")
+    rows = _without_id(created.select(ACCOUNT, USER, c.CREATED, c.ACCOUNT_TYPE)).distinct()
+    return rows.withColumns({CLOSED: never, REOPENED: never}).select(*PAIR_COLUMNS)
+
+
+def _with_id(df: DataFrame) -> DataFrame:
+    return df.filter(F.col(ACCOUNT).isNotNull())
+
+
+def _without_id(df: DataFrame) -> DataFrame:
+    return df.filter(F.col(ACCOUNT).isNull())
+
+
 def account_status(pairs: DataFrame, states: int = 3) -> DataFrame:
     """Add the status of each row; with two states a reopened row reads as open."""
     if states not in (2, 3):
@@ -133,12 +154,18 @@ def with_closure_flag(status_rows: DataFrame) -> DataFrame:
     The rows are already partitioned by account, so the counts are windows over that
     partitioning. The flag belongs to the account: if several users share an account id, each
     of their qualifying groups contributes one copy of every row, as a join on the account
-    would. With unique account ids the factor is 1.
+    would. With unique account ids the factor is 1. Rows without account id belong to no
+    account: their flag is 0, and they stay out of the windows, where they would be one key.
     """
+    return _flagged(_with_id(status_rows)).unionByName(
+        _without_id(status_rows).withColumn(c.FLAG, F.lit(0).cast("bigint")))
+
+
+def _flagged(status_rows: DataFrame) -> DataFrame:
     owner = W.partitionBy(ACCOUNT, USER).orderBy(c.CREATED, CLOSED)
     whole_owner = owner.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     account = W.partitionBy(ACCOUNT)
-    groups = F.when(F.col(ACCOUNT).isNotNull(), F.col("qualifying_groups")).otherwise(0)
+    groups = F.col("qualifying_groups")
     return (
         status_rows
         .withColumns({
@@ -164,33 +191,39 @@ def unified_accounts(created: DataFrame, closed: DataFrame, reopened: DataFrame,
     """The enriched lifecycle table: status, anomaly flag and transaction total per closure.
 
     Closures, pairs, flag and totals all meet on the account partitioning, so the joins need
-    no shuffle beyond the ones that bring each input to it.
+    no shuffle beyond the ones that bring each input to it. Created rows without account id
+    have no events: they are open, with total and flag 0, and are added at the end.
     """
     closures = deduplicate_closures(closed, mode, gap_seconds)
-    rows = account_status(closure_reopen_pairs(created, closures, reopened), states)
-    return (
-        with_closure_flag(rows)
-        .join(transaction_totals(transactions), ACCOUNT, "left")
-        .select(
+
+    def shown(rows: DataFrame) -> DataFrame:
+        return rows.select(
             ACCOUNT, USER, c.ACCOUNT_TYPE, STATUS, c.CREATED, CLOSED, REOPENED,
-            F.coalesce(c.TOTAL, F.lit(0).cast("bigint")).alias(c.TOTAL),
-            c.FLAG,
-        )
-    )
+            F.coalesce(c.TOTAL, F.lit(0).cast("bigint")).alias(c.TOTAL), c.FLAG)
+
+    nothing = F.lit(0).cast("bigint")
+    known = account_status(_paired(created, closures, reopened), states)
+    unknown = account_status(_never_closed(created), states).withColumns(
+        {c.TOTAL: nothing, c.FLAG: nothing})
+    return shown(
+        _flagged(known).join(transaction_totals(transactions), ACCOUNT, "left")
+    ).unionByName(shown(unknown))
 
 
 def current_account_status(unified: DataFrame) -> DataFrame:
     """One row per account: the row of its latest closure.
 
     The maximum of a struct that starts with the closure; NULL sorts lowest in a struct, so an
-    account without closure keeps its only row.
+    account without closure keeps its only row. Rows without account id are accounts of their
+    own and all stay.
     """
     rest = [n for n in unified.columns if n not in (ACCOUNT, CLOSED)]
     latest = F.max(F.struct(CLOSED, *rest)).alias("latest")
     return (
-        unified.groupBy(ACCOUNT).agg(latest)
+        _with_id(unified).groupBy(ACCOUNT).agg(latest)
         .select(*[F.col(n) if n == ACCOUNT else F.col(f"latest.{n}").alias(n)
                   for n in unified.columns])
+        .unionByName(_without_id(unified))
     )
 
 

@@ -148,16 +148,18 @@ def mart_checks() -> list[Check]:
     ]
 
 
+DECLARED = {
+    "account_created": contracts.ACCOUNT_CREATED,
+    "account_reopened": contracts.ACCOUNT_REOPENED,
+    "account_closed": contracts.ACCOUNT_CLOSED,
+    "account_transactions": contracts.ACCOUNT_TRANSACTIONS,
+}
+
+
 def missing_columns(tables: Tables) -> dict[str, list[str]]:
     """Declared columns each source table lacks; empty lists are good. Runs no job."""
-    declared = {
-        "account_created": contracts.ACCOUNT_CREATED,
-        "account_reopened": contracts.ACCOUNT_REOPENED,
-        "account_closed": contracts.ACCOUNT_CLOSED,
-        "account_transactions": contracts.ACCOUNT_TRANSACTIONS,
-    }
     return {name: contracts.missing_columns(tables[name], contract)
-            for name, contract in declared.items() if name in tables}
+            for name, contract in DECLARED.items() if name in tables}
 
 
 def grade(failures: Column, warn_above: Column, error_above: Column) -> Column:
@@ -219,16 +221,53 @@ def failing_rows(tables: Tables, check: RowCheck | TableCheck) -> DataFrame:
     return tables[check.table].filter(check.failing)
 
 
+def _tagged(df: DataFrame, checks: list[RowCheck]) -> DataFrame:
+    """Failing rows of all the checks, once for each check a row fails."""
+    failed = F.filter(F.array(*[F.when(check.failing, check.name) for check in checks]),
+                      lambda name: name.isNotNull())
+    return df.select("*", F.explode(failed).alias("check_name"))
+
+
 def store_failures(spark: SparkSession, tables: Tables, checks: list[Check],
-                   folder: str) -> dict[str, str]:
-    """Write the failing rows of each check to `<folder>/<check name>`; returns the paths.
+                   folder: str) -> dict[str, DataFrame]:
+    """Write the failing rows of each check below `folder`; returns them as stored, by name.
 
-    A check that passes leaves an empty table, which clears the failures of an earlier run.
+    All row checks of a table share one pass over it and one table partitioned by check; a
+    table check has a table of its own. A check that passes has no rows stored, which clears
+    the failures of an earlier run.
     """
-    paths = {}
+    stored = {}
+    by_table: dict[str, list[RowCheck]] = {}
     for check in checks:
-        if isinstance(check, FreshnessCheck):
-            continue
-        paths[check.name] = f"{folder}/{check.name}"
-        failing_rows(tables, check).write.mode("overwrite").parquet(paths[check.name])
-    return paths
+        if isinstance(check, RowCheck):
+            by_table.setdefault(check.table, []).append(check)
+        elif isinstance(check, TableCheck):
+            failing = check.failing_rows(tables)
+            failing.write.mode("overwrite").parquet(f"{folder}/{check.name}")
+            stored[check.name] = spark.read.schema(failing.schema).parquet(
+                f"{folder}/{check.name}")
+    for table, group in by_table.items():
+        path = f"{folder}/rows_of_{table}"
+        tagged = _tagged(tables[table], group)
+        tagged.write.mode("overwrite").partitionBy("check_name").parquet(path)
+        rows = spark.read.schema(tagged.schema).parquet(path)
+        for check in group:
+            stored[check.name] = rows.filter(F.col("check_name") == check.name).drop("check_name")
+    return stored
+
+
+def column_report(tables: Tables) -> DataFrame:
+    """For each declared column of the source tables: whether it is there, and its values.
+
+    One pass per table; a missing column has no values.
+    """
+    parts = []
+    for name, lacking in missing_columns(tables).items():
+        declared = DECLARED[name].fieldNames()
+        counts = tables[name].agg(*[
+            (F.lit(0).cast("bigint") if n in lacking else F.count(n)).alias(n) for n in declared])
+        parts.append(counts.select(F.inline(F.array(*[
+            F.struct(F.lit(name).alias("table_name"), F.lit(n).alias("column_name"),
+                     F.lit(n not in lacking).alias("present"), F.col(n).alias("n_values"))
+            for n in declared]))))
+    return functools.reduce(DataFrame.unionByName, parts)

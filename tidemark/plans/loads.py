@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark import columns as c
 from tidemark.columns import ACCOUNT
@@ -16,6 +17,10 @@ from tidemark.sources import contracts
 from tidemark.sources.tables import AccountTables
 
 EVENT_DATE = "event_date"
+BUCKET = "bucket"
+# Parts of the mart; fixed for its lifetime. An incremental run rewrites whole parts, so there
+# should be many more than a run touches accounts' worth of: raise it for a large mart.
+MART_BUCKETS = 32
 MART_KEY = [ACCOUNT, c.CLOSED, c.CREATED]
 
 # Contract and delete+insert key of each base table.
@@ -27,19 +32,18 @@ BASE_TABLES = {
 }
 
 
-def _read_stored(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
-    """The stored table with its day partition; without any partition yet, an empty table."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        return spark.createDataFrame([], T.StructType(
-            [*contract.fields, T.StructField(EVENT_DATE, T.DateType())]))
+def _stored(spark: SparkSession, path: str, contract: T.StructType,
+            wanted: Callable[[str], bool] | None = None) -> DataFrame:
+    """The stored rows, or those of the `wanted` partitions, as the contract has them."""
+    stored = publish.read_table(spark, path, wanted)
+    if stored is None:
+        return spark.createDataFrame([], contract)
+    contracts.require_same_columns(stored, contract)
+    return contracts.conform(stored, contract)
 
 
 def read_base(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
-    return contracts.conform(_read_stored(spark, path, contract), contract)
+    return _stored(spark, path, contract)
 
 
 def load_base(spark: SparkSession, source: DataFrame, path: str, contract: T.StructType,
@@ -48,24 +52,23 @@ def load_base(spark: SparkSession, source: DataFrame, path: str, contract: T.Str
 
     The first run writes everything and returns None; later runs read the look-back window,
     merge it by delete+insert into the days it covers, rewrite those days only, and return the
-    batch. The latest timestamp is looked up in the latest day, not in the whole target. A
-    target without any has no look-back window, and nothing is loaded.
+    batch. The batch is read from the source once and written down, so what is deleted is what
+    is inserted. The latest timestamp is looked up in the latest day, not in the whole target.
+    A target without any has no look-back window, and nothing is loaded.
     """
     incoming = contracts.conform(source, contract)
-    publish.finish_partitions(spark, path)
-    if not publish.path_exists(spark, path):
+    if not publish.table_exists(spark, path):
         publish.replace_partitions(_with_date(incoming, key), path, EVENT_DATE)
         return None
-    stored = _read_stored(spark, path, contract)
-    contracts.require_same_columns(stored.drop(EVENT_DATE), contract)
-    latest = publish.latest_partition(spark, path, EVENT_DATE)
+    latest = publish.latest_partition(spark, path)
     if latest is None:
         return incoming.filter(F.lit(False))
-    start = inc.look_back_start(stored.filter(F.col(EVENT_DATE) == latest), key, days)
-    batch = incoming.filter(F.col(key) >= moment(start))
-    recent = contracts.conform(
-        stored.filter(F.col(EVENT_DATE) >= F.lit(start.date())), contract)
-    merged = inc.delete_insert(recent, batch, [key], salts=inc.SALTS)
+    start = inc.look_back_start(_stored(spark, path, contract, latest.__eq__), key, days)
+    batch = materialise(incoming.filter(F.col(key) >= moment(start)), "batch")
+    first = f"{EVENT_DATE}={start.date()}"
+    recent = _stored(spark, path, contract,
+                     lambda f: f >= first and not f.endswith(publish.NULL_FOLDER))
+    merged = inc.delete_insert(recent, batch, [key])
     publish.replace_partitions(_with_date(merged, key), path, EVENT_DATE)
     return batch
 
@@ -74,44 +77,65 @@ def _with_date(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn(EVENT_DATE, day_of(key))
 
 
+def _bucket() -> Column:
+    """The part of the mart an account's rows lie in; rows without account id have their own."""
+    return F.when(F.col(ACCOUNT).isNull(), F.lit(-1)).otherwise(
+        F.pmod(F.xxhash64(ACCOUNT), F.lit(MART_BUCKETS)).cast("int"))
+
+
+def _folders_of(df: DataFrame) -> set[str]:
+    """The mart folders that hold the accounts of `df`: at most MART_BUCKETS + 1."""
+    rows = df.select(_bucket().alias(BUCKET)).distinct().collect()
+    return {f"{BUCKET}={r[BUCKET]}" for r in rows}
+
+
+def read_mart(spark: SparkSession, path: str) -> DataFrame:
+    return _stored(spark, path, contracts.UNIFIED_ACCOUNTS)
+
+
+def _write_mart(df: DataFrame, path: str, emptied: set[str] = frozenset()) -> None:
+    publish.replace_partitions(df.withColumn(BUCKET, _bucket()), path, BUCKET, emptied)
+
+
 def load_mart(spark: SparkSession, unified: DataFrame, path: str,
               null_safe: bool = False) -> DataFrame:
     """Merge the changed rows of the unified table into the mart by its three-column key.
 
-    As declared, with its limits: an account's old `open` row has no closure timestamp, so it
-    matches no key and stays once the account closes, and totals alone do not make a row
-    "changed". `rebuild_touched` has neither limit.
+    Only the buckets of changed accounts are read and rewritten. As declared, with its limits:
+    an account's old `open` row has no closure timestamp, so it matches no key and stays once
+    the account closes, and totals alone do not make a row "changed". `rebuild_touched` has
+    neither limit.
     """
     unified = contracts.conform(unified, contracts.UNIFIED_ACCOUNTS)
-    publish.finish_replace(spark, path)
-    if not publish.path_exists(spark, path):
-        publish.replace_table(unified, path)
+    if not publish.table_exists(spark, path):
+        _write_mart(unified, path)
     else:
-        target = spark.read.parquet(path)
-        contracts.require_same_columns(unified, target.schema)
-        batch = materialise(inc.changed_rows(unified, target), "changed_rows")
-        publish.replace_table(inc.delete_insert(target, batch, MART_KEY, null_safe), path)
-    return spark.read.parquet(path)
+        batch = materialise(inc.changed_rows(unified, read_mart(spark, path)), "changed_rows")
+        folders = _folders_of(batch)
+        target = _stored(spark, path, contracts.UNIFIED_ACCOUNTS, folders.__contains__)
+        _write_mart(inc.delete_insert(target, batch, MART_KEY, null_safe), path)
+    return read_mart(spark, path)
 
 
 def rebuild_touched(spark: SparkSession, tables: AccountTables, touched: DataFrame,
                     path: str) -> DataFrame:
     """Recompute every row of the touched accounts and put them in place of the old ones.
 
-    Up to `BROADCAST_KEYS` accounts, the account list is broadcast and all inputs shrink
-    before their first shuffle. Beyond that the shrinking would shuffle as much as the whole
-    computation, so the mart is rebuilt from all accounts. The result is the same.
+    Rows without account id are one account here: if one is touched, all are recomputed. An
+    account that is not touched keeps its rows, whatever happened to its events since. Only the
+    buckets of touched accounts are rewritten. How many accounts are touched changes nothing
+    but the cost.
     """
-    publish.finish_replace(spark, path)
+    if not publish.table_exists(spark, path):
+        _write_mart(_unified(tables), path)
+        return read_mart(spark, path)
     touched = materialise(touched, "touched_accounts")
-    if publish.path_exists(spark, path) and touched.count() <= inc.BROADCAST_KEYS:
-        keys = F.broadcast(touched)
-        fresh = _unified(tables.map(lambda t: t.join(keys, ACCOUNT, "left_semi")))
-        kept = spark.read.parquet(path).join(keys, ACCOUNT, "left_anti")
-        publish.replace_table(kept.unionByName(fresh), path)
-    else:
-        publish.replace_table(_unified(tables), path)
-    return spark.read.parquet(path)
+    fresh = _unified(tables.map(lambda t: inc.of_accounts(t, touched)))
+    folders = _folders_of(touched)
+    old = _stored(spark, path, contracts.UNIFIED_ACCOUNTS, folders.__contains__)
+    kept = inc.of_accounts(old, touched, inside=False)
+    _write_mart(kept.unionByName(fresh), path, folders)
+    return read_mart(spark, path)
 
 
 def _unified(tables: AccountTables) -> DataFrame:

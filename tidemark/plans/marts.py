@@ -49,9 +49,8 @@ def create_base_views(t: AccountTables) -> None:
 def build_marts(spark: SparkSession, t: AccountTables, folder: str) -> dict[str, DataFrame]:
     """Write closures, unified accounts and the rate; each later table reads written ones."""
     def publish_table(name: str, df: DataFrame) -> DataFrame:
-        publish.finish_replace(spark, f"{folder}/{name}")
         publish.replace_table(df, f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
+        return publish.read_table(spark, f"{folder}/{name}")
 
     closures = publish_table("deduplicated_closures", latest_closure_per_day(t.closed))
     deduplicated = AccountTables(t.created, closures, t.reopened, t.transactions)

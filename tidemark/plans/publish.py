@@ -1,14 +1,23 @@
-"""Replacing written tables so that an interrupted run can be repeated.
+"""Written tables in versions: a new one appears in a single step, and readers never wait.
 
-A result is first written in full beside the table. Its success marker then means "to be
-published", and publishing can be repeated from the staged files until it is through.
+    <path>/data/<run>/[<partition folder>/]part-...    files, written once and never changed
+    <path>/versions/<number>/                          which run holds each partition
+
+A run writes its files first and then the next version, a small table whose success marker
+makes it the current one. Nothing is moved or overwritten, so a reader keeps the version it
+began with, an interrupted run leaves the table as it was, and an object store does as well as
+a file system. Partitions that a run does not touch keep their files.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
-STAGED = "__staged"
+WHOLE = ""
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -16,74 +25,91 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _exists(spark: SparkSession, path: str) -> bool:
     file_system, hadoop_path = _file_system(spark, path)
     return file_system.exists(hadoop_path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def _folders(spark: SparkSession, path: str) -> list[str]:
     file_system, hadoop_path = _file_system(spark, path)
-    file_system.delete(hadoop_path, True)
+    if not file_system.exists(hadoop_path):
+        return []
+    return [s.getPath().getName() for s in file_system.listStatus(hadoop_path) if s.isDirectory()]
 
 
-def _rename(spark: SparkSession, old: str, new: str) -> None:
-    file_system, old_path = _file_system(spark, old)
-    if not file_system.rename(old_path, spark._jvm.org.apache.hadoop.fs.Path(new)):
-        raise OSError(f"could not rename {old} to {new}")
+def _current_number(spark: SparkSession, path: str) -> int:
+    """The latest complete version, or 0."""
+    numbers = sorted((int(n) for n in _folders(spark, f"{path}/versions")), reverse=True)
+    return next((n for n in numbers if _exists(spark, f"{path}/versions/{n}/_SUCCESS")), 0)
 
 
-def _is_pending(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, f"{path}{STAGED}/_SUCCESS")
+def table_exists(spark: SparkSession, path: str) -> bool:
+    return _current_number(spark, path) > 0
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """Replace the whole table at `path`, which `df` may read."""
-    df.write.mode("overwrite").parquet(path + STAGED)
-    finish_replace(df.sparkSession, path)
+def partitions(spark: SparkSession, path: str) -> dict[str, str]:
+    """The current version: partition folder (or WHOLE) to run. One entry per partition."""
+    number = _current_number(spark, path)
+    if not number:
+        return {}
+    rows = spark.read.schema("folder string, run string").parquet(f"{path}/versions/{number}")
+    return {r["folder"]: r["run"] for r in rows.collect()}
+
 
+def _publish(spark: SparkSession, path: str, entries: dict[str, str]) -> None:
+    versions = [int(n) for n in _folders(spark, f"{path}/versions")]
+    rows = spark.createDataFrame(sorted(entries.items()), "folder string, run string")
+    rows.coalesce(1).write.parquet(f"{path}/versions/{max(versions, default=0) + 1}")
 
-def finish_replace(spark: SparkSession, path: str) -> None:
-    """Publish a staged table, if one is pending."""
-    if _is_pending(spark, path):
-        _delete(spark, path)
-        _rename(spark, path + STAGED, path)
 
+def replace_table(df: DataFrame, path: str) -> None:
+    """Put `df`, which may read the table, in place of the whole table."""
+    run = uuid.uuid4().hex
+    df.write.parquet(f"{path}/data/{run}")
+    _publish(df.sparkSession, path, {WHOLE: run})
 
-def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
-    """Replace the partitions `df` holds rows of; leave the others alone.
 
-    The rebalance hint lets adaptive execution split a large day over several files and put
-    small days together.
+def replace_partitions(df: DataFrame, path: str, partition: str,
+                       emptied: Iterable[str] = ()) -> None:
+    """Replace the partitions `df` holds rows of, drop those `emptied` names otherwise.
+
+    The rebalance hint lets adaptive execution split a large partition over several files and
+    put small ones together.
     """
-    (df.hint("rebalance", partition).write.mode("overwrite")
-       .partitionBy(partition).parquet(path + STAGED))
-    finish_partitions(df.sparkSession, path)
+    spark, run = df.sparkSession, uuid.uuid4().hex
+    (df.hint("rebalance", partition).write.partitionBy(partition).parquet(f"{path}/data/{run}"))
+    gone = set(emptied)
+    entries = {f: r for f, r in partitions(spark, path).items() if f not in gone}
+    entries |= {folder: run for folder in _folders(spark, f"{path}/data/{run}")}
+    _publish(spark, path, entries)
 
 
-def finish_partitions(spark: SparkSession, path: str) -> None:
-    """Publish staged partitions, if any are pending, by moving their folders.
+def read_table(spark: SparkSession, path: str,
+               wanted: Callable[[str], bool] | None = None) -> DataFrame | None:
+    """The rows of the current version, or of the partition folders `wanted`; None if no file.
 
-    A folder leaves the staging area only once it is in place, so after an interruption the
-    rest can still be moved. The loop runs over days, not over data.
+    Partition columns are not read back: a table keeps what it needs in its own columns.
     """
-    if not _is_pending(spark, path):
-        return
-    if not path_exists(spark, path):
-        _rename(spark, path + STAGED, path)
-        return
-    for folder in _folders(spark, path + STAGED):
-        _delete(spark, f"{path}/{folder}")
-        _rename(spark, f"{path}{STAGED}/{folder}", f"{path}/{folder}")
-    _delete(spark, path + STAGED)
+    places = [f"{path}/data/{run}/{folder}".rstrip("/")
+              for folder, run in sorted(partitions(spark, path).items())
+              if wanted is None or wanted(folder)]
+    return spark.read.parquet(*places) if places else None
 
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    file_system, hadoop_path = _file_system(spark, path)
-    return [s.getPath().getName() for s in file_system.listStatus(hadoop_path) if s.isDirectory()]
+def latest_partition(spark: SparkSession, path: str) -> str | None:
+    """The folder with the largest value; NULLs do not count."""
+    return max((f for f in partitions(spark, path) if not f.endswith(NULL_FOLDER)), default=None)
+
 
+def vacuum(spark: SparkSession, path: str) -> None:
+    """Delete the files of runs that the current version does not use, and older versions.
 
-def latest_partition(spark: SparkSession, path: str, partition: str) -> str | None:
-    """The largest partition value by folder name, which spares a scan; NULLs do not count."""
-    prefix = f"{partition}="
-    values = [f.removeprefix(prefix) for f in _folders(spark, path) if f.startswith(prefix)]
-    return max((v for v in values if v != "__HIVE_DEFAULT_PARTITION__"), default=None)
+    To be called when no reader holds an older version and no run is writing.
+    """
+    used, number = set(partitions(spark, path).values()), _current_number(spark, path)
+    old = [f"{path}/data/{run}" for run in _folders(spark, f"{path}/data") if run not in used]
+    old += [f"{path}/versions/{n}" for n in _folders(spark, f"{path}/versions")
+            if int(n) < number]
+    for place in old:
+        file_system, hadoop_path = _file_system(spark, place)
+        file_system.delete(hadoop_path, True)

@@ -1,16 +1,15 @@
 """Account tables derived from a generic `events` table.
 
 Gives the operators something to run on where only an event stream
-(event_id, ts, user_id, event_type, value, props) exists. Every event row is considered; what
-an event means follows from its type and value:
+(event_id, ts, user_id, event_type, value, props) exists. Every event row counts; what it means
+follows from its type alone:
 
-    signup              the first one opens the account, if the account ever has a large one
-    error, value > 75   closes the account
-    click, value > 75   reopens the account
-    purchase, view with value > 90    daily activity; only purchases count as transactions
+    signup           the first one opens the account
+    error            closes the account
+    click            reopens the account
+    purchase, view   daily activity; only purchases count as transactions
 
-Accounts without a large signup stay unknown, so some closures, reopenings and transactions
-are orphans, and some closures precede the opening: the checks have something to find.
+The account's type follows from the largest value of its signups.
 """
 
 from __future__ import annotations
@@ -20,11 +19,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark import columns as c
 from tidemark.sources.tables import AccountTables, conform_all
 
-OPENING_VALUE = 75
-CLOSING_VALUE = 75
-REOPENING_VALUE = 75
-ACTIVITY_VALUE = 90
-
 # Upper bound of the largest signup value per account type; above the last one the type is
 # NULL. The type names are fixed values of the data model.
 TYPE_BANDS = [(120, "uk_retail"), (180, "uk_retail_pot"), (300, "uk_retail_joint")]
@@ -46,7 +40,6 @@ def account_tables(events: DataFrame) -> AccountTables:
         events.filter(F.col("event_type") == "signup")
         .groupBy("user_id")
         .agg(F.min("ts").alias(c.CREATED), F.max("value").alias("largest"))
-        .filter(F.col("largest") > OPENING_VALUE)
         .select(
             _account(),
             F.concat(F.lit("user-"),
@@ -56,16 +49,15 @@ def account_tables(events: DataFrame) -> AccountTables:
         )
     )
     closed = (
-        events.filter((F.col("event_type") == "error") & (F.col("value") > CLOSING_VALUE))
+        events.filter(F.col("event_type") == "error")
         .select(_account(), F.col("ts").alias(c.CLOSED))
     )
     reopened = (
-        events.filter((F.col("event_type") == "click") & (F.col("value") > REOPENING_VALUE))
+        events.filter(F.col("event_type") == "click")
         .select(_account(), F.col("ts").alias(c.REOPENED))
     )
     transactions = (
-        events.filter(F.col("event_type").isin("purchase", "view")
-                      & (F.col("value") > ACTIVITY_VALUE))
+        events.filter(F.col("event_type").isin("purchase", "view"))
         .groupBy("user_id", F.col("ts").cast("date").alias("day"))
         .agg(F.count_if(F.col("event_type") == "purchase").alias(c.TX_COUNT))
         .select(_account(), c.TX_COUNT, F.col("day").cast("timestamp_ntz").alias(c.TX_DATE))

@@ -51,6 +51,9 @@ def read_database(spark: SparkSession, database: str) -> AccountTables:
                        read("account_reopened"), read("account_transactions"))
 
 
-def development_limit(df: DataFrame, enabled: bool, rows: int = 1000) -> DataFrame:
-    """At most `rows` arbitrary rows while developing; everything otherwise."""
+def development_limit(df: DataFrame, enabled: bool, rows: int) -> DataFrame:
+    """At most `rows` arbitrary rows while developing; everything otherwise.
+
+    Only for trying things out: no other plan calls it, and `rows` has no default.
+    """
     return df.limit(rows) if enabled else df

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.time import day_of
 from tidemark.plans.loads import load_base
 
 
@@ -13,13 +14,18 @@ def load_on_arrival(spark: SparkSession, source_path: str, source_schema: T.Stru
                     days: int = 3) -> StreamingQuery:
     """Process everything that arrived since the last call, then stop.
 
-    The stream only notices arrivals. Each batch runs `load_base` over the source, since
-    delete+insert needs all rows of a key, not just the new ones. The load can be repeated, so
-    a batch that is retried after a failure does no harm.
+    Delete+insert needs all rows of a key, so the days that the arrived rows fall on are read
+    again from the source, from the first of them on; the filter reaches the scan. A batch
+    without rows loads nothing. The load can be repeated, so a batch that is retried after a
+    failure does no harm.
     """
-    def load(_, __) -> None:
+    def load(arrived: DataFrame, _) -> None:
+        first = arrived.agg(F.min(day_of(key))).first()[0]
+        if first is None:
+            return
         source = spark.read.schema(source_schema).parquet(source_path)
-        load_base(spark, source, target_path, contract, key, days)
+        affected = source.filter(F.col(key) >= F.lit(first).cast("timestamp_ntz"))
+        load_base(spark, affected, target_path, contract, key, days)
 
     arrivals = spark.readStream.schema(source_schema).parquet(source_path)
     return (
