@@ -48,8 +48,8 @@ CONTEXTS, PARENTS = 1 << CONTEXT_BITS, 64
 STRENGTH = 1.0
 BURN_IN, SAMPLES = 3, 4
 WHOLE = 64
-BLOCK_BYTES = 20 << 20
-SHARD_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+SHARD_BYTES = 8 << 20
 SEED = 11
 
 _END = np.uint64(0x9F4E0D5C31B7A268)
