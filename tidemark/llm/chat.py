@@ -73,12 +73,13 @@ def reply_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         above = climbs.select(F.col("tree").alias("t"), F.col("node").alias("n"),
                               F.col("up").alias("next"), F.col("steps").alias("more"),
                               F.col("total").alias("rest"))
-        joined = climbs.join(above, (F.col("tree") == F.col("t")) & (F.col("up") == F.col("n")),
-                             "left")
-        climbs = materialise(joined.select(
+        # Only messages that are not at their root yet climb on.
+        moved = climbs.filter("up IS NOT NULL").join(
+            above, (F.col("tree") == F.col("t")) & (F.col("up") == F.col("n"))).select(
             "tree", "node", F.col("next").alias("up"),
-            (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
-            (F.col("total") + F.coalesce("rest", F.lit(0.0))).alias("total")), "climbs")
+            (F.col("steps") + F.col("more")).alias("steps"),
+            (F.col("total") + F.col("rest")).alias("total"))
+        climbs = materialise(climbs.filter("up IS NULL").unionByName(moved), "climbs")
     rooted = climbs.filter("up IS NULL")
     parents = first.filter("up IS NOT NULL").select("tree", F.col("up").alias("node"))
     leaves = rooted.join(parents, ["tree", "node"], "left_anti")
