@@ -108,9 +108,8 @@ def test_an_interrupted_run_leaves_the_table_as_it_was(spark, tmp_path, monkeypa
         with pytest.raises(OSError):
             loads.load_base(spark, source, path, *CLOSED)
     assert days(loads.read_base(spark, path, contracts.ACCOUNT_CLOSED)) == [("a", 1), ("a", 9)]
-    # A version without its success marker does not count either.
-    spark.range(1).write.parquet(f"{path}/versions/2")
-    (tmp_path / "t/versions/2/_SUCCESS").unlink()
+    # A version that was not finished does not count either.
+    (tmp_path / "t/versions/_half").write_text("{")
     assert days(loads.read_base(spark, path, contracts.ACCOUNT_CLOSED)) == [("a", 1), ("a", 9)]
     assert days(load(spark, source, path)) == [("a", 1), ("a", 9), ("b", 9)]
     # Who began to read the old version still can.

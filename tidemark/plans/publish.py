@@ -1,16 +1,17 @@
 """Written tables in versions: a new one appears in a single step, and readers never wait.
 
     <path>/data/<run>/[<partition folder>/]part-...    files, written once and never changed
-    <path>/versions/<number>/                          which run holds each partition
+    <path>/versions/<number>                           which run holds each partition, as JSON
 
-A run writes its files first and then the next version, a small table whose success marker
-makes it the current one. Nothing is moved or overwritten, so a reader keeps the version it
-began with, an interrupted run leaves the table as it was, and an object store does as well as
-a file system. Partitions that a run does not touch keep their files.
+A run writes its files first and then the next version, one small file that appears under its
+number when it is complete. Data is never moved or overwritten, so a reader keeps the version
+it began with, and an interrupted run leaves the table as it was. Of two runs that publish at
+once, one fails. Partitions that a run does not touch keep their files.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Iterable
 
@@ -25,41 +26,49 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    file_system, hadoop_path = _file_system(spark, path)
-    return file_system.exists(hadoop_path)
-
-
-def _folders(spark: SparkSession, path: str) -> list[str]:
+def _names(spark: SparkSession, path: str, folders: bool) -> list[str]:
+    """The folders, or else the files, in a folder; none if it does not exist."""
     file_system, hadoop_path = _file_system(spark, path)
     if not file_system.exists(hadoop_path):
         return []
-    return [s.getPath().getName() for s in file_system.listStatus(hadoop_path) if s.isDirectory()]
+    return [s.getPath().getName() for s in file_system.listStatus(hadoop_path)
+            if s.isDirectory() == folders]
 
 
-def _current_number(spark: SparkSession, path: str) -> int:
-    """The latest complete version, or 0."""
-    numbers = sorted((int(n) for n in _folders(spark, f"{path}/versions")), reverse=True)
-    return next((n for n in numbers if _exists(spark, f"{path}/versions/{n}/_SUCCESS")), 0)
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the complete versions, in order."""
+    return sorted(int(n) for n in _names(spark, f"{path}/versions", False) if n.isdigit())
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    return _current_number(spark, path) > 0
+    return bool(_versions(spark, path))
 
 
 def partitions(spark: SparkSession, path: str) -> dict[str, str]:
     """The current version: partition folder (or WHOLE) to run. One entry per partition."""
-    number = _current_number(spark, path)
-    if not number:
+    numbers = _versions(spark, path)
+    if not numbers:
         return {}
-    rows = spark.read.schema("folder string, run string").parquet(f"{path}/versions/{number}")
-    return {r["folder"]: r["run"] for r in rows.collect()}
+    file_system, file = _file_system(spark, f"{path}/versions/{numbers[-1]}")
+    stream = file_system.open(file)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
 
 
 def _publish(spark: SparkSession, path: str, entries: dict[str, str]) -> None:
-    versions = [int(n) for n in _folders(spark, f"{path}/versions")]
-    rows = spark.createDataFrame(sorted(entries.items()), "folder string, run string")
-    rows.coalesce(1).write.parquet(f"{path}/versions/{max(versions, default=0) + 1}")
+    """Write the next version under another name and give it its number in one step."""
+    number = max(_versions(spark, path), default=0) + 1
+    file_system, hidden = _file_system(spark, f"{path}/versions/_{uuid.uuid4().hex}")
+    stream = file_system.create(hidden)
+    try:
+        stream.write(bytearray(json.dumps(entries, sort_keys=True).encode()))
+    finally:
+        stream.close()
+    final = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/versions/{number}")
+    if file_system.exists(final) or not file_system.rename(hidden, final):
+        raise OSError(f"version {number} of {path} exists already")
 
 
 def replace_table(df: DataFrame, path: str) -> None:
@@ -80,7 +89,7 @@ def replace_partitions(df: DataFrame, path: str, partition: str,
     (df.hint("rebalance", partition).write.partitionBy(partition).parquet(f"{path}/data/{run}"))
     gone = set(emptied)
     entries = {f: r for f, r in partitions(spark, path).items() if f not in gone}
-    entries |= {folder: run for folder in _folders(spark, f"{path}/data/{run}")}
+    entries |= {folder: run for folder in _names(spark, f"{path}/data/{run}", True)}
     _publish(spark, path, entries)
 
 
@@ -106,10 +115,9 @@ def vacuum(spark: SparkSession, path: str) -> None:
 
     To be called when no reader holds an older version and no run is writing.
     """
-    used, number = set(partitions(spark, path).values()), _current_number(spark, path)
-    old = [f"{path}/data/{run}" for run in _folders(spark, f"{path}/data") if run not in used]
-    old += [f"{path}/versions/{n}" for n in _folders(spark, f"{path}/versions")
-            if int(n) < number]
+    used = set(partitions(spark, path).values())
+    old = [f"{path}/data/{run}" for run in _names(spark, f"{path}/data", True) if run not in used]
+    old += [f"{path}/versions/{n}" for n in _versions(spark, path)[:-1]]
     for place in old:
         file_system, hadoop_path = _file_system(spark, place)
         file_system.delete(hadoop_path, True)
