@@ -117,6 +117,18 @@ def test_decontamination_without_rows(spark, none, hard):
     assert {r["doc_id"] for r in decontaminate.overlaps(hard, some).collect()} == {15}
 
 
+def test_items_with_one_id_or_none_are_compared_each(spark):
+    first, second, third = (" ".join(f"{name}{i}" for i in range(20)) for name in "abc")
+    docs = spark.createDataFrame(
+        [(1, f"{third} x {first} y {second}"), (2, second), (3, "clean words only")],
+        "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, first), (7, second), (None, third)],
+                                  "item_id bigint, text string")
+    found = {(r["doc_id"], r["item_id"]): (r["first_token"], r["n_tokens"])
+             for r in decontaminate.overlaps(docs, items).collect()}
+    assert found == {(1, 7): (21, 20), (1, None): (0, 20), (2, 7): (0, 20)}
+
+
 def test_best_run():
     region = np.array([9, 9, 1, 2, 3, 4, 8, 6, 7, 9])
     item = np.array([1, 2, 3, 4, 5, 6, 7])
@@ -142,6 +154,10 @@ def test_licence_expressions(text, labels, reusable):
 
 
 def test_licence_tag_in_text():
+    two = licenses.scan(b"SPDX-License-Identifier: ISC SPDX-License-Identifier: Zlib")
+    assert two[5] == "isc,zlib"
+    long = licenses.scan(b"SPDX-License-Identifier: " + b"MIT OR " * 200 + b"GPL-2.0")
+    assert long[5] == "gpl,mit" and long[8] is True
     found = licenses.scan(b"// SPDX-License-Identifier: Apache-2.0 OR MIT\ncode")
     assert found[5] == "apache,mit" and found[6] == 1.0 and found[8] is True
 

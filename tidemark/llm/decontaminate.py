@@ -11,8 +11,9 @@ test hashes exactly, so a full bitmap costs time but no result.
 
 Tokens are lower-cased words without ASCII punctuation. Items with fewer tokens than a mask is
 long are compared by windows of their own length. Items without tokens, null texts and empty
-texts match nothing. Repeated rows are reported once per doc_id and item_id. Other columns do
-not matter. Empty tables give an empty result.
+texts match nothing. Items that share an item_id, or have none, are compared each by its own
+tokens. Repeated rows are reported once per doc_id and item_id, where null is an id like others.
+Other columns do not matter. Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -61,7 +62,10 @@ def masks_for(count: int) -> list[str]:
 
 
 def item_tokens(items: DataFrame) -> DataFrame:
-    """`item_id`, `tokens` (hashes), one row per different item with tokens."""
+    """`item`, `item_id`, `tokens` (hashes), one row per different item with tokens.
+
+    `item` is a hash of the other two, which tells items with the same id, or none, apart.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tokens = [token_hashes(t.as_py()).view(np.int64) for t in batch.column(1)]
@@ -71,12 +75,13 @@ def item_tokens(items: DataFrame) -> DataFrame:
 
     chosen = items.select(F.col("item_id").cast("bigint").alias("item_id"),
                           F.col("text").cast("string").alias("text"))
-    return chosen.mapInArrow(run, "item_id bigint, tokens array<bigint>").filter(
+    tokens = chosen.mapInArrow(run, "item_id bigint, tokens array<bigint>").filter(
         F.size("tokens") > 0).distinct()
+    return tokens.select(F.xxhash64("item_id", "tokens").alias("item"), "item_id", "tokens")
 
 
 def item_windows(tokens: DataFrame) -> DataFrame:
-    """`hash`, `item_id`, `item_at` for every window of every item under its masks."""
+    """`hash`, `item`, `item_at`, `item_size` for every window of every item under its masks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for item, values in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -86,10 +91,12 @@ def item_windows(tokens: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(hashes.view(np.int64)),
                          pa.array([item] * len(hashes), pa.int64()),
-                         pa.array(np.arange(len(hashes), dtype=np.int64))],
-                        names=["hash", "item_id", "item_at"])
+                         pa.array(np.arange(len(hashes), dtype=np.int64)),
+                         pa.array([len(row)] * len(hashes), pa.int64())],
+                        names=["hash", "item", "item_at", "item_size"])
 
-    return tokens.mapInArrow(run, "hash bigint, item_id bigint, item_at bigint")
+    return tokens.select("item", "tokens").mapInArrow(
+        run, "hash bigint, item bigint, item_at bigint, item_size bigint")
 
 
 def bitmap_of(windows: DataFrame) -> bytes:
@@ -211,10 +218,18 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     hits = regions.select("region_id", F.explode(F.arrays_zip("window_at", "hash")).alias("w")) \
         .select("region_id", "w.window_at", "w.hash")
     found = hits.join(windows, "hash").select(
-        "region_id", "item_id", (F.col("window_at") - F.col("item_at")).alias("shift")).distinct()
-    pairs = found.join(regions.select("region_id", "doc_id", "region_at", "region"), "region_id") \
-        .join(tokens, "item_id")
-    checked = pairs.select("doc_id", "item_id", "shift", "region_at", "region", "tokens") \
+        "region_id", "item", "item_size",
+        (F.col("window_at") - F.col("item_at")).alias("shift")).distinct()
+    # Of a region, a pair takes along no more than what lies against the item.
+    first = F.greatest("shift", F.lit(0))
+    against = F.slice("region", first.cast("int") + 1,
+                      (F.col("item_size") + F.least("shift", F.lit(0))).cast("int"))
+    pairs = found.join(
+        regions.select("region_id", "doc_id", "region_at", "region"), "region_id").select(
+        "doc_id", "item", F.least("shift", F.lit(0)).alias("shift"),
+        (F.col("region_at") + first).alias("region_at"), against.alias("region"))
+    checked = pairs.join(tokens, "item").select(
+        "doc_id", "item_id", "shift", "region_at", "region", "tokens") \
         .mapInArrow(_verified, "doc_id bigint, item_id bigint, first_token bigint, "
                                "n_tokens bigint, n_equal bigint")
     best = F.max(F.struct("n_equal", (-F.col("n_tokens")).alias("l"),

@@ -59,7 +59,8 @@ IDENTIFIERS = {
 
 _NOT_WORD = bytes(c for c in range(128) if not (chr(c).isdigit() or "a" <= chr(c) <= "z"))
 _TO_WORDS = bytes.maketrans(_NOT_WORD, b" " * len(_NOT_WORD))
-_EXPRESSION = re.compile(rb"spdx-license-identifier:[ \t]*([a-z0-9.+() \t-]{1,400})")
+_TAG = re.compile(rb"spdx-license-identifier:")
+_EXPRESSION = re.compile(rb"[a-z0-9.+() \t-]*")
 _TOKEN = re.compile(r"[()]|[a-z0-9.+-]+")
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
@@ -177,8 +178,8 @@ def scan(text: bytes | None) -> tuple:
             strength[label] = max(strength.get(label, 0.0), value)
     reusable = None
     if tagged:
-        for match in _EXPRESSION.finditer(lowered):
-            expression = match[1].decode("ascii").strip()
+        for tag in _TAG.finditer(lowered):
+            expression = _EXPRESSION.match(lowered, tag.end())[0].decode("ascii").strip()
             labels, allowed = evaluate(expression)
             for label in labels:
                 strength[label] = 1.0
