@@ -124,6 +124,14 @@ def test_pitman_yor_reruns_agree_and_blocks_do_not_matter(spark, smallest, monke
     first = {r["doc_id"]: r for r in py.document_scores(docs).collect()}
     again = {r["doc_id"]: r for r in py.document_scores(docs).collect()}
     assert first == again
+    # More blocks, whose requests are united over several levels.
+    monkeypatch.setattr(py, "FAN_IN", 2)
+    levels = py.united_requests(
+        py.blocks_of(docs.repartition(7), 8).filter("shard >= 0").select(
+            "shard", "block", "keys", "counts"), 7)
+    assert len(levels) == 2
+    cut = {r["doc_id"]: r for r in py.document_scores(docs.repartition(7)).collect()}
+    assert first == cut
 
 
 def test_pitman_yor_hard_rows(spark, hard, none):

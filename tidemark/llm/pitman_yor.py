@@ -17,8 +17,10 @@ totals of each sample are exact, so the probabilities of a context sum to one.
 How it is spread out: a dish (a word) lives in one shard with all of its restaurants, so seating
 needs only the totals of the restaurants from elsewhere, 4,161 numbers. Documents are cut into
 blocks of text. A block counts its different (word, context) pairs and sends each once, so a hot
-word costs a row per block at most. The shards answer with a probability for each pair, and the
-blocks score their documents. Columns of numbers travel compressed. Blocks, counts and seatings
+word costs a row per block at most. A shard's requests are united some FAN_IN at a time, level by
+level, so no task holds those of all blocks, however hot a word. The shards answer with a
+probability for each pair, the answers go down the same levels, and the blocks score their
+documents. Columns of numbers travel compressed. Blocks, counts and seatings
 are written tables, so a lost executor costs its own tasks.
 
 Words are told apart by 52 bits of a hash. Null and empty texts have one token, the end. A
@@ -50,6 +52,7 @@ BURN_IN, SAMPLES = 3, 4
 WHOLE = 64
 BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 8 << 20
+FAN_IN = 64
 SEED = 11
 
 _END = np.uint64(0x9F4E0D5C31B7A268)
@@ -107,7 +110,7 @@ def blocks_of(docs: DataFrame, shards: int) -> DataFrame:
         everything = np.concatenate(keys)
         distinct, place = np.unique(everything, return_inverse=True)
         trained = np.repeat(~np.array(held), sizes)
-        counts = np.bincount(place[trained], minlength=len(distinct)).astype(np.int32)
+        counts = np.bincount(place[trained], minlength=len(distinct)).astype(np.int64)
         tokens = np.empty(len(everything), dtype=np.int32)
         at = 0
         for size in sizes.tolist():
@@ -290,10 +293,14 @@ _STATE = "shard int, keys binary, counts binary, blocks array<bigint>, places ar
          "totals array<double>, seen array<bigint>"
 
 
-def _gather(table: pa.Table) -> pa.Table:
-    """One shard: the union of the requested keys with their counts, and who asked for which."""
+_UNITED = "shard int, block bigint, keys binary, counts binary, blocks array<bigint>, " \
+          "places array<binary>"
+
+
+def _united(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """The union of the requested keys, their counts, and where the keys of each request lie."""
     keys = [unpacked(k, "u8") for k in table["keys"].to_pylist()]
-    counts = [unpacked(c, "i4") for c in table["counts"].to_pylist()]
+    counts = [unpacked(c, "i8") for c in table["counts"].to_pylist()]
     distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(place, weights=np.concatenate(counts), minlength=len(distinct)) \
         .astype(np.int64)
@@ -301,6 +308,35 @@ def _gather(table: pa.Table) -> pa.Table:
     for part in keys:
         places.append(packed(np.diff(place[at:at + len(part)], prepend=0).astype(np.int32)))
         at += len(part)
+    return distinct, total, places
+
+
+def _unite(table: pa.Table) -> pa.Table:
+    """Some requests to a shard as one."""
+    distinct, total, places = _united(table)
+    row = [table["shard"][0].as_py(), table["union"][0].as_py(), packed(distinct), packed(total),
+           table["block"].to_pylist(), places]
+    types = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()),
+             pa.list_(pa.binary())]
+    return pa.Table.from_arrays([pa.array([v], t) for v, t in zip(row, types)],
+                                names=[f.split()[0] for f in _UNITED.split(", ")])
+
+
+def united_requests(requests: DataFrame, blocks: int) -> list[DataFrame]:
+    """The levels of united requests, until those of some FAN_IN blocks or unions are left."""
+    levels = []
+    while blocks > FAN_IN:
+        blocks = -(-blocks // FAN_IN)
+        levels.append(materialise(
+            requests.withColumn("union", F.pmod(F.xxhash64("block"), F.lit(blocks)))
+            .groupBy("shard", "union").applyInArrow(_unite, _UNITED), "united_requests"))
+        requests = levels[-1].select("shard", "block", "keys", "counts")
+    return levels
+
+
+def _gather(table: pa.Table) -> pa.Table:
+    """One shard: the union of the requested keys with their counts, and who asked for which."""
+    distinct, total, places = _united(table)
     shard = Shard(distinct, total)
     seating = shard.seating()
     seen = [int(np.count_nonzero(shard.word_counts)), int(total.sum())]
@@ -349,6 +385,20 @@ def sampled_totals(state: DataFrame, model: Model) -> np.ndarray:
     return _summed(totals, "totals").reshape(SAMPLES, -1)
 
 
+_REPLIES = "block bigint, shard int, logs binary, known binary"
+
+
+def _replies(shard: int, blocks: list[int], places: list[bytes], logs: np.ndarray,
+             known: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """What each of the blocks asked for, out of the values for the union of their keys."""
+    for block, place in zip(blocks, places):
+        at = np.cumsum(unpacked(place, "i4"))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int64()), pa.array([shard], pa.int32()),
+             pa.array([packed(logs[at])], pa.binary()), pa.array([packed(known[at])], pa.binary())],
+            names=[f.split()[0] for f in _REPLIES.split(", ")])
+
+
 def answers(state: DataFrame, model: Model, totals: np.ndarray) -> DataFrame:
     """For each request, the log10 probability of each pair and the count of its word."""
     each = [Totals.of(t) for t in totals]
@@ -361,16 +411,21 @@ def answers(state: DataFrame, model: Model, totals: np.ndarray) -> DataFrame:
             shard = seating.shard
             logs = np.log10(mean / len(each)).astype(np.float32)
             counts = np.repeat(shard.word_counts, np.diff(np.r_[shard.word_first, len(logs)]))
-            for block, place in zip(row["blocks"], row["places"]):
-                at = np.cumsum(unpacked(place, "i4"))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block], pa.int64()), pa.array([row["shard"]], pa.int32()),
-                     pa.array([packed(logs[at])], pa.binary()),
-                     pa.array([packed(counts[at])], pa.binary())],
-                    names=["block", "shard", "logs", "known"])
+            yield from _replies(row["shard"], row["blocks"], row["places"], logs, counts)
+
+    return state.select("shard", "keys", "counts", "blocks", "places").mapInArrow(run, _REPLIES)
+
+
+def handed_down(replies: DataFrame, united: DataFrame) -> DataFrame:
+    """The answers to the requests that were united, out of the answers to the unions."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            yield from _replies(row["shard"], row["blocks"], row["places"],
+                                unpacked(row["logs"], "f4"), unpacked(row["known"], "i8"))
 
-    return state.select("shard", "keys", "counts", "blocks", "places").mapInArrow(
-        run, "block bigint, shard int, logs binary, known binary")
+    asked = united.select("shard", "block", "blocks", "places")
+    return asked.join(replies, ["shard", "block"]).select(
+        "shard", "blocks", "places", "logs", "known").mapInArrow(run, _REPLIES)
 
 
 def _score(trained: int, vocabulary: int):
@@ -416,6 +471,9 @@ def document_scores(docs: DataFrame) -> DataFrame:
     shards = max(8, -(-size // SHARD_BYTES))
     blocks = materialise(blocks_of(docs, shards), "blocks")
     requests = blocks.filter("shard >= 0").select("shard", "block", "keys", "counts")
+    levels = united_requests(requests, blocks.filter("shard < 0").count())
+    if levels:
+        requests = levels[-1].select("shard", "block", "keys", "counts")
     state = materialise(requests.groupBy("shard").applyInArrow(_gather, _STATE), "shards")
     seen, totals = _summed(state, "seen"), _summed(state, "totals")
     if not len(seen):
@@ -426,6 +484,8 @@ def document_scores(docs: DataFrame) -> DataFrame:
                     Totals.of(sampled_totals(state, model)[-1]))
     exact = sampled_totals(state, settled)
     replies = answers(state, settled, exact)
+    for united in reversed(levels):
+        replies = handed_down(replies, united)
     texts = blocks.filter("shard < 0").select("block", "ids", "held", "sizes", "tokens")
     trained = int(seen[1])
     scored = texts.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
