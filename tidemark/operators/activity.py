@@ -10,6 +10,7 @@ from tidemark import columns as c
 from tidemark.columns import ACCOUNT, CALC_DATE, USER
 from tidemark.functions.steps import step_pair, value_on_step
 from tidemark.functions.time import day_of
+from tidemark.operators.lifecycle import with_id, without_id
 
 OPEN_ACCOUNTS = "open_accounts"
 RECENT = "transactions_in_last_7_days"
@@ -40,14 +41,22 @@ def open_spans_from_events(created: DataFrame, closures: DataFrame,
     """The same spans as from the status rows, without pairing closures and reopenings.
 
     A closure was reopened exactly if it lies before the account's last reopening, so one
-    timestamp per account, combined before the shuffle, replaces all reopenings.
+    timestamp per account, combined before the shuffle, replaces all reopenings. Rows without
+    account id were never closed; they go round the joins.
     """
+    accounts = created.select(ACCOUNT, USER, c.CREATED, c.ACCOUNT_TYPE).distinct()
     last_reopened = reopened.groupBy(ACCOUNT).agg(F.max(c.REOPENED).alias("last_reopened"))
-    return (
-        created.select(ACCOUNT, USER, c.CREATED, c.ACCOUNT_TYPE).distinct()
+    known = (
+        with_id(accounts)
         .join(closures, ACCOUNT, "left")
         .join(last_reopened, ACCOUNT, "left")
         .filter(F.col(c.CLOSED).isNull() | (F.col(c.CLOSED) < F.col("last_reopened")))
+        .select(ACCOUNT, USER, c.CREATED, c.CLOSED)
+    )
+    unknown = without_id(accounts).select(
+        ACCOUNT, USER, c.CREATED, F.lit(None).cast("timestamp_ntz").alias(c.CLOSED))
+    return (
+        known.unionByName(unknown)
         .withColumn(c.STATUS, F.when(F.col(c.CLOSED).isNull(), c.OPEN)
                     .otherwise(c.REOPENED_STATE))
         .transform(open_spans)
@@ -116,13 +125,18 @@ def _user_steps(spans: DataFrame, transactions: DataFrame, window_days: int,
     Coverage and activity are step functions of the account. They meet as two short lists per
     account, of its coverage and of its active days. Both are summed to one entry per day
     first, so no list outgrows the calendar, and neither long spans nor busy accounts or users
-    multiply rows.
+    multiply rows. Spans without account id have no activity and are no open accounts; they
+    join the others when those are summed by user. The changes of spans and activity are
+    returned too.
     """
     one, nothing = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    coverage = (
+    covered = (
         spans.select(ACCOUNT, USER, F.inline(step_pair(
             F.col("first_day"), F.col("last_day"), d_spans=one)))
         .filter(F.col("day").isNotNull())
+    )
+    coverage = (
+        with_id(covered)
         .groupBy(ACCOUNT, USER, "day").agg(F.sum("d_spans").alias("d_spans"))
         .groupBy(ACCOUNT, USER).agg(F.collect_list(F.struct("day", "d_spans")).alias("coverage"))
     )
@@ -140,10 +154,9 @@ def _user_steps(spans: DataFrame, transactions: DataFrame, window_days: int,
         .agg(F.sum("d_spans").alias("d_spans"), F.sum("d_recent").alias("d_recent"))
     )
     owner = [ACCOUNT, USER]
-    known = F.col(ACCOUNT).isNotNull()
 
     def open_accounts(spans: Column) -> Column:
-        return ((spans > 0) & known).cast("bigint")
+        return (spans > 0).cast("bigint")
 
     spans_now, recent_now = F.col("spans"), F.col("recent")
     spans_before, recent_before = spans_now - F.col("d_spans"), recent_now - F.col("d_recent")
@@ -155,11 +168,13 @@ def _user_steps(spans: DataFrame, transactions: DataFrame, window_days: int,
                 (open_accounts(spans_now) - open_accounts(spans_before)).alias("d_open"),
                 (spans_now * recent_now - spans_before * recent_before).alias("d_recent"))
         .filter((F.col("d_spans") != 0) | (F.col("d_recent") != 0))
+        .unionByName(without_id(covered).select(
+            USER, "day", "d_spans", nothing.alias("d_open"), nothing.alias("d_recent")))
         .groupBy(USER, "day")
         .agg(*[F.sum(f"d_{n}").alias(f"d_{n}") for n in ("spans", "open", "recent")])
     )
     return changes.select(
-        USER, "day",
+        USER, "day", "d_spans", "d_recent",
         value_on_step("d_spans", [USER]).alias("open_spans"),
         value_on_step("d_open", [USER]).alias(OPEN_ACCOUNTS),
         value_on_step("d_recent", [USER]).alias(RECENT),
@@ -190,8 +205,8 @@ def active_user_rate(intervals: DataFrame, transactions: DataFrame, window_days:
                      min_transactions: int | None = None) -> DataFrame:
     """Share of the users with an open account who were active in the window, per date.
 
-    Takes `open_intervals` or `spans_as_of`: intervals of an account that meet at most at their
-    ends, so that an active day falls into few of them. (Others give the same rate, slower.)
+    Takes `open_intervals`, one interval per account and user, so that the account's list of
+    active days is read once. `active_user_rate_of_spans` takes any number of spans.
 
     An account's interval makes its user open, and where it overlaps the window of an active
     day, active. Both are summed as steps per user, so the cost follows the number of events
@@ -211,9 +226,13 @@ def active_user_rate(intervals: DataFrame, transactions: DataFrame, window_days:
             d_open=nothing, d_active=one)
 
     near = F.filter(F.coalesce("active_days", F.array()), in_reach)
+    days = _active_days(transactions, min_transactions)
+    owned = intervals.filter(F.col(USER).isNotNull())
     users = (
-        intervals.filter(F.col(USER).isNotNull())
-        .join(_active_days(transactions, min_transactions), ACCOUNT, "left")
+        with_id(owned).join(days, ACCOUNT, "left")
+        # Without account id there is no activity, and no need to meet in one task.
+        .unionByName(without_id(owned).withColumn(
+            "active_days", F.lit(None).cast(days.schema["active_days"].dataType)))
         .select(USER, F.inline(F.concat(
             step_pair(F.col("first_day"), F.col("last_day"), d_open=one, d_active=nothing),
             F.flatten(F.transform(near, active_steps)),
@@ -225,6 +244,27 @@ def active_user_rate(intervals: DataFrame, transactions: DataFrame, window_days:
                 value_on_step("d_open", [USER]).alias("open"),
                 value_on_step("d_active", [USER]).alias("active"))
     )
+    return _rate_from_steps(users, transactions)
+
+
+def active_user_rate_of_spans(spans: DataFrame, transactions: DataFrame, window_days: int = 7,
+                              min_transactions: int | None = None) -> DataFrame:
+    """The same rate from spans of which an account may have any number, as `spans_as_of` gives.
+
+    Coverage and activity of an account are summed as steps before they meet, so an account
+    that reopens every day costs as many steps as it has days, not spans times active days.
+    """
+    steps = _user_steps(spans.filter(F.col(USER).isNotNull()), transactions, window_days,
+                        min_transactions)
+    return _rate_from_steps(
+        steps.select("day", F.col("d_spans").alias("d_open"), F.col("d_recent").alias("d_active"),
+                     F.col("open_spans").alias("open"), F.col(RECENT).alias("active")),
+        transactions)
+
+
+def _rate_from_steps(users: DataFrame, transactions: DataFrame) -> DataFrame:
+    """The rate from steps of the users: `open` and `active` (above 0 or not) and their changes."""
+    nothing = F.lit(0).cast("bigint")
 
     def crossing(value: str) -> Column:
         """+1 where the value rises above 0, -1 where it falls back to 0."""

@@ -77,7 +77,7 @@ def closure_reopen_pairs(created: DataFrame, closures: DataFrame,
 
 
 def _paired(created: DataFrame, closures: DataFrame, reopened: DataFrame) -> DataFrame:
-    accounts = _with_id(created.select(ACCOUNT, USER, c.CREATED, c.ACCOUNT_TYPE)).distinct()
+    accounts = with_id(created.select(ACCOUNT, USER, c.CREATED, c.ACCOUNT_TYPE)).distinct()
     return (
         accounts.join(first_reopen_after(closures, reopened), ACCOUNT, "left")
         .select(*PAIR_COLUMNS)
@@ -87,15 +87,17 @@ def _paired(created: DataFrame, closures: DataFrame, reopened: DataFrame) -> Dat
 def _never_closed(created: DataFrame) -> DataFrame:
     """The pairs of created rows without account id: no event is theirs."""
     never = F.lit(None).cast("timestamp_ntz")
-    rows = _without_id(created.select(ACCOUNT, USER, c.CREATED, c.ACCOUNT_TYPE)).distinct()
+    rows = without_id(created.select(ACCOUNT, USER, c.CREATED, c.ACCOUNT_TYPE)).distinct()
     return rows.withColumns({CLOSED: never, REOPENED: never}).select(*PAIR_COLUMNS)
 
 
-def _with_id(df: DataFrame) -> DataFrame:
+def with_id(df: DataFrame) -> DataFrame:
+    """The rows of known accounts."""
     return df.filter(F.col(ACCOUNT).isNotNull())
 
 
-def _without_id(df: DataFrame) -> DataFrame:
+def without_id(df: DataFrame) -> DataFrame:
+    """The rows without account id, which match nothing and would be one hot key of a join."""
     return df.filter(F.col(ACCOUNT).isNull())
 
 
@@ -157,8 +159,8 @@ def with_closure_flag(status_rows: DataFrame) -> DataFrame:
     would. With unique account ids the factor is 1. Rows without account id belong to no
     account: their flag is 0, and they stay out of the windows, where they would be one key.
     """
-    return _flagged(_with_id(status_rows)).unionByName(
-        _without_id(status_rows).withColumn(c.FLAG, F.lit(0).cast("bigint")))
+    return _flagged(with_id(status_rows)).unionByName(
+        without_id(status_rows).withColumn(c.FLAG, F.lit(0).cast("bigint")))
 
 
 def _flagged(status_rows: DataFrame) -> DataFrame:
@@ -220,10 +222,10 @@ def current_account_status(unified: DataFrame) -> DataFrame:
     rest = [n for n in unified.columns if n not in (ACCOUNT, CLOSED)]
     latest = F.max(F.struct(CLOSED, *rest)).alias("latest")
     return (
-        _with_id(unified).groupBy(ACCOUNT).agg(latest)
+        with_id(unified).groupBy(ACCOUNT).agg(latest)
         .select(*[F.col(n) if n == ACCOUNT else F.col(f"latest.{n}").alias(n)
                   for n in unified.columns])
-        .unionByName(_without_id(unified))
+        .unionByName(without_id(unified))
     )
 
 

@@ -35,7 +35,7 @@ def active_user_rate(t: AccountTables, window_days: int = 7,
 
 def active_user_rate_as_of(t: AccountTables, window_days: int = 7) -> DataFrame:
     spans = activity.spans_as_of(t.created, t.closed, t.reopened)
-    return activity.active_user_rate(spans, t.transactions, window_days)
+    return activity.active_user_rate_of_spans(spans, t.transactions, window_days)
 
 
 def create_base_views(t: AccountTables) -> None:
