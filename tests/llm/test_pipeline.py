@@ -95,8 +95,9 @@ def test_mixing(spark, docs, folder):
     copies = {}
     for r in pipeline.source_mix(spark, docs, folder).collect():
         copies.setdefault(r["doc_id"], []).append(r["copy"])
-    for r in mixing.mixture(docs.filter("doc_id < 40000")).collect():
-        pass
+    rated = {r["doc_id"]: r["copies"] for r in mixing.mixture(docs).collect()
+             if r["doc_id"] not in (40_001, None)}
+    assert {k: len(copies.get(k, [])) for k in rated} == rated
     assert all(sorted(c) == sorted(set(c)) or k in (40_001,) for k, c in copies.items())
     assert max(max(c) for c in copies.values()) <= 2
 
