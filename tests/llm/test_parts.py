@@ -1,5 +1,6 @@
 """Parts of the operators, and cases made for one method."""
 
+import itertools
 import random
 
 import numpy as np
@@ -140,6 +141,56 @@ def test_best_run():
     assert decontaminate.best_run(region, item, 50) == (0, 0, 0)
 
 
+def test_masks_meet_every_passage():
+    """Every pattern of replaced tokens; longer passages hold one of at most 23 tokens."""
+    for n in range(1, 24):
+        masks = decontaminate.masks_for(n)
+        places = [sum(1 << at + i for i, looked_at in enumerate(mask) if looked_at == "1")
+                  for mask in masks for at in range(n - len(mask) + 1)]
+        for replaced in itertools.combinations(range(n), n // 5):
+            bits = sum(1 << i for i in replaced)
+            assert any(not bits & place for place in places), (n, replaced)
+
+
+def test_short_passages_with_replaced_tokens_are_found(spark):
+    rng = random.Random(3)
+    items, docs = [], []
+    for n in [*range(5, 24), 30, 50]:
+        for _ in range(8):
+            words = sentence(rng, n)
+            items.append((len(items), " ".join(words)))
+            for at in rng.sample(range(n), n // 5):
+                words[at] = "other"
+            docs.append((len(docs), " ".join(sentence(rng, 30) + words + sentence(rng, 30))))
+    # The cases of the finding: every fifth token replaced.
+    for n in (20, 50):
+        words = sentence(rng, n)
+        items.append((len(items), " ".join(words)))
+        docs.append((len(docs), " ".join("x" if k % 5 == 0 else w for k, w in enumerate(words))))
+    # Seven of nine tokens are no passage.
+    words = sentence(rng, 9)
+    items.append((len(items), " ".join(words)))
+    docs.append((len(docs), " ".join(["x", *words[1:4], "x", *words[5:]])))
+    wanted = {(i, i) for i in range(len(docs) - 1)}
+    found = decontaminate.overlaps(spark.createDataFrame(docs, "doc_id bigint, text string"),
+                                   spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == wanted
+
+
+def test_longest_run():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        n = int(rng.integers(1, 40))
+        item = np.arange(n)
+        region = np.where(rng.random(n) < 0.25, -1, item)
+        agree = region == item
+        runs = [(j - i, int(agree[i:j].sum())) for i in range(n) for j in range(i + 1, n + 1)]
+        longest = max((m for m, a in runs if 5 * a >= 4 * m), default=0)
+        start, length, equal = decontaminate.longest_run(region, item, 0)
+        assert length == longest and equal == agree[start:start + length].sum()
+        assert 5 * equal >= 4 * length
+
+
 @pytest.mark.parametrize("text, labels, reusable", [
     ("mit", {"mit"}, True), ("gpl-3.0-or-later", {"gpl"}, False),
     ("mit or gpl-2.0", {"mit", "gpl"}, True), ("mit and gpl-2.0", {"mit", "gpl"}, False),

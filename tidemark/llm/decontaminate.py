@@ -2,15 +2,18 @@
 
 A mask looks at some positions of a window of tokens and ignores the others. Hashes of the test
 items' windows under each mask are joined with those of the documents, so a passage is found
-although tokens at ignored positions were replaced. Around each hit, the longest run of the
-common diagonal in which most tokens agree decides.
+although tokens at ignored positions were replaced. Around each hit, the common diagonal decides:
+a passage is any run of MIN_TOKENS tokens (of a shorter item, all) in which MIN_AGREEMENT agree.
+The masks meet every such run: a longer one holds one of at most 23 tokens, and for these the
+tests go through all patterns of replaced tokens.
 
 A document's windows are first looked up in a bitmap of the test hashes. The bitmap has a fixed
 size whatever the number of items, so it can be broadcast; windows that pass are joined with the
 test hashes exactly, so a full bitmap costs time but no result.
 
-Tokens are lower-cased words without ASCII punctuation. Items with fewer tokens than a mask is
-long are compared by windows of their own length. Items without tokens, null texts and empty
+Tokens are lower-cased words without ASCII punctuation. Items of fewer than MIN_TOKENS
+tokens are compared by windows of their own length, under masks of which one ignores whatever
+tokens may be replaced. Items without tokens, null texts and empty
 texts match nothing. Items that share an item_id, or have none, are compared each by its own
 tokens. Repeated rows are reported once per doc_id and item_id, where null is an id like others.
 Other columns do not matter. Empty tables give an empty result.
@@ -18,6 +21,7 @@ Other columns do not matter. Empty tables give an empty result.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +32,7 @@ from tidemark.llm.common import separators, splitmix, word_hashes
 from tidemark.session import materialise
 
 #: Positions looked at (1) and ignored (0).
-MASKS = ("11011000101", "11100010011", "10110100011")
+MASKS = ("11011000101", "11100010011", "10110100011", "1110111")
 MIN_TOKENS = 12
 MIN_AGREEMENT = 0.8
 BITMAP_BITS = 1 << 24
@@ -57,8 +61,16 @@ def window_hashes(tokens: np.ndarray, mask: str) -> np.ndarray:
 
 
 def masks_for(count: int) -> list[str]:
-    """The masks for an item of `count` tokens: all of them, or one as long as a short item."""
-    return list(MASKS) if count >= len(MASKS[0]) else ["1" * count]
+    """The masks for an item of `count` tokens: all of them, or some as long as a short item.
+
+    Of a short item's 2k + 1 parts, k replaced tokens lie in k at most, and a mask ignores these.
+    """
+    if count >= MIN_TOKENS:
+        return list(MASKS)
+    replaced = int(count / (1 + _MISMATCH))
+    parts = [i * (2 * replaced + 1) // count for i in range(count)]
+    return ["".join("0" if part in ignored else "1" for part in parts)
+            for ignored in itertools.combinations(range(2 * replaced + 1), replaced)]
 
 
 def item_tokens(items: DataFrame) -> DataFrame:
@@ -185,15 +197,39 @@ def best_run(region: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int
     return start + first, stop - first, int(agree[first:stop].sum())
 
 
+def longest_run(region: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int]:
+    """Like `best_run`, for the longest run whose sum is not negative."""
+    start, end = max(shift, 0), min(shift + len(item), len(region))
+    if end <= start:
+        return 0, 0, 0
+    agree = region[start:end] == item[start - shift:end - shift]
+    sums = np.r_[0.0, np.cumsum(np.where(agree, 1.0, -_MISMATCH))]
+    # The largest sum from each place on falls, so the last place with enough is searched for.
+    highest = np.maximum.accumulate(sums[::-1])[::-1]
+    stops = np.searchsorted(-highest, -sums, side="right") - 1
+    first = int(np.argmax(stops - np.arange(len(sums))))
+    stop = int(stops[first])
+    return start + first, stop - first, int(agree[first:stop].sum())
+
+
+def passage(region: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int] | None:
+    """The best run of a diagonal if it is a passage, else the longest one, else None."""
+    enough = min(MIN_TOKENS, len(item))
+    for run in (best_run, longest_run):
+        start, length, agree = run(region, item, shift)
+        if length >= enough and agree >= MIN_AGREEMENT * length:
+            return start, length, agree
+    return None
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for row in zip(*(batch.column(i) for i in range(6))):
             doc, item_id, shift, region_at = (v.as_py() for v in row[:4])
             region, item = (v.values.to_numpy(zero_copy_only=False) for v in row[4:])
-            start, length, agree = best_run(region, item, shift)
-            enough = min(MIN_TOKENS, len(item))
-            if length >= enough and agree >= MIN_AGREEMENT * length:
+            if found := passage(region, item, shift):
+                start, length, agree = found
                 rows.append((doc, item_id, region_at + start, length, agree))
         columns = list(zip(*rows)) if rows else [[]] * 5
         yield pa.RecordBatch.from_arrays(
@@ -202,16 +238,17 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """`doc_id`, `item_id` and the longest overlap of the two, for contaminated documents only.
+    """`doc_id`, `item_id` and an overlap of the two, for contaminated documents only.
 
+    Of several overlaps, it is the one in which most tokens agree.
     `first_token` is where it starts in the document, `n_tokens` its length, `n_equal` how many
     of its tokens agree.
     """
     tokens = materialise(item_tokens(items), "item_tokens")
     windows = materialise(item_windows(tokens), "item_windows")
-    shorter = [r[0] for r in tokens.filter(F.size("tokens") < len(MASKS[0]))
-               .select(F.size("tokens")).distinct().collect()]  # at most ten lengths
-    masks = list(MASKS) + ["1" * n for n in sorted(shorter)]
+    shorter = [r[0] for r in tokens.filter(F.size("tokens") < MIN_TOKENS)
+               .select(F.size("tokens")).distinct().collect()]  # fewer than MIN_TOKENS lengths
+    masks = list(MASKS) + [mask for n in sorted(shorter) for mask in masks_for(n)]
     regions = materialise(
         suspicious_regions(docs, bitmap_of(windows), masks, len(MASKS[0]) + MARGIN)
         .withColumn("region_id", F.monotonically_increasing_id()), "regions")
