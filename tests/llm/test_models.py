@@ -81,6 +81,57 @@ def test_quality_separates_labelled_documents(spark, medium):
     assert kept.get(0, 0) / share[0] < 0.15
 
 
+def test_quality_of_a_rare_language(spark):
+    """Few trusted documents among many: clean ones stay, whatever the sample takes of others."""
+    rng = np.random.default_rng(6)
+    words = {"aa": ["".join(rng.choice(list("etaoinshr"), 5)) for _ in range(300)],
+             "bb": ["".join(rng.choice(list("qxzjkvwyg"), 5)) for _ in range(300)]}
+
+    def text(lang, n):
+        own, digits = words[lang], rng.random(n) < rng.uniform(0, 0.15)
+        return " ".join("#7;Q" if d else own[i] for i, d in zip(rng.integers(0, 300, n), digits))
+
+    rows = [(i, text("aa", 60), "aa") for i in range(3000)]
+    rows += [(10_000 + i, text("bb", 60), "bb") for i in range(60)]
+    rows += [(20_000 + i, "".join(rng.choice(list("!#7Qz;,Kx%"), 400)), lang)
+             for i, lang in enumerate(["aa", "bb"] * 10)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    for trusted in (3, 12):
+        good = [*range(3000), *range(10_000, 10_000 + trusted)]
+        labels = spark.createDataFrame([(i, 1) for i in good], "doc_id bigint, quality int")
+        kept = {r["doc_id"] for r in kn.judged(docs, labels, sample=500).filter("kept").collect()}
+        assert len([i for i in kept if i < 3000]) >= 0.985 * 3000
+        assert len([i for i in kept if 10_000 <= i < 20_000]) >= 57
+        assert not [i for i in kept if i >= 20_000]
+
+
+def test_thresholds(spark):
+    rng = np.random.default_rng(7)
+    logs = {"many": rng.normal(1.0, 0.1, 5000), None: rng.normal(2.0, 0.1, 1000), "one": [3.0]}
+    texts = spark.createDataFrame([(lang, float(v)) for lang, all_ in logs.items() for v in all_],
+                                  "lang string, log double")
+    found, overall = kn.thresholds(texts, 0.99)
+    limit = {r["lang"]: r["limit"] for r in found.collect()}
+    assert overall == pytest.approx(np.quantile(np.concatenate(list(logs.values())), 0.99), abs=0.01)
+    for lang in ("many", None):
+        assert limit[lang] == pytest.approx(np.quantile(logs[lang], 0.99), abs=0.01)
+    # One text has the spread of the others.
+    assert limit["one"] == pytest.approx(3.0 + 0.23, abs=0.03)
+
+
+def test_sample_is_taken_by_language(spark):
+    docs = [(i, "big") for i in range(20_000)] + [(30_000 + i, "small") for i in range(50)]
+    docs += [(40_000, "tiny")]
+    table = spark.createDataFrame(docs, "doc_id bigint, lang string")
+    last = {r["lang"]: r["last"] for r in kn.training_places(table, 1000).collect()}
+    places = table.select("lang", kn._place().alias("place"), kn._held_out().alias("out")).collect()
+    taken = collections.Counter(r["lang"] for r in places
+                                if not r["out"] and r["place"] <= last[r["lang"]])
+    assert 950 <= taken["big"] <= 1000
+    assert taken["small"] == sum(not r["out"] for r in places if r["lang"] == "small")
+    assert taken["tiny"] == 0 or any(r["out"] for r in places if r["lang"] == "tiny")
+
+
 def test_quality_of_hard_rows(spark, hard, none):
     good = [(i, 1) for i in range(20)] + [(3, 0), (None, 1)]
     labels = spark.createDataFrame(good, "doc_id bigint, quality int")
