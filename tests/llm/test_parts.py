@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import string
 
 import numpy as np
 import pytest
@@ -221,6 +222,26 @@ def test_random_strings():
         assert not secrets.is_random(known, secrets.VOCABULARY, 2.0)
 
 
+def test_random_letters_are_secrets_and_words_are_not():
+    rng = random.Random(8)
+    alphabets = {string.ascii_letters: 0.99, string.ascii_letters + string.digits: 0.999,
+                 string.ascii_letters + string.digits + "+/": 0.99,
+                 string.ascii_uppercase: 0.95, string.ascii_lowercase: 0.85}
+    for alphabet, share in alphabets.items():
+        for n in (20, 24, 32, 40):
+            found = sum(secrets.is_random("".join(rng.choice(alphabet) for _ in range(n)),
+                                          secrets.VOCABULARY, 2.0) for _ in range(400))
+            assert found >= share * 400 - 2, (alphabet, n, found)
+    for known in ("getElementsByTagNameNS", "AbstractSingletonProxyFactoryBean",
+                  "MAX_BUFFER_SIZE_IN_BYTES", "GET_DB_ID_BY_USER_ID", "EN/DE/FR/ES/IT/NL/PT",
+                  "src/main/java/com/example/App", "Rechtsschutzversicherungsgesellschaften",
+                  "anticonstitutionnellement", "user_profile_settings_v2", "z" * 30,
+                  "sha256-47DEQpj8HBSa+/TImW+5JCeuQeRkm5NMpJWZG3hSuFU=", "2024/01/31/2024/02/28"):
+        assert not secrets.is_random(known, secrets.VOCABULARY, 2.0), known
+    key = "qLzWvTbXkRjPmHdGnCfYsE"
+    assert secrets.redact(f"a {key} b", secrets.VOCABULARY, 2.0, "#") == "a # b"
+
+
 def test_redaction(spark, hard):
     out = secrets.redacted(hard)
     assert out.columns == hard.columns and out.count() == hard.count()

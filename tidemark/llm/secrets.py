@@ -2,7 +2,9 @@
 
 A vocabulary of frequent pieces covers words and paths with few tokens, while a random key needs
 about one token for one or two characters. So a long run of key characters with few characters
-per token is taken for a secret, unless it has the form of a known digest or identifier.
+per token is taken for a secret, unless it has the form of a known digest, UUID, integrity value
+or number. Of what has the form of words, a path or a constant, the parts between the separators
+decide, so that many short words are not taken for a key.
 
 Offsets count code points. Null and empty texts have no spans. Texts are searched whole,
 whatever their length. Every row of the input gives a row, repeated rows too, and columns other
@@ -35,13 +37,15 @@ _RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN)
 _PIECES = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 # Known forms that are no secrets: lengths in hex digits of common digests (MD5, SHA-1, SHA-2),
-# and identifiers.
+# identifiers and repeated characters.
 DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
 _IDENTIFIER = re.compile(
     r"(?ai:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}"  # UUID
     r"|[0-9]+(-[0-9]+)*"  # numbers, dates, ISBN
-    r"|sha(1|256|384|512)-[A-Za-z0-9+/=]+"  # integrity values
-    r"|[A-Za-z]+([_/-][A-Za-z]+)*[0-9]{0,4})")  # words, paths, constants
+    r"|sha(1|256|384|512)-[A-Za-z0-9+/=]+)"  # integrity values
+    r"|(.)\3+")
+#: Words, paths and constants, if their parts are words.
+_WORDS = re.compile(r"[A-Za-z]+([=+/_-]+[A-Za-z]+)*[0-9]{0,4}")
 
 
 @functools.cache
@@ -60,16 +64,18 @@ def is_known(run: str) -> bool:
 
 
 def is_random(run: str, path: str, limit: float) -> bool:
-    """Letters mixed with digits that need a token for fewer than `limit` characters."""
-    run = run.strip("=/_-+")
-    if len(run) < MIN_RUN or is_known(run):
+    """Letters, also with digits, that need a token for fewer than `limit` characters."""
+    whole, run = run, run.strip("=/_-+")
+    # A key's own first and last characters may be among those left out.
+    if len(whole) < MIN_RUN or len(run) < MIN_RUN - 2 or is_known(run):
         return False
-    if not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)):
+    if not re.search("[A-Za-z]", run):
         return False
+    parts = re.split("[=+/_-]+", run) if _WORDS.fullmatch(run) else [run]
     # A very long run is encoded piece by piece, since the encoder slows down on one long word.
-    tokens = sum(len(encoding(path).encode_ordinary(run[i:i + 400]))
-                 for i in range(0, len(run), 400))
-    return len(run) < limit * tokens
+    tokens = sum(len(encoding(path).encode_ordinary(part[i:i + 400]))
+                 for part in parts for i in range(0, len(part), 400))
+    return sum(map(len, parts)) < limit * tokens
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
