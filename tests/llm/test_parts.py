@@ -214,6 +214,23 @@ def test_licence_tag_in_text():
     assert found[5] == "apache,mit" and found[6] == 1.0 and found[8] is True
 
 
+@pytest.mark.parametrize("names, labels, expression, reusable", [
+    (["EPL-2.0"], "epl-2.0", "epl-2.0", None), (["0BSD"], "0bsd", "0bsd", None),
+    (["LicenseRef-own.1 OR MIT"], "licenseref-own.1,mit", "licenseref-own.1 or mit", True),
+    (["EPL-2.0 AND GPL-2.0"], "epl-2.0,gpl", "epl-2.0 and gpl-2.0", False),
+    (["GPL-2.0 WITH Classpath-exception-2.0"], "gpl", "gpl-2.0 with classpath-exception-2.0", False),
+    (["MIT", "EPL-2.0"], "epl-2.0,mit", "mit", None),
+    (["EPL-2.0", "MIT"], "epl-2.0,mit", "epl-2.0", None),
+    (["MIT AND unknown-1.0", "MIT"], "mit,unknown-1.0", "mit and unknown-1.0", None),
+    (["MIT", "(MIT"], "mit", "mit", None), (["(MIT"], "", "(mit", None),
+    (["", "MIT"], "mit", "mit", None), (["EPL-2.0", "GPL-2.0", "MIT"], "epl-2.0,gpl,mit", "epl-2.0", False),
+    (["MIT", "ISC"], "isc,mit", "mit", True)])
+def test_licence_tags_of_unknown_identifiers(names, labels, expression, reusable):
+    found = licenses.scan("\n".join(f"SPDX-License-Identifier: {n}" for n in names).encode())
+    assert (found[5], found[7], found[8]) == (labels, expression, reusable)
+    assert found[6] == (1.0 if labels else 0.0)
+
+
 def test_random_strings():
     assert secrets.is_random("aZ3fQ9xL2mN8vB4kT7pR1wY6cD5gH0jS", secrets.VOCABULARY, 2.0)
     for known in ("d41d8cd98f00b204e9800998ecf8427e", "550e8400-e29b-41d4-a716-446655440000",

@@ -3,7 +3,8 @@
 One Aho-Corasick automaton runs over the words of a text and finds every notice phrase and
 every licence tag in a single pass. Where it meets an identifier tag, the expression behind it
 is read from the text and evaluated with a shunting-yard parser: `with` binds tighter than
-`and`, `and` tighter than `or`; brackets group.
+`and`, `and` tighter than `or`; brackets group. Identifiers of no known family are labels by their own
+lower-cased names, and whether they allow reuse stays open.
 
 A text's words are runs of a-z, 0-9 and characters from U+0080 after lower-casing A-Z, so
 phrases are found across punctuation and line ends. Places are counted whether or not they
@@ -62,6 +63,7 @@ _TO_WORDS = bytes.maketrans(_NOT_WORD, b" " * len(_NOT_WORD))
 _TAG = re.compile(rb"spdx-license-identifier:")
 _EXPRESSION = re.compile(rb"[a-z0-9.+() \t-]*")
 _TOKEN = re.compile(r"[()]|[a-z0-9.+-]+")
+_NAME = re.compile("[a-z0-9]")
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
 
@@ -115,12 +117,24 @@ def evaluate(expression: str) -> tuple[set[str], bool | None]:
     """Labels that an expression names, and whether it lets the text be reused.
 
     `or` leaves the choice, `and` asks for both, `with` adds an exception that does not take a
-    permission away. Unknown identifiers give no label and leave the answer open (None).
+    permission away. Unknown identifiers give no label here and leave the answer open (None).
     """
+    labels, _, allowed = _evaluated(expression)
+    return labels, allowed
+
+
+def both(left: bool | None, right: bool | None) -> bool | None:
+    """Three-valued `and`."""
+    return False if False in (left, right) else None if None in (left, right) else True
+
+
+def _evaluated(expression: str) -> tuple[set[str], set[str], bool | None]:
+    """Like `evaluate`, with the unknown identifiers in between."""
     postfix = to_postfix(expression)
     if postfix is None:
-        return set(), None
+        return set(), set(), None
     labels: set[str] = set()
+    unknown: set[str] = set()
     stack: list[bool | None] = []
     for i, token in enumerate(postfix):
         if token not in _PRECEDENCE:
@@ -128,6 +142,8 @@ def evaluate(expression: str) -> tuple[set[str], bool | None]:
             is_exception = i + 1 < len(postfix) and postfix[i + 1] == "with"
             if known and not is_exception:
                 labels.add(known[0])
+            elif not is_exception and _NAME.search(token):
+                unknown.add(token)
             stack.append(known[1] if known else None)
             continue
         right, left = stack.pop(), stack.pop()
@@ -137,9 +153,8 @@ def evaluate(expression: str) -> tuple[set[str], bool | None]:
             stack.append(True if True in (left, right) else
                          None if None in (left, right) else False)
         else:
-            stack.append(False if False in (left, right) else
-                         None if None in (left, right) else True)
-    return labels, stack[0]
+            stack.append(both(left, right))
+    return labels, unknown, stack[0]
 
 
 @functools.cache
@@ -180,18 +195,17 @@ def scan(text: bytes | None) -> tuple:
     if tagged:
         for tag in _TAG.finditer(lowered):
             expression = _EXPRESSION.match(lowered, tag.end())[0].decode("ascii").strip()
-            labels, allowed = evaluate(expression)
-            for label in labels:
+            labels, unknown, allowed = _evaluated(expression)
+            for label in labels | unknown:
                 strength[label] = 1.0
-            if labels:
-                expressions.append(expression)
-                reusable = allowed if reusable is None else reusable and allowed
+            expressions.append(expression)
+            reusable = both(reusable, allowed) if len(expressions) > 1 else allowed
     doubt = 1.0
     for value in sorted(strength.values()):
         doubt *= 1.0 - value
     return (len(words), len(starts), min(starts, default=None), max(starts, default=None),
             ",".join(sorted(base)), ",".join(sorted(strength)), 1.0 - doubt,
-            expressions[0] if expressions else None, reusable)
+            next(filter(None, expressions), None), reusable)
 
 
 _COLUMNS = [("n_words", "bigint", pa.int64()), ("n_base", "bigint", pa.int64()),
@@ -205,7 +219,8 @@ def license_scan(docs: DataFrame) -> DataFrame:
     """Per row: `doc_id` and what `scan` finds in its `text`.
 
     `score` is the probability that some sign is right, taking the signs as independent;
-    `reusable` says whether every expression in the text allows reuse (null: none, or unknown).
+    `expression` is the first tag's, malformed or not. `reusable` says whether every tag in the text
+    allows reuse (null: none, or unknown for one and refused by none).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
