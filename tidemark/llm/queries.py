@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from registry.scratch import with_scratch
 from tidemark.llm import (chat, decontaminate, kneser_ney, licenses, mixing, oracle, pii,
-                          pitman_yor, quality_rules, secrets, simhash)
+                          pitman_yor, quality_rules, secrets, sentence_pieces, simhash)
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +40,10 @@ def _chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.transcript_digests(chat.chat_transcripts(told.unionByName(extra)))
 
 
+def _sentence_pieces(docs: DataFrame) -> DataFrame:
+    return sentence_pieces.encoding_digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def all_queries() -> dict[str, Query]:
     queries = {
         "op1_host_rules": _over_documents(quality_rules.judged),
@@ -51,6 +56,7 @@ def all_queries() -> dict[str, Query]:
         "op8_simhash": _over_documents(simhash.near_duplicates),
         "op9_secret_scan": _over_documents(secrets.secret_spans),
         "op10_chat": _chat,
+        "op11_sentence_pieces": _over_documents(_sentence_pieces),
         "pipeline": corpus_pipeline.run,
     }
     return {name: with_scratch(query) for name, query in queries.items()}
