@@ -77,4 +77,103 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
-TEXTS = {"op1_host_rules": HOST_RULES, "op10_chat": CHAT}
+MANIFEST = r"""
+WITH RECURSIVE parts AS (
+    SELECT doc_id, lang, n_chars, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+               || coalesce(strlen(source) || ':' || source, '-')
+               || coalesce(strlen(lang) || ':' || lang, '-') AS before,
+           coalesce(strlen(text) || ':' || text, '-') AS after,
+           -- CRC-32 of the id's digits, bit by bit.
+           xor(list_reduce(
+               list_prepend(4294967295::BIGINT, list_transform(
+                   string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+               lambda sum, byte: list_reduce(
+                   list_prepend(xor(sum, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                   lambda x, _: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) AS crc
+    FROM documents
+), claims AS (
+    SELECT *, coalesce(strlen(n::VARCHAR) || ':' || n, '-') AS told,
+           coalesce(strlen(c::VARCHAR) || ':' || c, '-') AS claimed
+    FROM (SELECT *, n_chars::HUGEINT AS n,
+                 n_chars::HUGEINT + CASE WHEN crc % 7 = 0 THEN 1 ELSE 0 END AS c FROM parts)
+), leaves AS (
+    SELECT doc_id, lang, sha256(before || told || after) AS leaf,
+           sha256(before || claimed || after) AS claim FROM claims
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+    FROM leaves
+), trees AS (
+    SELECT lang, 0 AS level, place, leaf AS digest FROM placed
+    UNION ALL
+    SELECT lang, level + 1, place // 2, sha256(string_agg(digest, '' ORDER BY place))
+    FROM (SELECT *, count(*) OVER (PARTITION BY lang) AS nodes FROM trees)
+    WHERE nodes > 1 GROUP BY lang, level, place // 2
+), subroots AS (
+    SELECT lang, level AS height, digest AS subroot,
+           row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS rank
+    FROM trees QUALIFY level = max(level) OVER (PARTITION BY lang)
+), tops AS (
+    SELECT 0 AS level, rank AS place, subroot AS digest FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 2, sha256(string_agg(digest, '' ORDER BY place))
+    FROM (SELECT *, count(*) OVER () AS nodes FROM tops)
+    WHERE nodes > 1 GROUP BY level, place // 2
+), root AS (
+    SELECT level AS height, digest AS root FROM tops ORDER BY level DESC LIMIT 1
+), ways AS (
+    -- The sibling of each leaf on each level, with the side it stands on.
+    SELECT p.lang, p.place, l.level, 0 AS part,
+           CASE WHEN t.digest IS NULL THEN '' WHEN t.place & 1 = 0 THEN 'L' || t.digest
+                ELSE 'R' || t.digest END AS sibling
+    FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang,
+         LATERAL (SELECT unnest(range(s.height)) AS level) l
+    LEFT JOIN trees t ON t.lang IS NOT DISTINCT FROM p.lang AND t.level = l.level
+         AND t.place = xor(p.place >> l.level::INTEGER, 1)
+    UNION ALL
+    SELECT p.lang, p.place, l.level, 1,
+           CASE WHEN t.digest IS NULL THEN '' WHEN t.place & 1 = 0 THEN 'L' || t.digest
+                ELSE 'R' || t.digest END
+    FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang, root r,
+         LATERAL (SELECT unnest(range(r.height)) AS level) l
+    LEFT JOIN tops t ON t.level = l.level AND t.place = xor(s.rank >> l.level::INTEGER, 1)
+), proofs AS (
+    SELECT lang, place, list(sibling ORDER BY part, level) AS siblings FROM ways GROUP BY ALL
+), folded AS (
+    SELECT p.doc_id, p.leaf, s.subroot, r.root,
+           sha256(coalesce(list_aggregate(list_transform(
+               w.siblings, lambda x: x[2:]), 'string_agg', ''), '')) AS proof_sha256,
+           list_reduce(list_prepend(p.claim, coalesce(w.siblings, [])),
+                       lambda h, x: sha256(CASE x[1] WHEN 'L' THEN x[2:] || h
+                                           ELSE h || x[2:] END)) AS folded_root
+    FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang, root r
+    LEFT JOIN proofs w ON w.lang IS NOT DISTINCT FROM p.lang AND w.place = p.place
+)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
+HARD_NEGATIVES = r"""
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+           list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id))::INT
+           AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+TEXTS = {"op1_host_rules": HOST_RULES, "op10_chat": CHAT, "op12_hard_negatives": HARD_NEGATIVES,
+         "op13_manifest": MANIFEST}

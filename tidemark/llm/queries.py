@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from registry.scratch import with_scratch
-from tidemark.llm import (chat, decontaminate, kneser_ney, licenses, mixing, oracle, pii,
-                          pitman_yor, quality_rules, secrets, sentence_pieces, simhash)
+from tidemark.llm import (chat, decontaminate, hard_negatives, kneser_ney, licenses, manifest,
+                          mixing, oracle, pii, pitman_yor, quality_rules, secrets,
+                          sentence_pieces, simhash)
 from tidemark.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +45,15 @@ def _sentence_pieces(docs: DataFrame) -> DataFrame:
     return sentence_pieces.encoding_digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def _hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = hard_negatives.relabelled(read_table(spark, folder, "embeddings"), 7, 10)
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+def _manifest(docs: DataFrame) -> DataFrame:
+    return manifest.manifest(docs, manifest.tampered_by_crc())
+
+
 def all_queries() -> dict[str, Query]:
     queries = {
         "op1_host_rules": _over_documents(quality_rules.judged),
@@ -57,6 +67,8 @@ def all_queries() -> dict[str, Query]:
         "op9_secret_scan": _over_documents(secrets.secret_spans),
         "op10_chat": _chat,
         "op11_sentence_pieces": _over_documents(_sentence_pieces),
+        "op12_hard_negatives": _hard_negatives,
+        "op13_manifest": _over_documents(_manifest),
         "pipeline": corpus_pipeline.run,
     }
     return {name: with_scratch(query) for name, query in queries.items()}
