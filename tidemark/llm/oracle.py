@@ -109,9 +109,9 @@ WITH RECURSIVE parts AS (
     FROM (SELECT *, count(*) OVER (PARTITION BY lang) AS nodes FROM trees)
     WHERE nodes > 1 GROUP BY lang, level, place // 2
 ), subroots AS (
-    SELECT lang, level AS height, digest AS subroot,
-           row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS rank
-    FROM trees QUALIFY level = max(level) OVER (PARTITION BY lang)
+    SELECT lang, height, subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS rank
+    FROM (SELECT lang, level AS height, digest AS subroot FROM trees
+          QUALIFY level = max(level) OVER (PARTITION BY lang))
 ), tops AS (
     SELECT 0 AS level, rank AS place, subroot AS digest FROM subroots
     UNION ALL
