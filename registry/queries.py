@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 import functools
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,7 +14,7 @@ from tidemark.columns import ACCOUNT, USER
 from tidemark.functions.time import moment
 from tidemark.operators import activity, closures, incremental, lifecycle, quality, reporting
 from tidemark.plans import checks, loads, marts
-from tidemark.session import new_scratch_path
+from tidemark.session import new_scratch_database, new_scratch_path
 from tidemark.sources import contracts
 from tidemark.sources.events import read_account_tables
 from tidemark.sources.tables import AccountTables, development_limit
@@ -23,6 +23,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_AT = datetime.datetime(2024, 1, 31, 6)
 LIMITED_ROWS = 100
+#: Parts of a day in the base tables, and of the mart over them: few, since the tables are small.
+BASE_BUCKETS = 4
 FIRST_RUN_END = datetime.datetime(2024, 1, 20)
 NULLABLE = {
     "account_created": contracts.ACCOUNT_CREATED.fieldNames(),
@@ -101,10 +103,10 @@ def _base_state(name: str) -> Query:
                    else F.hour(key) < 22)
         seen = source.filter(
             (F.col(key) < moment(FIRST_RUN_END)) & in_time)
-        path = new_scratch_path(spark, name)
-        loads.load_base(spark, seen, path, contract, key)
-        loads.load_base(spark, source, path, contract, key)
-        return loads.read_base(spark, path, contract)
+        table = f"{new_scratch_database(spark)}.{name}"
+        loads.load_base(spark, seen, table, contract, key)
+        loads.load_base(spark, source, table, contract, key)
+        return loads.read_base(spark, table, contract)
 
     return query
 
@@ -116,9 +118,9 @@ def _changed_rows(t: AccountTables) -> DataFrame:
 
 def _mart_literal(spark: SparkSession, folder: str, null_safe: bool = False) -> DataFrame:
     t = _damaged(read_account_tables(spark, folder))
-    path = new_scratch_path(spark, "unified_accounts")
-    loads.load_mart(spark, marts.unified_accounts(_first_run(t)), path, null_safe)
-    return loads.load_mart(spark, marts.unified_accounts(t), path, null_safe)
+    table = f"{new_scratch_database(spark)}.unified_accounts"
+    loads.load_mart(spark, marts.unified_accounts(_first_run(t)), table, null_safe)
+    return loads.load_mart(spark, marts.unified_accounts(t), table, null_safe)
 
 
 def _in_time(t: AccountTables) -> AccountTables:
@@ -136,18 +138,32 @@ def _mart_rebuild(spark: SparkSession, folder: str) -> DataFrame:
     """Rows without account id, and late rows that the second run's look-back misses."""
     t = _damaged(read_account_tables(spark, folder))
     seen = _in_time(t)
-    path = new_scratch_path(spark, "unified_accounts")
-    loads.rebuild_touched(spark, seen, incremental.touched_accounts(seen.created), path)
+    table = f"{new_scratch_database(spark)}.unified_accounts"
+    loads.rebuild_touched(spark, seen, incremental.touched_accounts(seen.created), table)
     batches = [incremental.look_back(now, before, key) for now, before, key in (
         (t.created, seen.created, c.CREATED), (t.closed, seen.closed, c.CLOSED),
         (t.reopened, seen.reopened, c.REOPENED),
         (t.transactions, seen.transactions, c.TX_DATE))]
-    return loads.rebuild_touched(spark, t, incremental.touched_accounts(*batches), path)
+    return loads.rebuild_touched(spark, t, incremental.touched_accounts(*batches), table)
+
+
+def _both_runs(spark: SparkSession, folder: str) -> Iterator[tuple[str, DataFrame | None]]:
+    """The base tables after each of two loads, and the accounts the load touched."""
+    t = _damaged(read_account_tables(spark, folder))
+    database = new_scratch_database(spark)
+    for tables in (_in_time(t), t):
+        yield database, loads.load_bases(spark, tables, database, BASE_BUCKETS)
+
+
+def _mart_from_bases(spark: SparkSession, folder: str) -> DataFrame:
+    for database, touched in _both_runs(spark, folder):
+        mart = loads.rebuild_from_bases(spark, database, touched, f"{database}.unified_accounts")
+    return mart
 
 
 def _built(spark: SparkSession, t: AccountTables) -> dict[str, DataFrame]:
     """The sources, and the marts as written tables."""
-    return _by_name(t) | marts.build_marts(spark, t, new_scratch_path(spark, "marts"))
+    return _by_name(t) | marts.build_marts(spark, t, new_scratch_database(spark))
 
 
 def _built_mart(name: str) -> Query:
@@ -158,14 +174,14 @@ def _schema_guard(spark: SparkSession, folder: str) -> DataFrame:
     """A load whose source lacks a column is refused and leaves the table as it was."""
     source = read_account_tables(spark, folder).closed
     contract, key = loads.BASE_TABLES["account_closed"]
-    path = new_scratch_path(spark, "account_closed")
-    loads.load_base(spark, source, path, contract, key)
+    table = f"{new_scratch_database(spark)}.account_closed"
+    loads.load_base(spark, source, table, contract, key)
     refused = False
     try:
-        loads.load_base(spark, source.drop(key), path, contract, key)
+        loads.load_base(spark, source.drop(key), table, contract, key)
     except contracts.SchemaMismatch:
         refused = True
-    return loads.read_base(spark, path, contract).withColumn("refused", F.lit(refused))
+    return loads.read_base(spark, table, contract).withColumn("refused", F.lit(refused))
 
 
 def _column_comments(spark: SparkSession, folder: str) -> DataFrame:
@@ -296,6 +312,7 @@ def _queries() -> dict[str, Query]:
         "incremental_mart_literal": _mart_literal,
         "incremental_mart_null_safe": lambda spark, folder: _mart_literal(spark, folder, True),
         "incremental_mart_rebuild": _mart_rebuild,
+        "incremental_mart_from_bases": _mart_from_bases,
         "schema_guard": _schema_guard,
         "mart_unified_accounts": _built_mart("unified_accounts"),
         "mart_active_user_rate": _built_mart("active_user_rate"),

@@ -1,12 +1,13 @@
 from build import spark_tables, written
 from tidemark import columns as c
 from tidemark.plans import loads
+from tidemark.session import new_scratch_database
 from tidemark.sources import contracts
 from tidemark.streaming.arrivals import load_on_arrival
 
 
 def test_each_call_loads_what_arrived(spark, tmp_path):
-    source, target = f"{tmp_path}/source", f"{tmp_path}/target"
+    source, target = f"{tmp_path}/source", f"{new_scratch_database(spark)}.target"
     contract = contracts.ACCOUNT_CLOSED
 
     def arrive(*rows):

@@ -324,7 +324,7 @@ def spans_as_of(created: DataFrame, closed: DataFrame, reopened: DataFrame) -> D
     reopened, closed.
     """
     def events(df: DataFrame, ts: str, rank: int) -> DataFrame:
-        return df.filter(F.col(ts).isNotNull()).select(
+        return with_id(df.filter(F.col(ts).isNotNull())).select(
             ACCOUNT, F.col(ts).alias("ts"), F.lit(rank).alias("rank"))
 
     closing = 2
@@ -341,6 +341,6 @@ def spans_as_of(created: DataFrame, closed: DataFrame, reopened: DataFrame) -> D
         days.withColumn("last_day", F.when(stays_open, next_day).otherwise(F.col("first_day")))
         .filter(F.col("lowest") < closing)
         .select(ACCOUNT, "first_day", "last_day")
-        .join(created.select(ACCOUNT, USER).distinct(), ACCOUNT)
+        .join(with_id(created).select(ACCOUNT, USER).distinct(), ACCOUNT)
         .select(ACCOUNT, USER, "first_day", "last_day")
     )

@@ -2,24 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Collection
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark import columns as c
 from tidemark.columns import ACCOUNT
 from tidemark.functions.time import day_of, moment
 from tidemark.operators import incremental as inc
 from tidemark.operators.lifecycle import unified_accounts
-from tidemark.plans import publish
+from tidemark.plans import stored
+from tidemark.plans.stored import BUCKET, EVENT_DATE, bucket_of, buckets_of
 from tidemark.session import materialise
 from tidemark.sources import contracts
 from tidemark.sources.tables import AccountTables
 
-EVENT_DATE = "event_date"
-BUCKET = "bucket"
-# Parts of the mart; fixed for its lifetime. An incremental run rewrites whole parts, so there
-# should be many more than a run touches accounts' worth of: raise it for a large mart.
+#: Buckets of a new mart. A run rewrites whole buckets: a large mart should have many more than
+#: a run touches accounts of, some 100 MB each.
 MART_BUCKETS = 32
 MART_KEY = [ACCOUNT, c.CLOSED, c.CREATED]
 
@@ -32,73 +31,106 @@ BASE_TABLES = {
 }
 
 
-def _stored(spark: SparkSession, path: str, contract: T.StructType,
-            wanted: Callable[[str], bool] | None = None) -> DataFrame:
-    """The stored rows, or those of the `wanted` partitions, as the contract has them."""
-    stored = publish.read_table(spark, path, wanted)
-    if stored is None:
-        return spark.createDataFrame([], contract)
-    contracts.require_same_columns(stored, contract)
-    return contracts.conform(stored, contract)
+def _read(spark: SparkSession, table: str, contract: T.StructType,
+          buckets: Collection[int] | None = None) -> DataFrame:
+    """The table, or those buckets of it, with its partition columns."""
+    rows = spark.table(table)
+    contracts.require_same_columns(rows.drop(EVENT_DATE, BUCKET), contract)
+    return rows if buckets is None else rows.filter(F.col(BUCKET).isin(sorted(buckets)))
 
 
-def read_base(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
-    return _stored(spark, path, contract)
+def read_base(spark: SparkSession, table: str, contract: T.StructType,
+              buckets: Collection[int] | None = None) -> DataFrame:
+    """The rows of a base table, or of those of its buckets."""
+    return contracts.conform(_read(spark, table, contract, buckets), contract)
 
 
-def load_base(spark: SparkSession, source: DataFrame, path: str, contract: T.StructType,
-              key: str, days: int = 3) -> DataFrame | None:
-    """Load a base table, partitioned by the day of its key.
+def read_bases(spark: SparkSession, database: str,
+               buckets: Collection[int] | None = None) -> AccountTables:
+    """The four base tables, or the same buckets of all of them."""
+    return AccountTables(*(read_base(spark, f"{database}.{name}", BASE_TABLES[name][0], buckets)
+                           for name in ("account_created", "account_closed", "account_reopened",
+                                        "account_transactions")))
+
+
+def load_base(spark: SparkSession, source: DataFrame, table: str, contract: T.StructType,
+              key: str, days: int = 3, buckets: int | None = None) -> DataFrame | None:
+    """Load a base table, partitioned by the day of its key and, within, by account if asked to.
 
     The first run writes everything and returns None; later runs read the look-back window,
-    merge it by delete+insert into the days it covers, rewrite those days only, and return the
+    merge it by delete+insert into the days it covers, overwrite those days only, and return the
     batch. The batch is read from the source once and written down, so what is deleted is what
     is inserted. The latest timestamp is looked up in the latest day, not in the whole target.
     A target without any has no look-back window, and nothing is loaded.
+
+    `buckets` is how many parts a day of a new table has, for `rebuild_from_bases`: choose it so
+    that a day's bucket is a file worth reading.
     """
     incoming = contracts.conform(source, contract)
-    if not publish.table_exists(spark, path):
-        publish.replace_partitions(_with_date(incoming, key), path, EVENT_DATE)
+    if not stored.exists(spark, table):
+        stored.create(incoming.withColumn(EVENT_DATE, day_of(key)), table, [EVENT_DATE], buckets)
         return None
-    latest = publish.latest_partition(spark, path)
+    target = _read(spark, table, contract)
+    latest = stored.latest_day(spark, table)
     if latest is None:
         return incoming.filter(F.lit(False))
-    start = inc.look_back_start(_stored(spark, path, contract, latest.__eq__), key, days)
+    start = inc.look_back_start(target.filter(F.col(EVENT_DATE) == F.lit(latest)), key, days)
     batch = materialise(incoming.filter(F.col(key) >= moment(start)), "batch")
-    first = f"{EVENT_DATE}={start.date()}"
-    recent = _stored(spark, path, contract,
-                     lambda f: f >= first and not f.endswith(publish.NULL_FOLDER))
-    merged = inc.delete_insert(recent, batch, [key])
-    publish.replace_partitions(_with_date(merged, key), path, EVENT_DATE)
+    first = start.date()
+    recent = contracts.conform(target.filter(F.col(EVENT_DATE) >= F.lit(first)), contract)
+    merged = materialise(inc.delete_insert(recent, batch, [key]), "merged")
+    covered = [p for p in stored.partitions(spark, table)
+               if p[EVENT_DATE] != stored.NULL_PARTITION and p[EVENT_DATE] >= str(first)]
+    stored.overwrite(merged.withColumn(EVENT_DATE, day_of(key)), table, covered)
     return batch
 
 
-def _with_date(df: DataFrame, key: str) -> DataFrame:
-    return df.withColumn(EVENT_DATE, day_of(key))
+def load_bases(spark: SparkSession, sources: AccountTables, database: str,
+               buckets: int | None = None) -> DataFrame | None:
+    """Loads all four base tables; the accounts with a changed row, or None after a first run.
+
+    Besides the accounts of the batches these are those of the rows a batch may have deleted,
+    all that were in its look-back window before.
+    """
+    touched = []
+    for (name, (contract, key)), source in zip(BASE_TABLES.items(), (
+            sources.created, sources.closed, sources.reopened, sources.transactions)):
+        table = f"{database}.{name}"
+        before = None
+        if stored.exists(spark, table) and (latest := stored.latest_day(spark, table)):
+            rows = _read(spark, table, contract)
+            start = inc.look_back_start(rows.filter(F.col(EVENT_DATE) == F.lit(latest)), key)
+            before = materialise(
+                rows.filter((F.col(EVENT_DATE) >= F.lit(start.date()))
+                            & (F.col(key) >= moment(start))).select(ACCOUNT).distinct(),
+                "accounts_before")
+        batch = load_base(spark, source, table, contract, key, buckets=buckets)
+        touched += [df for df in (before, batch) if df is not None]
+    return materialise(inc.touched_accounts(*touched), "touched_accounts") if touched else None
 
 
-def _bucket() -> Column:
-    """The part of the mart an account's rows lie in; rows without account id have their own."""
-    return F.when(F.col(ACCOUNT).isNull(), F.lit(-1)).otherwise(
-        F.pmod(F.xxhash64(ACCOUNT), F.lit(MART_BUCKETS)).cast("int"))
+def _buckets_holding(accounts: DataFrame, buckets: int) -> list[int]:
+    """The buckets that hold the accounts: at most all and that of rows without id."""
+    rows = accounts.select(bucket_of(buckets).alias(BUCKET)).distinct().collect()
+    return sorted(r[BUCKET] for r in rows)
 
 
-def _folders_of(df: DataFrame) -> set[str]:
-    """The mart folders that hold the accounts of `df`: at most MART_BUCKETS + 1."""
-    rows = df.select(_bucket().alias(BUCKET)).distinct().collect()
-    return {f"{BUCKET}={r[BUCKET]}" for r in rows}
+def read_mart(spark: SparkSession, table: str,
+              buckets: Collection[int] | None = None) -> DataFrame:
+    return read_base(spark, table, contracts.UNIFIED_ACCOUNTS, buckets)
 
 
-def read_mart(spark: SparkSession, path: str) -> DataFrame:
-    return _stored(spark, path, contracts.UNIFIED_ACCOUNTS)
+def _places(buckets: Collection[int]) -> list[dict[str, str]]:
+    return [{BUCKET: str(b)} for b in buckets]
 
 
-def _write_mart(df: DataFrame, path: str, emptied: set[str] = frozenset()) -> None:
-    publish.replace_partitions(df.withColumn(BUCKET, _bucket()), path, BUCKET, emptied)
+def _create_mart(rows: DataFrame, table: str, buckets: int) -> DataFrame:
+    stored.create(contracts.conform(rows, contracts.UNIFIED_ACCOUNTS), table, buckets=buckets)
+    return read_mart(rows.sparkSession, table)
 
 
-def load_mart(spark: SparkSession, unified: DataFrame, path: str,
-              null_safe: bool = False) -> DataFrame:
+def load_mart(spark: SparkSession, unified: DataFrame, table: str,
+              null_safe: bool = False, buckets: int = MART_BUCKETS) -> DataFrame:
     """Merge the changed rows of the unified table into the mart by its three-column key.
 
     Only the buckets of changed accounts are read and rewritten. As declared, with its limits:
@@ -106,36 +138,56 @@ def load_mart(spark: SparkSession, unified: DataFrame, path: str,
     the account closes, and totals alone do not make a row "changed". `rebuild_touched` has
     neither limit.
     """
+    if not stored.exists(spark, table):
+        return _create_mart(unified, table, buckets)
     unified = contracts.conform(unified, contracts.UNIFIED_ACCOUNTS)
-    if not publish.table_exists(spark, path):
-        _write_mart(unified, path)
-    else:
-        batch = materialise(inc.changed_rows(unified, read_mart(spark, path)), "changed_rows")
-        folders = _folders_of(batch)
-        target = _stored(spark, path, contracts.UNIFIED_ACCOUNTS, folders.__contains__)
-        _write_mart(inc.delete_insert(target, batch, MART_KEY, null_safe), path)
-    return read_mart(spark, path)
+    batch = materialise(inc.changed_rows(unified, read_mart(spark, table)), "changed_rows")
+    held = _buckets_holding(batch, buckets_of(spark, table))
+    merged = inc.delete_insert(read_mart(spark, table, held), batch, MART_KEY, null_safe)
+    stored.overwrite(materialise(merged, "merged"), table, _places(held))
+    return read_mart(spark, table)
 
 
 def rebuild_touched(spark: SparkSession, tables: AccountTables, touched: DataFrame,
-                    path: str) -> DataFrame:
+                    table: str, buckets: int = MART_BUCKETS) -> DataFrame:
     """Recompute every row of the touched accounts and put them in place of the old ones.
 
     Rows without account id are one account here: if one is touched, all are recomputed. An
     account that is not touched keeps its rows, whatever happened to its events since. Only the
     buckets of touched accounts are rewritten. How many accounts are touched changes nothing
-    but the cost.
+    but the cost. The tables are read as a whole; `rebuild_from_bases` reads their buckets.
     """
-    if not publish.table_exists(spark, path):
-        _write_mart(_unified(tables), path)
-        return read_mart(spark, path)
+    if not stored.exists(spark, table):
+        return _create_mart(_unified(tables), table, buckets)
     touched = materialise(touched, "touched_accounts")
     fresh = _unified(tables.map(lambda t: inc.of_accounts(t, touched)))
-    folders = _folders_of(touched)
-    old = _stored(spark, path, contracts.UNIFIED_ACCOUNTS, folders.__contains__)
-    kept = inc.of_accounts(old, touched, inside=False)
-    _write_mart(kept.unionByName(fresh), path, folders)
-    return read_mart(spark, path)
+    held = _buckets_holding(touched, buckets_of(spark, table))
+    kept = inc.of_accounts(read_mart(spark, table, held), touched, inside=False)
+    stored.overwrite(materialise(kept.unionByName(fresh), "rebuilt"), table, _places(held))
+    return read_mart(spark, table)
+
+
+def rebuild_from_bases(spark: SparkSession, database: str, touched: DataFrame | None,
+                       table: str) -> DataFrame:
+    """Recompute the buckets of the touched accounts from the same buckets of the base tables.
+
+    The base tables were created by `load_bases` with a number of buckets, which is the new
+    mart's too. A bucket is recomputed as a whole, so its old rows are not read, and no row of a
+    base table is joined with the touched accounts. `touched` is what `load_bases` returned; None
+    builds the mart.
+    """
+    counts = {buckets_of(spark, f"{database}.{name}") for name in BASE_TABLES}
+    if len(counts) != 1 or None in counts:
+        raise ValueError(f"the base tables are cut into {counts} buckets")
+    if touched is None or not stored.exists(spark, table):
+        return _create_mart(_unified(read_bases(spark, database)), table, *counts)
+    if buckets_of(spark, table) not in counts:
+        raise ValueError(f"the mart is cut into other buckets than the base tables' {counts}")
+    held = _buckets_holding(touched, *counts)
+    if held:
+        fresh = materialise(_unified(read_bases(spark, database, held)), "rebuilt")
+        stored.overwrite(fresh, table, _places(held))
+    return read_mart(spark, table)
 
 
 def _unified(tables: AccountTables) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import activity, lifecycle
 from tidemark.operators.closures import deduplicate_closures, latest_closure_per_day
-from tidemark.plans import publish
+from tidemark.plans import stored
 from tidemark.sources import contracts
 from tidemark.sources.tables import AccountTables
 
@@ -46,18 +46,18 @@ def create_base_views(t: AccountTables) -> None:
     t.transactions.createOrReplaceTempView("base_account_transactions")
 
 
-def build_marts(spark: SparkSession, t: AccountTables, folder: str) -> dict[str, DataFrame]:
+def build_marts(spark: SparkSession, t: AccountTables, database: str) -> dict[str, DataFrame]:
     """Write closures, unified accounts and the rate; each later table reads written ones."""
-    def publish_table(name: str, df: DataFrame) -> DataFrame:
-        publish.replace_table(df, f"{folder}/{name}")
-        return publish.read_table(spark, f"{folder}/{name}")
+    def written(name: str, df: DataFrame) -> DataFrame:
+        stored.replace(df, f"{database}.{name}")
+        return spark.table(f"{database}.{name}")
 
-    closures = publish_table("deduplicated_closures", latest_closure_per_day(t.closed))
+    closures = written("deduplicated_closures", latest_closure_per_day(t.closed))
     deduplicated = AccountTables(t.created, closures, t.reopened, t.transactions)
-    unified = publish_table("unified_accounts", contracts.conform(
+    unified = written("unified_accounts", contracts.conform(
         unified_accounts(deduplicated), contracts.UNIFIED_ACCOUNTS))
     intervals = activity.open_intervals(activity.open_spans(unified))
-    rate = publish_table("active_user_rate", contracts.conform(
+    rate = written("active_user_rate", contracts.conform(
         activity.active_user_rate(intervals, t.transactions), contracts.ACTIVE_USER_RATE))
     return {"deduplicated_closures": closures, "unified_accounts": unified,
             "active_user_rate": rate}

@@ -65,3 +65,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = new_scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def new_scratch_database(spark: SparkSession) -> str:
+    """A database of its own in the scratch folder; its tables leave with the session."""
+    name = f"scratch_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{new_scratch_path(spark, name)}'")
+    return name

@@ -10,7 +10,7 @@ from tidemark.plans.loads import load_base
 
 
 def load_on_arrival(spark: SparkSession, source_path: str, source_schema: T.StructType,
-                    target_path: str, contract: T.StructType, key: str, checkpoint: str,
+                    target: str, contract: T.StructType, key: str, checkpoint: str,
                     days: int = 3) -> StreamingQuery:
     """Process everything that arrived since the last call, then stop.
 
@@ -25,7 +25,7 @@ def load_on_arrival(spark: SparkSession, source_path: str, source_schema: T.Stru
             return
         source = spark.read.schema(source_schema).parquet(source_path)
         affected = source.filter(F.col(key) >= F.lit(first).cast("timestamp_ntz"))
-        load_base(spark, affected, target_path, contract, key, days)
+        load_base(spark, affected, target, contract, key, days)
 
     arrivals = spark.readStream.schema(source_schema).parquet(source_path)
     return (
