@@ -23,8 +23,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_AT = datetime.datetime(2024, 1, 31, 6)
 LIMITED_ROWS = 100
-#: Parts of a day in the base tables, and of the mart over them: few, since the tables are small.
-BASE_BUCKETS = 4
+#: Parts of the marts, and of a day in the base tables: few, since the tables here are small.
+SMALL_MART_BUCKETS, BASE_BUCKETS = 8, 2
 FIRST_RUN_END = datetime.datetime(2024, 1, 20)
 NULLABLE = {
     "account_created": contracts.ACCOUNT_CREATED.fieldNames(),
@@ -119,7 +119,8 @@ def _changed_rows(t: AccountTables) -> DataFrame:
 def _mart_literal(spark: SparkSession, folder: str, null_safe: bool = False) -> DataFrame:
     t = _damaged(read_account_tables(spark, folder))
     table = f"{new_scratch_database(spark)}.unified_accounts"
-    loads.load_mart(spark, marts.unified_accounts(_first_run(t)), table, null_safe)
+    loads.load_mart(spark, marts.unified_accounts(_first_run(t)), table, null_safe,
+                    SMALL_MART_BUCKETS)
     return loads.load_mart(spark, marts.unified_accounts(t), table, null_safe)
 
 
@@ -139,11 +140,14 @@ def _mart_rebuild(spark: SparkSession, folder: str) -> DataFrame:
     t = _damaged(read_account_tables(spark, folder))
     seen = _in_time(t)
     table = f"{new_scratch_database(spark)}.unified_accounts"
-    loads.rebuild_touched(spark, seen, incremental.touched_accounts(seen.created), table)
-    batches = [incremental.look_back(now, before, key) for now, before, key in (
-        (t.created, seen.created, c.CREATED), (t.closed, seen.closed, c.CLOSED),
-        (t.reopened, seen.reopened, c.REOPENED),
-        (t.transactions, seen.transactions, c.TX_DATE))]
+    loads.rebuild_touched(spark, seen, incremental.touched_accounts(seen.created), table,
+                          SMALL_MART_BUCKETS)
+    runs = [(t.created, seen.created, c.CREATED), (t.closed, seen.closed, c.CLOSED),
+            (t.reopened, seen.reopened, c.REOPENED),
+            (t.transactions, seen.transactions, c.TX_DATE)]
+    starts = incremental.look_back_starts([(before, key) for _, before, key in runs])
+    batches = [incremental.since(now, key, start)
+               for (now, _, key), start in zip(runs, starts)]
     return loads.rebuild_touched(spark, t, incremental.touched_accounts(*batches), table)
 
 
@@ -161,9 +165,12 @@ def _mart_from_bases(spark: SparkSession, folder: str) -> DataFrame:
     return mart
 
 
-def _built(spark: SparkSession, t: AccountTables) -> dict[str, DataFrame]:
-    """The sources, and the marts as written tables."""
-    return _by_name(t) | marts.build_marts(spark, t, new_scratch_database(spark))
+def _built(spark: SparkSession, t: AccountTables,
+           watch: checks.Watch | None = None) -> dict[str, DataFrame]:
+    """The sources and the marts as written tables."""
+    database = new_scratch_database(spark)
+    t = marts.store_sources(spark, t, database, watch)
+    return _by_name(t) | marts.build_marts(spark, t, database, watch)
 
 
 def _built_mart(name: str) -> Query:
@@ -205,10 +212,9 @@ def _check_not_null(spark: SparkSession, folder: str) -> DataFrame:
 
 def _check_relationships(t: AccountTables) -> DataFrame:
     tables = _by_name(t)
-    return _union(
-        quality.orphaned_keys(tables[name], t.created)
-        .select(F.lit(name).alias("table_name"), ACCOUNT, "row_count")
-        for name in ("account_closed", "account_reopened", "account_transactions"))
+    children = {n: tables[n] for n in ("account_closed", "account_reopened",
+                                       "account_transactions")}
+    return quality.orphaned_keys_of(children, t.created).withColumnRenamed("child", "table_name")
 
 
 def _check_freshness(t: AccountTables) -> DataFrame:
@@ -231,8 +237,9 @@ def _check_one_user(t: AccountTables) -> DataFrame:
 
 def _check_summary(spark: SparkSession, folder: str) -> DataFrame:
     declared = checks.source_checks() + checks.freshness_checks() + checks.mart_checks()
-    tables = _built(spark, _damaged(read_account_tables(spark, folder)))
-    return checks.run_checks(tables, declared, as_of=RUN_AT)
+    watch = checks.Watch(declared)
+    tables = _built(spark, _damaged(read_account_tables(spark, folder)), watch)
+    return checks.run_checks(tables, declared, as_of=RUN_AT, seen=watch.seen())
 
 
 def _stored_failures(spark: SparkSession, folder: str) -> DataFrame:

@@ -66,3 +66,36 @@ def test_drilldown_filters_the_accounts_first(spark, smallest, no_broadcast):
     plan = plan_of(QUERIES["user_drilldown"](spark, smallest))
     exchange = plan.index("Exchange hashpartitioning(account_id_hashed")
     assert "user-1" in plan[exchange:]
+
+
+def exchanges(plan):
+    return len(re.findall(r"(?<!Reused)(?<!Broadcast)Exchange ", plan))
+
+
+def static_plan(spark, name, folder):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return plan_of(QUERIES[name](spark, folder))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("name, most", [
+    ("current_account_status", 12), ("user_activity_by_date", 18), ("active_user_rate", 18),
+    ("active_user_rate_as_of", 13)])
+def test_rows_without_id_double_no_branch(spark, smallest, no_broadcast, name, most):
+    assert exchanges(static_plan(spark, name, smallest)) <= most
+
+
+def test_children_meet_their_parent_in_one_exchange(spark, smallest, no_broadcast):
+    """Two exchanges derive the tables from events, one is the check's, and nothing is joined."""
+    plan = static_plan(spark, "check_relationships", smallest)
+    assert exchanges(plan) == 3 and "Join" not in plan
+
+
+def test_the_suite_counts_each_table_once(spark, smallest, no_broadcast):
+    """A shuffle per table with keys, one for all relations, three for totals, one for the sum."""
+    plan = static_plan(spark, "check_summary", smallest)
+    assert exchanges(plan) <= 10 and "SinglePartition" not in plan
+    # Row rules and freshness were counted while the tables were written.
+    assert "count_if" not in plan.replace("count_if(judged", "").replace("count_if((place", "")

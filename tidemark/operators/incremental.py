@@ -17,16 +17,26 @@ def look_back_start(target: DataFrame, ts: str, days: int = 3):
     return target.agg((F.max(ts) - F.make_dt_interval(days=F.lit(days))).alias("start")).first()[0]
 
 
+def look_back_starts(targets: list[tuple[DataFrame, str]], days: int = 3) -> list:
+    """`look_back_start` of several targets, each with its timestamp column, in one job."""
+    latest = functools.reduce(DataFrame.unionByName, [
+        df.agg((F.max(ts) - F.make_dt_interval(days=F.lit(days))).alias("start"))
+        .withColumn("place", F.lit(i)) for i, (df, ts) in enumerate(targets)])
+    return [r.start for r in sorted(latest.collect(), key=lambda r: r.place)]
+
+
 def look_back(source: DataFrame, target: DataFrame, ts: str, days: int = 3) -> DataFrame:
     """Source rows from `days` before the target's latest timestamp on, inclusive.
 
     The start is one value fetched from the target, so that the filter reaches the scan of the
     source. An empty target has no latest timestamp and selects nothing.
     """
-    start = look_back_start(target, ts, days)
-    if start is None:
-        return source.filter(F.lit(False))
-    return source.filter(F.col(ts) >= moment(start))
+    return since(source, ts, look_back_start(target, ts, days))
+
+
+def since(source: DataFrame, ts: str, start) -> DataFrame:
+    """Source rows from a moment on; none if there is no moment."""
+    return source.filter(F.lit(False) if start is None else F.col(ts) >= moment(start))
 
 
 def _matches(keys: list[str], prefix: str, null_safe: bool) -> Column:

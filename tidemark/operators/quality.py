@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime
+import functools
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -47,15 +49,31 @@ def unaccepted_values(df: DataFrame, column: str, accepted: list[str]) -> DataFr
 
 
 def orphaned_keys(child: DataFrame, parent: DataFrame, key: str = ACCOUNT) -> DataFrame:
-    """Child keys without a parent row, with the number of child rows. NULL is not judged.
+    """Child keys without a parent row, with the number of child rows. NULL is not judged."""
+    return orphaned_keys_of({"": child}, parent, key).drop("child")
 
-    The child shrinks to its keys before the join, so a key with many rows is not a hot one.
+
+def orphaned_keys_of(children: Mapping[str, DataFrame], parent: DataFrame,
+                     key: str = ACCOUNT) -> DataFrame:
+    """(child, key, row_count): the orphaned keys of several tables by name, in one plan.
+
+    Not a join: the keys of the children and the parent, tagged by where they are from, are
+    counted together by one aggregate, which combines before its shuffle, so that a key with many
+    rows is not a hot one.
     """
-    keys = (
-        child.filter(F.col(key).isNotNull())
-        .groupBy(key).agg(F.count(F.lit(1)).alias("row_count"))
+    names = list(children)
+    parts = [df.select(F.col(key).alias(key), F.lit(place).alias("place"))
+             for place, df in enumerate([*children.values(), parent])]
+    counted = (
+        functools.reduce(DataFrame.unionByName, parts).filter(F.col(key).isNotNull())
+        .groupBy(key).agg(*[F.count_if(F.col("place") == i).alias(f"n{i}")
+                            for i in range(len(parts))])
+        .filter(F.col(f"n{len(names)}") == 0)
     )
-    return keys.join(parent.select(key), key, "left_anti")
+    return counted.select(key, F.inline(F.array(*[
+        F.struct(F.lit(name).alias("child"), F.col(f"n{i}").alias("row_count"))
+        for i, name in enumerate(names)]))).filter("row_count > 0").select(
+        "child", key, "row_count")
 
 
 def violating_rows(df: DataFrame, rule: Column) -> DataFrame:

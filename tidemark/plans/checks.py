@@ -2,6 +2,12 @@
 
 A check has a grade: pass while the failures stay at or below `warn_above`, warn beyond it,
 error beyond `error_above` if one is set.
+
+What a check costs depends on its kind. Rules on single rows and freshness are aggregates that a
+`Watch` gathers while a table is written, or else one pass per table. All keys of a table are
+counted together by grouping sets, in one shuffle. All children of a parent meet it in one
+shuffle of their keys. Other rules bring a plan of their own. The counts of all of them are
+summed by one last aggregate over one small row per check and task.
 """
 
 from __future__ import annotations
@@ -11,7 +17,7 @@ import functools
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tidemark import columns as c
 from tidemark.columns import ACCOUNT, CALC_DATE, CLOSED, CREATED, REOPENED, USER
@@ -36,16 +42,49 @@ class RowCheck:
 
 
 @dataclass(frozen=True)
-class TableCheck:
-    """A rule that needs grouping or a join: a function from the tables to failing rows.
+class KeyCheck:
+    """A rule on the rows that share a key: not more than `most` that are `judged`, all if None.
 
-    `weight` is the column that says how many failures a returned row stands for.
+    With `several` the rule is instead that they agree on that column, NULLs aside.
     """
 
+    name: str
+    table: str
+    key: tuple[str, ...]
+    judged: Column | None = None
+    most: int = 1
+    several: str | None = None
+    error_above: int | None = None
+    warn_above: int = 0
+
+    def rows(self, df: DataFrame) -> DataFrame:
+        """The failing keys, as the operators give them."""
+        if self.several:
+            return q.keys_with_several(df, *self.key, self.several)
+        judged = df if self.judged is None else df.filter(self.judged)
+        return judged.groupBy(*self.key).agg(F.count(F.lit(1)).alias("row_count")).filter(
+            F.col("row_count") > self.most)
+
+
+@dataclass(frozen=True)
+class RelationCheck:
+    """The rule that every key of a table that is not NULL occurs in the parent."""
+
+    name: str
+    table: str
+    parent: str
+    key: str = ACCOUNT
+    error_above: int | None = None
+    warn_above: int = 0
+
+
+@dataclass(frozen=True)
+class TableCheck:
+    """A rule with a plan of its own: a function from the tables to failing rows."""
+
     name: str
     table: str
     failing_rows: Callable[[Tables], DataFrame]
-    weight: str | None = None
     error_above: int | None = None
     warn_above: int = 0
 
@@ -56,9 +95,11 @@ class FreshnessCheck:
     table: str
     loaded_at: str
     warn_after: datetime.timedelta = datetime.timedelta(hours=8)
+    error_above: int | None = None
+    warn_above: int = 0
 
 
-Check = RowCheck | TableCheck | FreshnessCheck
+Check = RowCheck | KeyCheck | RelationCheck | TableCheck | FreshnessCheck
 
 
 def not_null(table: str, column: str, error_above: int | None = None) -> RowCheck:
@@ -69,24 +110,21 @@ def expression_is_true(table: str, name: str, rule: Column) -> RowCheck:
     return RowCheck(f"expression_{table}_{name}", table, ~rule)
 
 
-def unique(table: str, column: str) -> TableCheck:
-    return TableCheck(f"unique_{table}_{column}", table,
-                      lambda t: q.duplicated_keys(t[table], [column], ignore_nulls=True))
+def unique(table: str, column: str) -> KeyCheck:
+    return KeyCheck(f"unique_{table}_{column}", table, (column,), F.col(column).isNotNull())
 
 
-def unique_combination(table: str, columns: list[str]) -> TableCheck:
-    return TableCheck(f"unique_combination_{table}_{'_'.join(columns)}", table,
-                      lambda t: q.duplicated_keys(t[table], columns))
+def unique_combination(table: str, columns: list[str]) -> KeyCheck:
+    return KeyCheck(f"unique_combination_{table}_{'_'.join(columns)}", table, tuple(columns))
 
 
-def accepted_values(table: str, column: str, values: list[str]) -> TableCheck:
-    return TableCheck(f"accepted_values_{table}_{column}", table,
-                      lambda t: q.unaccepted_values(t[table], column, values))
+def accepted_values(table: str, column: str, values: list[str]) -> KeyCheck:
+    return KeyCheck(f"accepted_values_{table}_{column}", table, (column,),
+                    ~F.col(column).isin(values), most=0)
 
 
-def relationship(table: str, parent: str, key: str = ACCOUNT) -> TableCheck:
-    return TableCheck(f"relationship_{table}_{parent}", table,
-                      lambda t: q.orphaned_keys(t[table], t[parent], key), weight="row_count")
+def relationship(table: str, parent: str, key: str = ACCOUNT) -> RelationCheck:
+    return RelationCheck(f"relationship_{table}_{parent}", table, parent, key)
 
 
 def source_checks() -> list[Check]:
@@ -110,8 +148,7 @@ def source_checks() -> list[Check]:
         relationship("account_transactions", "account_created"),
         expression_is_true("account_transactions", "not_negative", F.col(c.TX_COUNT) >= 0),
         not_null("account_transactions", c.TX_DATE, error_above=0),
-        TableCheck("one_user_per_account", "account_created",
-                   lambda t: q.keys_with_several(t["account_created"], ACCOUNT, USER)),
+        KeyCheck("one_user_per_account", "account_created", (ACCOUNT,), several=USER),
     ]
 
 
@@ -169,55 +206,148 @@ def grade(failures: Column, warn_above: Column, error_above: Column) -> Column:
     )
 
 
-def _counted(checks: list[tuple[Check, Column]], df: DataFrame) -> DataFrame:
-    """One aggregate over `df` holding the failure count of each check, turned into rows."""
-    counts = df.agg(*[count.alias(f"n{i}") for i, (_, count) in enumerate(checks)])
+def _one_pass(check: RowCheck | FreshnessCheck) -> Column:
+    """The aggregate from which the check's failures follow."""
+    if isinstance(check, RowCheck):
+        return F.count_if(check.failing)
+    return F.max(check.loaded_at)
+
+
+class Watch:
+    """Gathers what row and freshness checks need while their tables are written."""
+
+    def __init__(self, checks: list[Check]):
+        self._checks = [c for c in checks if isinstance(c, (RowCheck, FreshnessCheck))]
+        self._seen: dict[str, Observation] = {}
+
+    def over(self, table: str, rows: DataFrame) -> DataFrame:
+        """The rows, to be written once: they are counted on their way."""
+        own = [c for c in self._checks if c.table == table]
+        if not own:
+            return rows
+        self._seen[table] = Observation()
+        return rows.observe(self._seen[table], *[_one_pass(c).alias(c.name) for c in own])
+
+    def seen(self) -> dict[str, object]:
+        """What was gathered, by name of the check, once the tables are written."""
+        return {name: value for o in self._seen.values() for name, value in o.get.items()}
+
+
+def _failures_of(check: Check, found: Column, as_of: datetime.datetime | None) -> Column:
+    """The number of failures from the aggregate of a row or freshness check."""
+    if isinstance(check, RowCheck):
+        return F.coalesce(found, F.lit(0)).cast("bigint")
+    if as_of is None:
+        raise ValueError("freshness checks need as_of")
+    fresh = F.coalesce(found >= moment(as_of - check.warn_after), F.lit(False))
+    return (~fresh).cast("bigint")
+
+
+def _rows_of(counts: DataFrame, found: list[tuple[Check, Column]]) -> DataFrame:
+    """(check_name, failures) from one row of counts."""
     return counts.select(F.inline(F.array(*[
-        F.struct(
-            F.lit(check.name).alias("check_name"),
-            F.lit(check.table).alias("table_name"),
-            F.coalesce(F.col(f"n{i}"), F.lit(0)).cast("bigint").alias(q.FAILURES),
-            F.lit(getattr(check, "warn_above", 0)).cast("bigint").alias("warn_above"),
-            F.lit(getattr(check, "error_above", None)).cast("bigint").alias("error_above"),
-        )
-        for i, (check, _) in enumerate(checks)
-    ])))
-
-
-def run_checks(tables: Tables, checks: list[Check],
-               as_of: datetime.datetime | None = None) -> DataFrame:
+        F.struct(F.lit(c.name).alias("check_name"), n.cast("bigint").alias(q.FAILURES))
+        for c, n in found])))
+
+
+def _key_failures(df: DataFrame, checks: list[KeyCheck]) -> DataFrame:
+    """A row (check_name, 1) per failing key: all keys of a table in one shuffle."""
+    sets = list(dict.fromkeys(c.key for c in checks))
+    names = list(dict.fromkeys(n for key in sets for n in key))
+    flags = {f"judged_{i}": F.lit(True) if c.judged is None else F.coalesce(c.judged, F.lit(False))
+             for i, c in enumerate(checks)}
+    values = {f"value_{i}": F.col(c.several) for i, c in enumerate(checks) if c.several}
+    rows = df.select(*names, *[v.alias(k) for k, v in (flags | values).items()])
+    found = []
+    for i, check in enumerate(checks):
+        if check.several:
+            found.append((F.min(f"value_{i}") < F.max(f"value_{i}")).alias(f"fails_{i}"))
+        else:
+            found.append((F.count_if(f"judged_{i}") > check.most).alias(f"fails_{i}"))
+    grouped = rows.groupingSets([[F.col(n) for n in key] for key in sets],
+                                *map(F.col, names)).agg(F.grouping_id().alias("of"), *found)
+
+    def of(key: tuple[str, ...]) -> int:
+        """The grouping id of a set: a bit for each name that is not in it."""
+        return sum(1 << (len(names) - 1 - i) for i, n in enumerate(names) if n not in key)
+
+    failing = F.filter(F.array(*[
+        F.when((F.col("of") == of(c.key)) & F.col(f"fails_{i}"), F.lit(c.name))
+        for i, c in enumerate(checks)]), lambda name: name.isNotNull())
+    return grouped.select(F.explode(failing).alias("check_name"),
+                          F.lit(1).cast("bigint").alias(q.FAILURES))
+
+
+def _orphan_failures(tables: Tables, checks: list[RelationCheck]) -> DataFrame:
+    """(check_name, failures) per key: all children of a parent in one shuffle."""
+    (parent, key), = {(c.parent, c.key) for c in checks}
+    orphans = q.orphaned_keys_of({c.name: tables[c.table] for c in checks}, tables[parent], key)
+    return orphans.select(F.col("child").alias("check_name"),
+                          F.col("row_count").alias(q.FAILURES))
+
+
+def run_checks(tables: Tables, checks: list[Check], as_of: datetime.datetime | None = None,
+               seen: Mapping[str, object] | None = None) -> DataFrame:
     """One row per check: name, table, failures and status.
 
-    Row and freshness checks cost one pass per table together; each table check adds a job
-    stage of its own. A freshness failure counts 1 and only warns.
+    `seen` holds what a `Watch` gathered while tables were written; row and freshness checks
+    without it take one pass per table. A freshness failure counts 1 and only warns.
     """
-    one_pass: dict[str, list[tuple[Check, Column]]] = {}
-    parts = []
+    seen = seen or {}
+    spark = next(iter(tables.values())).sparkSession
+    declared = spark.createDataFrame(
+        [(c.name, c.table, c.warn_above, c.error_above) for c in checks],
+        "check_name string, table_name string, warn_above bigint, error_above bigint")
+    groups: dict[tuple, list[Check]] = {}
     for check in checks:
-        if isinstance(check, TableCheck):
-            failing = check.failing_rows(tables)
-            amount = F.sum(check.weight) if check.weight else F.count(F.lit(1))
-            parts.append(_counted([(check, amount)], failing))
-        elif isinstance(check, RowCheck):
-            one_pass.setdefault(check.table, []).append((check, F.count_if(check.failing)))
+        kind = (RowCheck if isinstance(check, FreshnessCheck) else type(check))
+        if check.name in seen:
+            at = ("seen",)
+        elif kind is RelationCheck:
+            at = (kind, check.parent, check.key)
+        elif kind is TableCheck:
+            at = (kind, check.name)
         else:
-            if as_of is None:
-                raise ValueError("freshness checks need as_of")
-            stale_before = moment(as_of - check.warn_after)
-            is_stale = F.coalesce(F.max(check.loaded_at) < stale_before, F.lit(True))
-            one_pass.setdefault(check.table, []).append((check, is_stale.cast("bigint")))
-    parts += [_counted(group, tables[table]) for table, group in one_pass.items()]
-    return (
-        functools.reduce(DataFrame.unionByName, parts)
-        .select("check_name", "table_name", q.FAILURES,
-                grade(F.col(q.FAILURES), F.col("warn_above"),
-                      F.col("error_above")).alias("status"))
-    )
-
-
-def failing_rows(tables: Tables, check: RowCheck | TableCheck) -> DataFrame:
+            at = (kind, check.table)
+        groups.setdefault(at, []).append(check)
+    parts = []
+    for (kind, *_), group in groups.items():
+        df = tables[group[0].table] if group[0].table in tables else None
+        if kind == "seen":
+            kinds = [F.lit(seen[c.name]).cast("bigint" if isinstance(c, RowCheck)
+                                              else "timestamp_ntz") for c in group]
+            parts.append(_rows_of(spark.range(1), [
+                (c, _failures_of(c, n, as_of)) for c, n in zip(group, kinds)]))
+        elif kind is RowCheck:
+            counts = df.agg(*[_one_pass(c).alias(f"n{i}") for i, c in enumerate(group)])
+            parts.append(_rows_of(counts, [
+                (c, _failures_of(c, F.col(f"n{i}"), as_of)) for i, c in enumerate(group)]))
+        elif kind is KeyCheck:
+            parts.append(_key_failures(df, group))
+        elif kind is RelationCheck:
+            parts.append(_orphan_failures(tables, group))
+        else:
+            (check,) = group
+            parts.append(check.failing_rows(tables).select(
+                F.lit(check.name).alias("check_name"),
+                F.lit(1).cast("bigint").alias(q.FAILURES)))
+    none = declared.select("check_name", F.lit(0).cast("bigint").alias(q.FAILURES))
+    failures = functools.reduce(DataFrame.unionByName, [none, *parts]).groupBy("check_name").agg(
+        F.sum(q.FAILURES).alias(q.FAILURES))
+    return failures.join(F.broadcast(declared), "check_name").select(
+        "check_name", "table_name", q.FAILURES,
+        grade(F.col(q.FAILURES), F.col("warn_above"), F.col("error_above")).alias("status"))
+
+
+def failing_rows(tables: Tables, check: RowCheck | KeyCheck | RelationCheck | TableCheck
+                 ) -> DataFrame:
+    """The rows a check fails on; for rules on keys the keys, with what is wrong with them."""
     if isinstance(check, TableCheck):
         return check.failing_rows(tables)
+    if isinstance(check, RelationCheck):
+        return q.orphaned_keys(tables[check.table], tables[check.parent], check.key)
+    if isinstance(check, KeyCheck):
+        return check.rows(tables[check.table])
     return tables[check.table].filter(check.failing)
 
 
@@ -232,8 +362,8 @@ def store_failures(spark: SparkSession, tables: Tables, checks: list[Check],
                    folder: str) -> dict[str, DataFrame]:
     """Write the failing rows of each check below `folder`; returns them as stored, by name.
 
-    All row checks of a table share one pass over it and one table partitioned by check; a
-    table check has a table of its own. A check that passes has no rows stored, which clears
+    All row checks of a table share one pass over it and one table partitioned by check; each
+    other check has a table of its own. A check that passes has no rows stored, which clears
     the failures of an earlier run.
     """
     stored = {}
@@ -241,8 +371,8 @@ def store_failures(spark: SparkSession, tables: Tables, checks: list[Check],
     for check in checks:
         if isinstance(check, RowCheck):
             by_table.setdefault(check.table, []).append(check)
-        elif isinstance(check, TableCheck):
-            failing = check.failing_rows(tables)
+        elif not isinstance(check, FreshnessCheck):
+            failing = failing_rows(tables, check)
             failing.write.mode("overwrite").parquet(f"{folder}/{check.name}")
             stored[check.name] = spark.read.schema(failing.schema).parquet(
                 f"{folder}/{check.name}")

@@ -13,7 +13,7 @@ from tidemark.operators import incremental as inc
 from tidemark.operators.lifecycle import unified_accounts
 from tidemark.plans import stored
 from tidemark.plans.stored import BUCKET, EVENT_DATE, bucket_of, buckets_of
-from tidemark.session import materialise
+from tidemark.session import materialise, materialise_observed
 from tidemark.sources import contracts
 from tidemark.sources.tables import AccountTables
 
@@ -78,7 +78,7 @@ def load_base(spark: SparkSession, source: DataFrame, table: str, contract: T.St
     batch = materialise(incoming.filter(F.col(key) >= moment(start)), "batch")
     first = start.date()
     recent = contracts.conform(target.filter(F.col(EVENT_DATE) >= F.lit(first)), contract)
-    merged = materialise(inc.delete_insert(recent, batch, [key]), "merged")
+    merged = inc.delete_insert(recent, batch, [key])
     covered = [p for p in stored.partitions(spark, table)
                if p[EVENT_DATE] != stored.NULL_PARTITION and p[EVENT_DATE] >= str(first)]
     stored.overwrite(merged.withColumn(EVENT_DATE, day_of(key)), table, covered)
@@ -109,10 +109,10 @@ def load_bases(spark: SparkSession, sources: AccountTables, database: str,
     return materialise(inc.touched_accounts(*touched), "touched_accounts") if touched else None
 
 
-def _buckets_holding(accounts: DataFrame, buckets: int) -> list[int]:
-    """The buckets that hold the accounts: at most all and that of rows without id."""
-    rows = accounts.select(bucket_of(buckets).alias(BUCKET)).distinct().collect()
-    return sorted(r[BUCKET] for r in rows)
+def _with_buckets(rows: DataFrame, name: str, buckets: int) -> tuple[DataFrame, list[int]]:
+    """The rows written down, and the buckets of their accounts: at most all."""
+    written, seen = materialise_observed(rows, name, held=F.collect_set(bucket_of(buckets)))
+    return written, sorted(seen["held"])
 
 
 def read_mart(spark: SparkSession, table: str,
@@ -141,10 +141,10 @@ def load_mart(spark: SparkSession, unified: DataFrame, table: str,
     if not stored.exists(spark, table):
         return _create_mart(unified, table, buckets)
     unified = contracts.conform(unified, contracts.UNIFIED_ACCOUNTS)
-    batch = materialise(inc.changed_rows(unified, read_mart(spark, table)), "changed_rows")
-    held = _buckets_holding(batch, buckets_of(spark, table))
+    batch, held = _with_buckets(inc.changed_rows(unified, read_mart(spark, table)),
+                                "changed_rows", buckets_of(spark, table))
     merged = inc.delete_insert(read_mart(spark, table, held), batch, MART_KEY, null_safe)
-    stored.overwrite(materialise(merged, "merged"), table, _places(held))
+    stored.overwrite(merged, table, _places(held))
     return read_mart(spark, table)
 
 
@@ -159,11 +159,10 @@ def rebuild_touched(spark: SparkSession, tables: AccountTables, touched: DataFra
     """
     if not stored.exists(spark, table):
         return _create_mart(_unified(tables), table, buckets)
-    touched = materialise(touched, "touched_accounts")
+    touched, held = _with_buckets(touched, "touched_accounts", buckets_of(spark, table))
     fresh = _unified(tables.map(lambda t: inc.of_accounts(t, touched)))
-    held = _buckets_holding(touched, buckets_of(spark, table))
     kept = inc.of_accounts(read_mart(spark, table, held), touched, inside=False)
-    stored.overwrite(materialise(kept.unionByName(fresh), "rebuilt"), table, _places(held))
+    stored.overwrite(kept.unionByName(fresh), table, _places(held))
     return read_mart(spark, table)
 
 
@@ -183,10 +182,9 @@ def rebuild_from_bases(spark: SparkSession, database: str, touched: DataFrame |
         return _create_mart(_unified(read_bases(spark, database)), table, *counts)
     if buckets_of(spark, table) not in counts:
         raise ValueError(f"the mart is cut into other buckets than the base tables' {counts}")
-    held = _buckets_holding(touched, *counts)
+    _, held = _with_buckets(touched, "touched_accounts", *counts)
     if held:
-        fresh = materialise(_unified(read_bases(spark, database, held)), "rebuilt")
-        stored.overwrite(fresh, table, _places(held))
+        stored.overwrite(_unified(read_bases(spark, database, held)), table, _places(held))
     return read_mart(spark, table)
 
 

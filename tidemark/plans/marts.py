@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.operators import activity, lifecycle
 from tidemark.operators.closures import deduplicate_closures, latest_closure_per_day
 from tidemark.plans import stored
+from tidemark.plans.checks import Watch
 from tidemark.sources import contracts
 from tidemark.sources.tables import AccountTables
 
@@ -46,11 +47,14 @@ def create_base_views(t: AccountTables) -> None:
     t.transactions.createOrReplaceTempView("base_account_transactions")
 
 
-def build_marts(spark: SparkSession, t: AccountTables, database: str) -> dict[str, DataFrame]:
-    """Write closures, unified accounts and the rate; each later table reads written ones."""
+def build_marts(spark: SparkSession, t: AccountTables, database: str,
+                watch: Watch | None = None) -> dict[str, DataFrame]:
+    """Write closures, unified accounts and the rate; each later table reads written ones.
+
+    A watch gathers the counts of its checks on the way.
+    """
     def written(name: str, df: DataFrame) -> DataFrame:
-        stored.replace(df, f"{database}.{name}")
-        return spark.table(f"{database}.{name}")
+        return _written(spark, f"{database}.{name}", df, watch)
 
     closures = written("deduplicated_closures", latest_closure_per_day(t.closed))
     deduplicated = AccountTables(t.created, closures, t.reopened, t.transactions)
@@ -61,3 +65,17 @@ def build_marts(spark: SparkSession, t: AccountTables, database: str) -> dict[st
         activity.active_user_rate(intervals, t.transactions), contracts.ACTIVE_USER_RATE))
     return {"deduplicated_closures": closures, "unified_accounts": unified,
             "active_user_rate": rate}
+
+
+def _written(spark: SparkSession, table: str, df: DataFrame, watch: Watch | None) -> DataFrame:
+    stored.replace(watch.over(table.split(".")[-1], df) if watch else df, table)
+    return spark.table(table)
+
+
+def store_sources(spark: SparkSession, t: AccountTables, database: str,
+                  watch: Watch | None = None) -> AccountTables:
+    """The conformed sources as tables of their own: derived once, however often they are read."""
+    names = ("account_created", "account_closed", "account_reopened", "account_transactions")
+    return AccountTables(*(
+        _written(spark, f"{database}.{name}", df, watch)
+        for name, df in zip(names, (t.created, t.closed, t.reopened, t.transactions))))

@@ -1,8 +1,8 @@
 """Catalog tables that hold the results, written by Spark's own writers.
 
 A table is created with its rows in one statement, so an interrupted first run leaves none.
-Later runs overwrite the partitions they hold rows of (dynamic partition overwrite); all other
-partitions keep their files. What is written must not read the table: write it down first.
+Later runs overwrite the partitions they hold rows of (dynamic partition overwrite), from rows
+that are written down first; all other partitions keep their files.
 
 Tables that are kept by account have `BUCKET` as their last partition column. The number of
 buckets is a property of the table, given when it is created; tables that share it are cut alike,
@@ -18,6 +18,7 @@ from collections.abc import Collection, Iterator
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.columns import ACCOUNT
+from tidemark.session import materialise_observed
 
 EVENT_DATE = "event_date"
 BUCKET = "account_bucket"
@@ -86,19 +87,22 @@ def _dynamic(spark: SparkSession) -> Iterator[None]:
 def overwrite(df: DataFrame, table: str, replaced: list[dict[str, str]]) -> None:
     """Overwrites the partitions `df` holds rows of, and drops those of `replaced` it has none of.
 
-    `df` has the table's columns but BUCKET, and is written down, not read from the table. All
-    rows of a partition must be in it or the partition out of it.
+    `df` has the table's columns but BUCKET, and may read the table: it is written down first,
+    which also tells the partitions it has. All rows of a partition must be in it, or the
+    partition not among the replaced ones.
     """
-    spark = df.sparkSession
-    columns, keys = spark.table(table).columns, list(replaced[0]) if replaced else []
-    buckets = buckets_of(spark, table)
-    if buckets:
-        df = df.withColumn(BUCKET, bucket_of(buckets))
-    held = {tuple(str(v) if v is not None else NULL_PARTITION for v in r)
-            for r in df.select(*keys).distinct().collect()} if keys else set()
+    if not replaced:
+        return
+    spark, keys = df.sparkSession, list(replaced[0])
+    columns = spark.table(table).columns
+    if BUCKET in keys:
+        df = df.withColumn(BUCKET, bucket_of(buckets_of(spark, table)))
+    places = F.collect_set(F.struct(*(
+        F.coalesce(F.col(k).cast("string"), F.lit(NULL_PARTITION)) for k in keys)))
+    rows, seen = materialise_observed(df.select(*columns), "overwriting", places=places)
+    held = {tuple(r) for r in seen["places"]}
     with _dynamic(spark):
-        (df.select(*columns).hint("rebalance", *(keys or columns[-1:]))
-         .write.mode("overwrite").insertInto(table))
+        rows.hint("rebalance", *keys).write.mode("overwrite").insertInto(table)
     for place in replaced:
         if tuple(place.values()) not in held:
             spec = ", ".join(f"{k} = {_literal(v)}" for k, v in place.items())

@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def build_session(app_name: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -67,6 +67,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialise_observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """`materialise`, and aggregates of the rows gathered while they are written."""
+    seen = Observation()
+    written = materialise(df.observe(seen, *(m.alias(k) for k, m in metrics.items())), name)
+    return written, seen.get
+
+
 def new_scratch_database(spark: SparkSession) -> str:
     """A database of its own in the scratch folder; its tables leave with the session."""
     name = f"scratch_{uuid.uuid4().hex}"
