@@ -13,7 +13,7 @@ from tidemark import columns as c
 from tidemark.columns import ACCOUNT, USER
 from tidemark.functions.time import moment
 from tidemark.operators import activity, closures, incremental, lifecycle, quality, reporting
-from tidemark.plans import checks, loads, marts
+from tidemark.plans import checks, kept_rate, loads, marts
 from tidemark.session import new_scratch_database, new_scratch_path
 from tidemark.sources import contracts
 from tidemark.sources.events import read_account_tables
@@ -165,6 +165,39 @@ def _mart_from_bases(spark: SparkSession, folder: str) -> DataFrame:
     return mart
 
 
+def _rate_from_bases(spark: SparkSession, folder: str) -> DataFrame:
+    for database, touched in _both_runs(spark, folder):
+        rate = kept_rate.load_rate(spark, database, touched, buckets=SMALL_MART_BUCKETS)
+    return rate
+
+
+def _mart_by_content(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The mart after two runs compared by content, and what the second one changed."""
+    t = _damaged(read_account_tables(spark, folder))
+    table = f"{new_scratch_database(spark)}.unified_accounts"
+    loads.load_by_content(spark, marts.unified_accounts(_first_run(t)), table, SMALL_MART_BUCKETS)
+    return loads.load_by_content(spark, marts.unified_accounts(t), table)
+
+
+def _base_views(spark: SparkSession, folder: str) -> DataFrame:
+    """What SQL over the views of the conformed sources finds."""
+    marts.create_base_views(read_account_tables(spark, folder))
+    return spark.sql("""
+        SELECT a.account_type, count(DISTINCT a.account_id_hashed) AS accounts,
+               count(DISTINCT c.account_id_hashed) AS closed_accounts,
+               count(DISTINCT r.account_id_hashed) AS reopened_accounts,
+               coalesce(max(t.transactions_num), 0) AS busiest_day
+        FROM base_account_created a
+        LEFT JOIN (SELECT DISTINCT account_id_hashed FROM base_account_closed) c
+               ON c.account_id_hashed = a.account_id_hashed
+        LEFT JOIN (SELECT DISTINCT account_id_hashed FROM base_account_reopened) r
+               ON r.account_id_hashed = a.account_id_hashed
+        LEFT JOIN (SELECT account_id_hashed, max(transactions_num) AS transactions_num
+                   FROM base_account_transactions GROUP BY account_id_hashed) t
+               ON t.account_id_hashed = a.account_id_hashed
+        GROUP BY a.account_type""")
+
+
 def _built(spark: SparkSession, t: AccountTables,
            watch: checks.Watch | None = None) -> dict[str, DataFrame]:
     """The sources and the marts as written tables."""
@@ -320,6 +353,10 @@ def _queries() -> dict[str, Query]:
         "incremental_mart_null_safe": lambda spark, folder: _mart_literal(spark, folder, True),
         "incremental_mart_rebuild": _mart_rebuild,
         "incremental_mart_from_bases": _mart_from_bases,
+        "incremental_rate": _rate_from_bases,
+        "incremental_mart_by_content": lambda spark, folder: _mart_by_content(spark, folder)[0],
+        "mart_content_changes": lambda spark, folder: _mart_by_content(spark, folder)[1],
+        "base_views": _base_views,
         "schema_guard": _schema_guard,
         "mart_unified_accounts": _built_mart("unified_accounts"),
         "mart_active_user_rate": _built_mart("active_user_rate"),

@@ -5,13 +5,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from build import spark_tables, ts, written
+from build import drawn, spark_tables, ts, written
 from compare import spark_rows
 from survey_tables import survey_tables
 from tidemark.session import new_scratch_database
 from tidemark import columns as c
 from tidemark.operators import incremental as inc
-from tidemark.plans import loads, marts, stored
+from tidemark.plans import kept_rate, loads, marts, stored
 from tidemark.sources import contracts
 
 CLOSED = (contracts.ACCOUNT_CLOSED, c.CLOSED)
@@ -247,7 +247,7 @@ def test_a_rebuild_from_bases_reads_the_touched_buckets_only(spark, table):
     bucket = int(changed.pop().split("=")[1])
     plan = loads.read_bases(spark, database, [bucket]).closed._jdf.queryExecution() \
         .executedPlan().toString()
-    assert re.search(rf"PartitionFilters: \[[^]]*account_bucket#\d+ = {bucket}\)", plan)
+    assert re.search(rf"PartitionFilters: \[[^]]*bucket#\d+ = {bucket}\)", plan)
     assert spark_rows(loads.rebuild_from_bases(spark, database, touched, mart)) == spark_rows(
         marts.unified_accounts(loads.read_bases(spark, database)))
     with pytest.raises(ValueError, match="buckets"):
@@ -278,6 +278,82 @@ def test_an_account_that_vanished_leaves_its_bucket(spark, table):
     assert [r.account_id_hashed for r in got.collect()] == ["b"]
 
 
+@pytest.mark.parametrize("seed, shared, hot", [(2, True, 0.0), (3, True, 0.4)])
+def test_a_kept_rate_equals_a_full_rebuild(spark, table, seed, shared, hot):
+    database = table.removesuffix(".t")
+    rows = drawn(seed, accounts=60, hot_share=hot, shared_ids=shared)
+    first = {n: [r for r in values if (r[-1] or ts("1")) < ts("25")] for n, values in rows.items()}
+    for run in (first, rows):
+        touched = loads.load_bases(spark, spark_tables(spark, run), database, buckets=3)
+        got = kept_rate.load_rate(spark, database, touched, buckets=5)
+        want = marts.active_user_rate(loads.read_bases(spark, database))
+        assert spark_rows(got) == spark_rows(want)
+        # The kept days hold no more than what a first run would write.
+        whole = kept_rate._summed(kept_rate._per_day(kept_rate._steps(
+            loads.read_bases(spark, database), 7)))
+        assert spark_rows(spark.table(f"{database}.{kept_rate.DAYS}")) == spark_rows(whole)
+
+
+def test_a_kept_rate_follows_an_account_to_another_user(spark, table):
+    database = table.removesuffix(".t")
+    created = [(f"a{i}", f"u{i}", "uk_retail", "9 08:00") for i in range(12)]
+    old = written(created=created + [("moved", "from", None, "9 09:00")],
+                  transactions=[("moved", 1, "9"), ("a1", 1, "9")])
+    now = written(created=created + [("moved", "to", None, "9 09:00")],
+                  transactions=[("moved", 1, "9"), ("a1", 1, "9"), ("a1", 1, "10")])
+    loads.load_bases(spark, spark_tables(spark, old), database, buckets=3)
+    kept_rate.load_rate(spark, database, None, buckets=50)
+    steps = f"{database}.{kept_rate.STEPS}"
+    assert stored.cut_of(spark, steps) == (50, c.USER)
+    touched = loads.load_bases(spark, spark_tables(spark, now), database)
+    assert {"from", "to"} <= {r[1] for r in touched.collect()}
+    before = files(spark, steps)
+    only = touched.filter((F.col(c.ACCOUNT) == "moved"))
+    got = kept_rate.load_rate(spark, database, only)
+    users = {r[0] for r in spark.table(steps).select(c.USER).distinct().collect()}
+    assert "to" in users and "from" not in users
+    changed = {p.parent.name for p in before.keys() ^ files(spark, steps).keys()}
+    assert len(changed) <= 2
+    assert {r.total_open_users for r in got.collect()} == {13}
+
+
+def test_contents_that_differ_are_found(spark, table):
+    """Totals alone, copies, NULL keys and values that move between columns."""
+    created = [(f"a{i}", f"u{i}", "uk_retail", "1") for i in range(30)] + [
+        (None, "v", None, "1"), (None, "w", "x", "1")]
+    old = spark_tables(spark, written(created=created, closed=[("a1", "2"), ("a2", "2")],
+                                      transactions=[("a3", 1, "2"), ("a4", 1, "2")]))
+    now = spark_tables(spark, written(
+        created=created[:-2] + [(None, None, "v", "1"), (None, "w", "x", "1"),
+                                ("new", "u", None, "1")],
+        closed=[("a1", "2"), ("a2", "3")], transactions=[("a3", 5, "2"), ("a4", 1, "2")]))
+    mart, changes = loads.load_by_content(spark, marts.unified_accounts(old), table, buckets=40)
+    assert changes is None and spark_rows(mart) == spark_rows(marts.unified_accounts(old))
+    before = files(spark, table)
+    mart, changes = loads.load_by_content(spark, marts.unified_accounts(now), table)
+    assert {(r.account_id_hashed, r.closed_ts and r.closed_ts.day, r.change)
+            for r in changes.collect()} == {
+        ("a3", None, "changed"), ("new", None, "new"), (None, None, "changed"),
+        ("a2", 2, "vanished"), ("a2", 3, "new")}
+    assert spark_rows(mart) == spark_rows(marts.unified_accounts(now))
+    changed = {p.parent.name for p in before.keys() ^ files(spark, table).keys()}
+    assert "bucket=-1" in changed and len(changed) <= 4
+    _, changes = loads.load_by_content(spark, marts.unified_accounts(now), table)
+    assert changes.count() == 0
+
+
+def test_repeated_rows_count(spark):
+    df = spark.createDataFrame([(1, None, "x"), (1, None, "x"), (2, "x", None), (3, "y", "y")],
+                               "k int, a string, b string")
+    now, key = inc.with_row_hash(df), ["k"]
+    once = now.dropDuplicates()
+    assert [tuple(r) for r in inc.content_changes(now, once, key).collect()] == [(1, "new")]
+    moved = inc.with_row_hash(df.select("k", F.col("b").alias("a"), F.col("a").alias("b")))
+    assert sorted(tuple(r) for r in inc.content_changes(now, moved, key).collect()) == [
+        (1, "changed"), (2, "changed")]
+    assert {len(r.row_hash) for r in now.collect()} == {32}
+
+
 def test_newest_open_account_is_inserted_again_unless_null_safe(spark, table):
     t = spark_tables(spark, written(created=[("a", "u", "uk_retail", "1 08:00")],
                                     closed=[("x", "1 09:00")], reopened=[("x", "1 09:00")]))

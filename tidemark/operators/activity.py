@@ -213,6 +213,14 @@ def active_user_rate(intervals: DataFrame, transactions: DataFrame, window_days:
     and not the days accounts stay open. Only the last running sum is not partitioned; its
     input is one row per calendar day.
     """
+    return _rate_from_steps(
+        with_levels(user_steps(intervals, transactions, window_days, min_transactions)),
+        transactions)
+
+
+def user_steps(intervals: DataFrame, transactions: DataFrame, window_days: int = 7,
+               min_transactions: int | None = None) -> DataFrame:
+    """Per user and day of change: how many intervals open, and overlaps with activity begin."""
     one, nothing = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
 
     def in_reach(active: Column) -> Column:
@@ -228,7 +236,7 @@ def active_user_rate(intervals: DataFrame, transactions: DataFrame, window_days:
     near = F.filter(F.coalesce("active_days", F.array()), in_reach)
     days = _active_days(transactions, min_transactions)
     owned = intervals.filter(F.col(USER).isNotNull())
-    users = (
+    return (
         with_id(owned).join(days, ACCOUNT, "left")
         # Without account id there is no activity, and no need to meet in one task.
         .unionByName(without_id(owned).withColumn(
@@ -240,11 +248,14 @@ def active_user_rate(intervals: DataFrame, transactions: DataFrame, window_days:
         .filter(F.col("day").isNotNull())
         .groupBy(USER, "day")
         .agg(F.sum("d_open").alias("d_open"), F.sum("d_active").alias("d_active"))
-        .select("day", "d_open", "d_active",
-                value_on_step("d_open", [USER]).alias("open"),
-                value_on_step("d_active", [USER]).alias("active"))
     )
-    return _rate_from_steps(users, transactions)
+
+
+def with_levels(steps: DataFrame) -> DataFrame:
+    """The steps of users with what they add up to: `open` intervals and `active` ones."""
+    return steps.select("day", "d_open", "d_active",
+                        value_on_step("d_open", [USER]).alias("open"),
+                        value_on_step("d_active", [USER]).alias("active"))
 
 
 def active_user_rate_of_spans(spans: DataFrame, transactions: DataFrame, window_days: int = 7,
@@ -262,24 +273,29 @@ def active_user_rate_of_spans(spans: DataFrame, transactions: DataFrame, window_
         transactions)
 
 
-def _rate_from_steps(users: DataFrame, transactions: DataFrame) -> DataFrame:
-    """The rate from steps of the users: `open` and `active` (above 0 or not) and their changes."""
-    nothing = F.lit(0).cast("bigint")
-
+def daily_changes(users: DataFrame) -> DataFrame:
+    """Per day how many users become open or active, less those who cease, from `with_levels`."""
     def crossing(value: str) -> Column:
         """+1 where the value rises above 0, -1 where it falls back to 0."""
         before = F.col(value) - F.col(f"d_{value}")
         return (F.col(value) > 0).cast("bigint") - (before > 0).cast("bigint")
 
-    changes = users.select("day", crossing("open").alias("d_open"),
-                           crossing("active").alias("d_active"), F.lit(False).alias("wanted"))
-    dates = (
-        transactions.select(day_of(c.TX_DATE).alias("day"), nothing.alias("d_open"),
-                            nothing.alias("d_active"), F.lit(True).alias("wanted"))
-        .filter(F.col("day").isNotNull())
-    )
+    return users.select("day", crossing("open").alias("d_open"),
+                        crossing("active").alias("d_active"))
+
+
+def _rate_from_steps(users: DataFrame, transactions: DataFrame) -> DataFrame:
+    """The rate from steps of the users: `open` and `active` (above 0 or not) and their changes."""
+    return rate_of_days(daily_changes(users), transactions.select(day_of(c.TX_DATE).alias("day")))
+
+
+def rate_of_days(changes: DataFrame, dates: DataFrame) -> DataFrame:
+    """The rate on the `dates` (day, repeated or not) from the changes of users per day."""
+    nothing = F.lit(0).cast("bigint")
+    wanted = dates.select("day", nothing.alias("d_open"), nothing.alias("d_active"),
+                          F.lit(True).alias("wanted")).filter(F.col("day").isNotNull())
     per_day = (
-        changes.unionByName(dates).groupBy("day")
+        changes.withColumn("wanted", F.lit(False)).unionByName(wanted).groupBy("day")
         .agg(F.sum("d_open").alias("d_open"), F.sum("d_active").alias("d_active"),
              F.max("wanted").alias("wanted"))
     )

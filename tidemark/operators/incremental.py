@@ -11,6 +11,8 @@ from tidemark import columns as c
 from tidemark.columns import ACCOUNT
 from tidemark.functions.time import moment
 
+ROW_HASH = "row_hash"
+
 
 def look_back_start(target: DataFrame, ts: str, days: int = 3):
     """The moment `days` before the target's latest timestamp; None if there is none."""
@@ -65,6 +67,31 @@ def changed_rows(unified: DataFrame, target: DataFrame) -> DataFrame:
     return unified.filter(functools.reduce(operator.or_, reached, F.lit(False)))
 
 
+def with_row_hash(df: DataFrame, name: str = ROW_HASH) -> DataFrame:
+    """Adds 128 bits of hash over all columns, in which NULLs count with their place."""
+    parts = [part for n in df.columns for part in (F.col(n).isNull(), F.col(n))]
+    halves = [F.lower(F.hex(F.xxhash64(F.lit(seed), *parts))) for seed in (1, 2)]
+    return df.withColumn(name, F.concat(*[F.lpad(h, 16, "0") for h in halves]))
+
+
+def content_changes(now: DataFrame, stored: DataFrame, key: list[str]) -> DataFrame:
+    """(key, change): keys whose rows differ by their hash: `new`, `changed` or `vanished`.
+
+    Both sides are read by key and hash only and counted against each other, NULL keys and
+    repeated rows included, in one shuffle by the key.
+    """
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        return df.select(*key, ROW_HASH, F.lit(sign).alias("sign"))
+
+    differing = (
+        side(now, 1).unionByName(side(stored, -1)).repartition(*key)
+        .groupBy(*key, ROW_HASH).agg(F.sum("sign").alias("more")).filter(F.col("more") != 0)
+    )
+    change = (
+        F.when(F.min("more") > 0, "new").when(F.max("more") < 0, "vanished").otherwise("changed"))
+    return differing.groupBy(*key).agg(change.alias("change"))
+
+
 def touched_accounts(*batches: DataFrame) -> DataFrame:
     """The distinct accounts in any of the batches; rows without account id count as one."""
     keys = [b.select(ACCOUNT) for b in batches]

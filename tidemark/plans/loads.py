@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark import columns as c
-from tidemark.columns import ACCOUNT
+from tidemark.columns import ACCOUNT, USER
 from tidemark.functions.time import day_of, moment
 from tidemark.operators import incremental as inc
 from tidemark.operators.lifecycle import unified_accounts
@@ -90,7 +91,7 @@ def load_bases(spark: SparkSession, sources: AccountTables, database: str,
     """Loads all four base tables; the accounts with a changed row, or None after a first run.
 
     Besides the accounts of the batches these are those of the rows a batch may have deleted,
-    all that were in its look-back window before.
+    all that were in its look-back window before. The users of created rows are given too.
     """
     touched = []
     for (name, (contract, key)), source in zip(BASE_TABLES.items(), (
@@ -102,16 +103,27 @@ def load_bases(spark: SparkSession, sources: AccountTables, database: str,
             start = inc.look_back_start(rows.filter(F.col(EVENT_DATE) == F.lit(latest)), key)
             before = materialise(
                 rows.filter((F.col(EVENT_DATE) >= F.lit(start.date()))
-                            & (F.col(key) >= moment(start))).select(ACCOUNT).distinct(),
+                            & (F.col(key) >= moment(start))).transform(_owners),
                 "accounts_before")
         batch = load_base(spark, source, table, contract, key, buckets=buckets)
-        touched += [df for df in (before, batch) if df is not None]
-    return materialise(inc.touched_accounts(*touched), "touched_accounts") if touched else None
+        if batch is not None:
+            touched += [_owners(batch), *([] if before is None else [before])]
+    if not touched:
+        return None
+    return materialise(functools.reduce(DataFrame.unionByName, touched).distinct(),
+                       "touched_accounts")
+
+
+def _owners(rows: DataFrame) -> DataFrame:
+    """The accounts of rows, and their users if the rows have them."""
+    user = F.col(USER) if USER in rows.columns else F.lit(None).cast("string").alias(USER)
+    return rows.select(ACCOUNT, user).distinct()
 
 
-def _with_buckets(rows: DataFrame, name: str, buckets: int) -> tuple[DataFrame, list[int]]:
+def with_buckets(rows: DataFrame, name: str, buckets: int,
+                 by: str = ACCOUNT) -> tuple[DataFrame, list[int]]:
     """The rows written down, and the buckets of their accounts: at most all."""
-    written, seen = materialise_observed(rows, name, held=F.collect_set(bucket_of(buckets)))
+    written, seen = materialise_observed(rows, name, held=F.collect_set(bucket_of(buckets, by)))
     return written, sorted(seen["held"])
 
 
@@ -120,10 +132,6 @@ def read_mart(spark: SparkSession, table: str,
     return read_base(spark, table, contracts.UNIFIED_ACCOUNTS, buckets)
 
 
-def _places(buckets: Collection[int]) -> list[dict[str, str]]:
-    return [{BUCKET: str(b)} for b in buckets]
-
-
 def _create_mart(rows: DataFrame, table: str, buckets: int) -> DataFrame:
     stored.create(contracts.conform(rows, contracts.UNIFIED_ACCOUNTS), table, buckets=buckets)
     return read_mart(rows.sparkSession, table)
@@ -141,13 +149,38 @@ def load_mart(spark: SparkSession, unified: DataFrame, table: str,
     if not stored.exists(spark, table):
         return _create_mart(unified, table, buckets)
     unified = contracts.conform(unified, contracts.UNIFIED_ACCOUNTS)
-    batch, held = _with_buckets(inc.changed_rows(unified, read_mart(spark, table)),
+    batch, held = with_buckets(inc.changed_rows(unified, read_mart(spark, table)),
                                 "changed_rows", buckets_of(spark, table))
     merged = inc.delete_insert(read_mart(spark, table, held), batch, MART_KEY, null_safe)
-    stored.overwrite(merged, table, _places(held))
+    stored.overwrite(merged, table, stored.places(held))
     return read_mart(spark, table)
 
 
+def load_by_content(spark: SparkSession, unified: DataFrame, table: str,
+                    buckets: int = MART_BUCKETS) -> tuple[DataFrame, DataFrame | None]:
+    """Bring the mart to the unified table by comparing contents; the mart and what changed.
+
+    The mart keeps a wide hash of every row, and only keys and hashes of it are read to find new,
+    changed and vanished rows (`inc.content_changes`), whatever column differs, totals included.
+    Only the buckets that hold a difference are written. After a first run there are no changes.
+    """
+    hashed = inc.with_row_hash(contracts.conform(unified, contracts.UNIFIED_ACCOUNTS))
+    if not stored.exists(spark, table):
+        stored.create(hashed, table, buckets=buckets)
+        return _shown(spark, table), None
+    now = materialise(hashed, "unified_now")
+    changes, held = with_buckets(
+        inc.content_changes(now, spark.table(table), MART_KEY), "content_changes",
+        buckets_of(spark, table))
+    bucket = bucket_of(buckets_of(spark, table))
+    stored.overwrite(now.filter(bucket.isin(held)), table, stored.places(held))
+    return _shown(spark, table), changes
+
+
+def _shown(spark: SparkSession, table: str) -> DataFrame:
+    return contracts.conform(spark.table(table), contracts.UNIFIED_ACCOUNTS)
+
+
 def rebuild_touched(spark: SparkSession, tables: AccountTables, touched: DataFrame,
                     table: str, buckets: int = MART_BUCKETS) -> DataFrame:
     """Recompute every row of the touched accounts and put them in place of the old ones.
@@ -159,10 +192,10 @@ def rebuild_touched(spark: SparkSession, tables: AccountTables, touched: DataFra
     """
     if not stored.exists(spark, table):
         return _create_mart(_unified(tables), table, buckets)
-    touched, held = _with_buckets(touched, "touched_accounts", buckets_of(spark, table))
+    touched, held = with_buckets(touched, "touched_accounts", buckets_of(spark, table))
     fresh = _unified(tables.map(lambda t: inc.of_accounts(t, touched)))
     kept = inc.of_accounts(read_mart(spark, table, held), touched, inside=False)
-    stored.overwrite(kept.unionByName(fresh), table, _places(held))
+    stored.overwrite(kept.unionByName(fresh), table, stored.places(held))
     return read_mart(spark, table)
 
 
@@ -182,9 +215,9 @@ def rebuild_from_bases(spark: SparkSession, database: str, touched: DataFrame |
         return _create_mart(_unified(read_bases(spark, database)), table, *counts)
     if buckets_of(spark, table) not in counts:
         raise ValueError(f"the mart is cut into other buckets than the base tables' {counts}")
-    _, held = _with_buckets(touched, "touched_accounts", *counts)
+    _, held = with_buckets(touched, "touched_accounts", *counts)
     if held:
-        stored.overwrite(_unified(read_bases(spark, database, held)), table, _places(held))
+        stored.overwrite(_unified(read_bases(spark, database, held)), table, stored.places(held))
     return read_mart(spark, table)
 
 

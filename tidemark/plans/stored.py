@@ -4,9 +4,10 @@ A table is created with its rows in one statement, so an interrupted first run l
 Later runs overwrite the partitions they hold rows of (dynamic partition overwrite), from rows
 that are written down first; all other partitions keep their files.
 
-Tables that are kept by account have `BUCKET` as their last partition column. The number of
-buckets is a property of the table, given when it is created; tables that share it are cut alike,
-so what concerns some accounts is read from the same buckets of all of them.
+Tables that are cut by account, or by another column, have `BUCKET` as their last partition
+column. The column and the number of buckets are properties of the table, given when it is
+created. Tables that share them are cut alike, so what concerns some accounts is read from the
+same buckets of all of them.
 """
 
 from __future__ import annotations
@@ -21,16 +22,16 @@ from tidemark.columns import ACCOUNT
 from tidemark.session import materialise_observed
 
 EVENT_DATE = "event_date"
-BUCKET = "account_bucket"
-BUCKETS_PROPERTY = "account_buckets"
+BUCKET = "bucket"
+BUCKETS_PROPERTY, BY_PROPERTY = "bucket_count", "bucket_by"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def bucket_of(buckets: int) -> Column:
-    """The bucket of a row's account; rows without account id have their own."""
-    return F.when(F.col(ACCOUNT).isNull(), F.lit(-1)).otherwise(
-        F.pmod(F.xxhash64(ACCOUNT), F.lit(buckets)).cast("int"))
+def bucket_of(buckets: int, by: str = ACCOUNT) -> Column:
+    """The bucket of a row's account, or of another column; NULL has one of its own."""
+    return F.when(F.col(by).isNull(), F.lit(-1)).otherwise(
+        F.pmod(F.xxhash64(by), F.lit(buckets)).cast("int"))
 
 
 def exists(spark: SparkSession, table: str) -> bool:
@@ -38,15 +39,16 @@ def exists(spark: SparkSession, table: str) -> bool:
 
 
 def create(df: DataFrame, table: str, partitions: Collection[str] = (),
-           buckets: int | None = None) -> None:
+           buckets: int | None = None, by: str = ACCOUNT) -> None:
     """Creates the table with the rows of `df`, whose comments it keeps."""
     keys = [*partitions, *([BUCKET] if buckets else [])]
     if buckets:
-        df = df.withColumn(BUCKET, bucket_of(buckets))
+        df = df.withColumn(BUCKET, bucket_of(buckets, by))
     # The hint lets adaptive execution put small partitions together and split large ones.
     writer = (df.hint("rebalance", *keys) if keys else df).writeTo(table).using("parquet")
     if buckets:
-        writer = writer.tableProperty(BUCKETS_PROPERTY, str(buckets))
+        writer = writer.tableProperty(BUCKETS_PROPERTY, str(buckets)).tableProperty(
+            BY_PROPERTY, by)
     if keys:
         writer = writer.partitionedBy(*map(F.col, keys))
     writer.create()
@@ -57,10 +59,17 @@ def replace(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").format("parquet").saveAsTable(table)
 
 
-def buckets_of(spark: SparkSession, table: str) -> int | None:
-    """Into how many buckets the table is cut; None if it is not kept by account."""
+def cut_of(spark: SparkSession, table: str) -> tuple[int, str] | None:
+    """Into how many buckets the table is cut, and by which column; None if it is not."""
     properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-    return int(properties[BUCKETS_PROPERTY]) if BUCKETS_PROPERTY in properties else None
+    if BUCKETS_PROPERTY not in properties:
+        return None
+    return int(properties[BUCKETS_PROPERTY]), properties[BY_PROPERTY]
+
+
+def buckets_of(spark: SparkSession, table: str) -> int | None:
+    cut = cut_of(spark, table)
+    return cut[0] if cut else None
 
 
 def partitions(spark: SparkSession, table: str) -> list[dict[str, str]]:
@@ -96,7 +105,7 @@ def overwrite(df: DataFrame, table: str, replaced: list[dict[str, str]]) -> None
     spark, keys = df.sparkSession, list(replaced[0])
     columns = spark.table(table).columns
     if BUCKET in keys:
-        df = df.withColumn(BUCKET, bucket_of(buckets_of(spark, table)))
+        df = df.withColumn(BUCKET, bucket_of(*cut_of(spark, table)))
     places = F.collect_set(F.struct(*(
         F.coalesce(F.col(k).cast("string"), F.lit(NULL_PARTITION)) for k in keys)))
     rows, seen = materialise_observed(df.select(*columns), "overwriting", places=places)
@@ -111,3 +120,8 @@ def overwrite(df: DataFrame, table: str, replaced: list[dict[str, str]]) -> None
 
 def _literal(value: str) -> str:
     return "NULL" if value == NULL_PARTITION else f"'{value}'"
+
+
+def places(buckets: Collection[int]) -> list[dict[str, str]]:
+    """The partitions of a table that is cut into buckets only."""
+    return [{BUCKET: str(b)} for b in buckets]
