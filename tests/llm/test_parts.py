@@ -231,12 +231,64 @@ def test_licence_tags_of_unknown_identifiers(names, labels, expression, reusable
     assert found[6] == (1.0 if labels else 0.0)
 
 
+def keys_in(text):
+    """The parts of a text that are taken for random keys."""
+    spans = secrets.all_spans(text, secrets.base_spans(text), secrets.VOCABULARY, 2.0)
+    return [text[a:b] for a, kind, b in spans if kind == 3]
+
+
 def test_random_strings():
-    assert secrets.is_random("aZ3fQ9xL2mN8vB4kT7pR1wY6cD5gH0jS", secrets.VOCABULARY, 2.0)
+    assert keys_in("aZ3fQ9xL2mN8vB4kT7pR1wY6cD5gH0jS") == ["aZ3fQ9xL2mN8vB4kT7pR1wY6cD5gH0jS"]
     for known in ("d41d8cd98f00b204e9800998ecf8427e", "550e8400-e29b-41d4-a716-446655440000",
                   "internationalization", "2024-01-31-2024-02-28", "some/path/to/files",
                   "averylongwordofthetext123"):
-        assert not secrets.is_random(known, secrets.VOCABULARY, 2.0)
+        assert not keys_in(known)
+
+
+@pytest.mark.parametrize("before, after", [
+    ("", ""), ("static/assets/application/vendor/images/", ""), ("id=", "&"), ("SECRET_KEY=", "="),
+    ("https://example.com/api/v1/resources/users/download/archive/", "/index"),
+    ("token=abcdef ", ""), ("password: hunter22,", ""), ("the-key-is_", "-and-more"),
+    ("550e8400-e29b-41d4-a716-446655440000/", ""), ("0123456789abcdef01234567_", "")])
+def test_keys_are_found_wherever_they_stand(before, after):
+    rng = random.Random(9)
+    for n in (20, 24, 32, 40):
+        found = 0
+        for _ in range(200):
+            key = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n))
+            (start, end), text = (len(before), len(before) + n), before + key + after
+            covered = sum(min(b, end) - max(a, start) for a, kind, b in secrets.all_spans(
+                text, secrets.base_spans(text), secrets.VOCABULARY, 2.0)
+                if a < end and b > start)
+            found += covered >= 0.9 * n
+        assert found >= 180, (n, found)
+
+
+def test_a_base_span_that_holds_the_key_is_enough():
+    text = "token=abcdef/aZ3fQ9xL2mN8vB4kT7pR1wY6cD5gH0jS"
+    assert secrets.redact(text, secrets.VOCABULARY, 2.0, "#") == "#"
+
+
+def test_known_forms_inside_a_run_and_slugs_are_left_alone():
+    for text in ("/users/550e8400-e29b-41d4-a716-446655440000/profile",
+                 "id=550E8400-E29B-41D4-A716-446655440000", "gcc-4-9-2-el7-x86_64-linux-gnu",
+                 "SHA1=DA39A3EE5E6B4B0D3255BFEF95601890AFD80709", "a/b/c/d/e/f/g/h/i/j/k/l/m/n/o",
+                 "md5/D41D8CD98F00B204E9800998ECF8427E/of-nothing", "2024-01-15-12-30-45-000001",
+                 "the-quick-brown-fox-jumps-over-the-lazy-dog", "PYSPARK_SUBMIT_ARGS_FOR_TESTS",
+                 "DELTA_BINARY_PACKED_DTYPES", "v1/2/3/4/5/6/7/8/9/10/11/12"):
+        assert not keys_in(text), text
+
+
+def test_two_keys_and_a_word_between():
+    one, two = "aZ3fQ9xL2mN8vB4kT7pR1w", "Xk2Qv7Zt9Lw4Hj6Rb8Np3D"
+    assert keys_in(f"{one}/documentation/{two}") == [one, two]
+    assert keys_in("0123456789abcdef01234567" + "/" + one) == [one]
+
+
+def test_very_long_runs_are_searched_whole():
+    key = "aZ3fQ9xL2mN8vB4kT7pR1wY6cD5gH0jS"
+    text = "word/" * 20000 + key + "/word" * 20000 + "1" * 30000
+    assert keys_in(text) == [key]
 
 
 def test_random_letters_are_secrets_and_words_are_not():
@@ -246,15 +298,15 @@ def test_random_letters_are_secrets_and_words_are_not():
                  string.ascii_uppercase: 0.95, string.ascii_lowercase: 0.85}
     for alphabet, share in alphabets.items():
         for n in (20, 24, 32, 40):
-            found = sum(secrets.is_random("".join(rng.choice(alphabet) for _ in range(n)),
-                                          secrets.VOCABULARY, 2.0) for _ in range(400))
+            found = sum(bool(keys_in("".join(rng.choice(alphabet) for _ in range(n))))
+                        for _ in range(400))
             assert found >= share * 400 - 2, (alphabet, n, found)
     for known in ("getElementsByTagNameNS", "AbstractSingletonProxyFactoryBean",
                   "MAX_BUFFER_SIZE_IN_BYTES", "GET_DB_ID_BY_USER_ID", "EN/DE/FR/ES/IT/NL/PT",
                   "src/main/java/com/example/App", "Rechtsschutzversicherungsgesellschaften",
                   "anticonstitutionnellement", "user_profile_settings_v2", "z" * 30,
                   "sha256-47DEQpj8HBSa+/TImW+5JCeuQeRkm5NMpJWZG3hSuFU=", "2024/01/31/2024/02/28"):
-        assert not secrets.is_random(known, secrets.VOCABULARY, 2.0), known
+        assert not keys_in(known), known
     key = "qLzWvTbXkRjPmHdGnCfYsE"
     assert secrets.redact(f"a {key} b", secrets.VOCABULARY, 2.0, "#") == "a # b"
 

@@ -1,10 +1,12 @@
 """Secrets in texts: fixed patterns, and random strings that a tokenizer cannot shorten.
 
 A vocabulary of frequent pieces covers words and paths with few tokens, while a random key needs
-about one token for one or two characters. So a long run of key characters with few characters
-per token is taken for a secret, unless it has the form of a known digest, UUID, integrity value
-or number. Of what has the form of words, a path or a constant, the parts between the separators
-decide, so that many short words are not taken for a key.
+about one token for one or two characters. A run of key characters, less the base spans and the
+known forms in it (digests, UUIDs, integrity values), falls into parts at its separators. A part
+speaks for a key by its characters per token; short parts say nothing, and numbers speak against
+it. Neighbouring parts that together have few characters per token are a key if they stretch over
+`MIN_KEY` characters, so a key is found after a path, behind an equals sign and next to a base
+span, and one that holds separators itself is found whole, while words in between end it.
 
 Offsets count code points. Null and empty texts have no spans. Texts are searched whole,
 whatever their length. Every row of the input gives a row, repeated rows too, and columns other
@@ -24,28 +26,36 @@ import tiktoken
 from pyspark.sql import DataFrame, functions as F
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-#: Fewer characters per token than this, and a run is taken for random.
+#: Fewer characters per token than this, and parts are taken for random.
 CHARACTERS_PER_TOKEN = 2.0
-MIN_RUN = 20
+#: A key has so many characters at least; a shorter part of it says nothing.
+MIN_KEY, MIN_PART = 18, 4
+#: A random string has a separator for so many characters at most; base64 has one for 32.
+SEPARATOR_EVERY = 8
+#: A part that lowers the sum by more than this is a word, at which a key ends.
+WORD_DROP = 3.0
 KINDS = ("assign", "access", "hex", "random")
 
 _ASSIGN = re.compile(
     r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN)
+_RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_KEY)
+_PART = re.compile(r"[A-Za-z0-9]+")
 _PIECES = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-# Known forms that are no secrets: lengths in hex digits of common digests (MD5, SHA-1, SHA-2),
-# identifiers and repeated characters.
+# Known forms that are no secrets, wherever they stand alone: the hex digits of common digests
+# (MD5, SHA-1, SHA-2), UUIDs, integrity values and repeated characters.
+_KNOWN = re.compile(
+    r"(?<![A-Za-z0-9])(?:"
+    r"(?ai:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12})"
+    r"|(?ai:sha(1|256|384|512)-[A-Za-z0-9+/]+)"
+    r"|(?:[0-9a-f]+|[0-9A-F]+)(?<=[0-9A-Fa-f]{32})"
+    r"|([A-Za-z0-9])\3{7,}"
+    r")(?![A-Za-z0-9])")
+#: Words in capitals cost many tokens, so those of a constant are judged in small letters.
+_CONSTANT = re.compile("[A-Z]+([_-][A-Z0-9]+)+")
 DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
-_IDENTIFIER = re.compile(
-    r"(?ai:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}"  # UUID
-    r"|[0-9]+(-[0-9]+)*"  # numbers, dates, ISBN
-    r"|sha(1|256|384|512)-[A-Za-z0-9+/=]+)"  # integrity values
-    r"|(.)\3+")
-#: Words, paths and constants, if their parts are words.
-_WORDS = re.compile(r"[A-Za-z]+([=+/_-]+[A-Za-z]+)*[0-9]{0,4}")
 
 
 @functools.cache
@@ -56,26 +66,59 @@ def encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens={})
 
 
-def is_known(run: str) -> bool:
-    """Whether a run is a digest or identifier by its form."""
-    if len(run) in DIGEST_LENGTHS and re.fullmatch("[0-9a-f]+|[0-9A-F]+", run):
-        return True
-    return _IDENTIFIER.fullmatch(run) is not None
+def _known_forms(run: str) -> list[tuple[int, int]]:
+    """Where digests, UUIDs and the like stand in a run."""
+    return [m.span() for m in _KNOWN.finditer(run)
+            if not re.fullmatch("[0-9A-Fa-f]+", m[0]) or len(m[0]) in DIGEST_LENGTHS or m[3]]
 
 
-def is_random(run: str, path: str, limit: float) -> bool:
-    """Letters, also with digits, that need a token for fewer than `limit` characters."""
-    whole, run = run, run.strip("=/_-+")
-    # A key's own first and last characters may be among those left out.
-    if len(whole) < MIN_RUN or len(run) < MIN_RUN - 2 or is_known(run):
-        return False
-    if not re.search("[A-Za-z]", run):
-        return False
-    parts = re.split("[=+/_-]+", run) if _WORDS.fullmatch(run) else [run]
-    # A very long run is encoded piece by piece, since the encoder slows down on one long word.
-    tokens = sum(len(encoding(path).encode_ordinary(part[i:i + 400]))
-                 for part in parts for i in range(0, len(part), 400))
-    return sum(map(len, parts)) < limit * tokens
+def _rest(start: int, end: int, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What of a stretch lies in none of the taken ones, which are in order."""
+    for a, b in taken:
+        if a > start:
+            yield start, min(a, end)
+        start = max(start, b)
+    if start < end:
+        yield start, end
+
+
+def _weight(part: str, path: str, limit: float) -> float:
+    """How far a part has more tokens than words have, in characters; numbers have none."""
+    tokens = 0 if part.isdigit() else len(encoding(path).encode_ordinary(part))
+    return limit * tokens - len(part)
+
+
+def random_parts(stretch: str, path: str, limit: float) -> list[tuple[int, int]]:
+    """Where neighbouring parts of a stretch need a token for fewer than `limit` characters.
+
+    If there are none, all parts count together, unless they are many short ones.
+    """
+    constant = _CONSTANT.fullmatch(stretch.strip("=/+_-"))
+    parts = [(m.start(), m.end(), _weight(m[0].lower() if constant else m[0], path, limit))
+             for m in _PART.finditer(stretch)]
+    keys = []
+    first, total, best, key = None, 0.0, 0.0, None
+    for start, end, weight in parts:
+        weight = 0.0 if end - start < MIN_PART else weight
+        if first is None or total + weight <= 0 or weight < -WORD_DROP:
+            keys += [key] if key else []
+            first, total, best, key = start, 0.0, 0.0, None
+            if weight <= 0:
+                first = None
+                continue
+        total += weight
+        if total >= best:
+            best = total
+            if end - first >= MIN_KEY:
+                key = first, end
+    keys += [key] if key else []
+    if not keys and parts:
+        whole = parts[0][0], parts[-1][1]
+        size = whole[1] - whole[0]
+        if (size >= MIN_KEY and (len(parts) - 1) * SEPARATOR_EVERY <= size
+                and sum(w for _, _, w in parts) > 0):
+            keys = [whole]
+    return keys
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -89,14 +132,18 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def all_spans(text: str, base: list[tuple[int, int, int]], path: str,
               limit: float) -> list[tuple[int, int, int]]:
-    """The base spans and the random runs that touch none of them."""
-    found, reach, i = [], 0, 0
+    """The base spans and the random keys in what they leave of the runs."""
+    found, i, reaching = [], 0, []
     for m in _RUN.finditer(text):
-        while i < len(base) and base[i][0] < m.end():
-            reach = max(reach, base[i][2])
+        start, end = m.span()
+        while i < len(base) and base[i][0] < end:
+            reaching.append((base[i][0], base[i][2]))
             i += 1
-        if reach <= m.start() and is_random(m[0], path, limit):
-            found.append((m.start(), 3, m.end()))
+        reaching = [span for span in reaching if span[1] > start]
+        known = [(start + a, start + b) for a, b in _known_forms(m[0])]
+        for a, b in _rest(start, end, sorted(reaching + known)):
+            if b - a >= MIN_KEY:
+                found += [(a + x, 3, a + y) for x, y in random_parts(text[a:b], path, limit)]
     return sorted(base + found)
 
 
