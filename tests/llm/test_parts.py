@@ -322,6 +322,54 @@ def test_redaction(spark, hard):
     assert secrets.redact("token=deadbeefdeadbeefdeadbeef!", secrets.VOCABULARY, 2.0, "#") == "#!"
 
 
+def hosts_rejected(spark, hosts):
+    """The rejected hosts; `hosts` has per name how many documents it has and how many fail."""
+    rows = [(i, "short" if k < failing else GOOD, name) for name, (docs, failing) in hosts.items()
+            for i, k in enumerate(range(docs))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    limits = {"short": 0.5}
+    return {r["host"] for r in quality_rules.judged(docs, limits=limits)
+            .filter("host_failed").select("host").distinct().collect()}
+
+
+#: Sixty different words.
+GOOD = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+
+
+def test_one_document_never_rejects_its_host(spark):
+    # Nothing but hosts with one document, many of which fail.
+    alone = {f"good{i}": (1, 0) for i in range(60)} | {f"bad{i}": (1, 1) for i in range(40)}
+    assert hosts_rejected(spark, alone) == set()
+    # Among hosts that differ a lot, and with a common rate just below the limit.
+    mixed = alone | {f"all{i}": (20, 20) for i in range(3)} | {f"none{i}": (20, 0) for i in range(3)}
+    assert hosts_rejected(spark, mixed) == {f"all{i}" for i in range(3)}
+
+
+def test_hosts_alike_are_drawn_to_the_common_rate(spark):
+    # All fail about a third: four of six is chance. Where hosts differ, four of six tells.
+    alike = {f"h{i}": (30, 9 + i % 3) for i in range(20)} | {"four": (6, 4)}
+    assert hosts_rejected(spark, alike) == set()
+    apart = {f"h{i}": (30, 29 if i < 6 else 1) for i in range(20)} | {"four": (6, 4)}
+    assert hosts_rejected(spark, apart) == {"four"} | {f"h{i}" for i in range(6)}
+
+
+def test_the_prior_recovers_how_hosts_differ():
+    rng = random.Random(4)
+    for strength in (3.0, 30.0):
+        hosts = []
+        for _ in range(4000):
+            rate = rng.betavariate(0.2 * strength, 0.8 * strength)
+            n = rng.choice([1, 1, 1, 2, 5, 20])
+            hosts.append((n, sum(rng.random() < rate for _ in range(n))))
+        docs = sum(n for n, _ in hosts)
+        mean = sum(f for _, f in hosts) / docs
+        excess = sum(f * f / n for n, f in hosts) - docs * mean * mean
+        found = quality_rules.prior_strength(mean, excess, len(hosts), docs, 0.9)
+        assert strength / 1.5 < found < strength * 1.5
+    # The same numbers without hosts of several documents say nothing.
+    assert quality_rules.prior_strength(0.2, 0.16 * 100, 100, 100, 0.9) == 1e6
+
+
 def test_hosts_that_fail_are_rejected(spark):
     good = " ".join(f"word{i}" for i in range(80))
     bad = " ".join(f"w{i} ###" for i in range(80))

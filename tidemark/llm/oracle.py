@@ -36,11 +36,18 @@ WITH texts AS (
                                  (5, 0.5, f5)) AS r(rule, most, failed)
     GROUP BY ALL
 ), moments AS (
-    SELECT rule, sum(f) / sum(n) AS m, var_pop(f / n) AS v FROM failures GROUP BY rule
-), priors AS (
-    SELECT rule, m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 2), 1e6)
-                         ELSE 1e6 END AS s
+    SELECT rule, most, sum(f) / sum(n) AS m, count(*) AS hosts, sum(n) AS docs,
+           sum(f * f / n) - sum(n) * (sum(f) / sum(n)) ** 2 AS excess
+    FROM failures GROUP BY rule, most
+), variances AS (
+    -- The share of the variance that lies between hosts, beyond the chance within them.
+    SELECT *, CASE WHEN m * (1 - m) > 0 AND docs > hosts
+                   THEN (excess / (m * (1 - m)) - (hosts - 1)) / (docs - hosts) ELSE 0 END AS share
     FROM moments
+), priors AS (
+    SELECT rule, m, greatest(CASE WHEN share > 0 THEN least(1 / share - 1, 1e6) ELSE 1e6 END, 2,
+                             CASE WHEN m < most THEN (1 - most) / (most - m) ELSE 0 END) AS s
+    FROM variances
 ), verdicts AS (
     SELECT host, bool_or((f + m * s) / (n + s) > most) AS host_failed
     FROM failures JOIN priors USING (rule) GROUP BY host

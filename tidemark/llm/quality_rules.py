@@ -1,9 +1,11 @@
 """Host-level quality rules, with DataFrame functions only.
 
 Every document is tested by rules. Failures are counted per host and rule, and the failure
-rates of the hosts are shrunk: a Beta prior is fitted to the rates of all hosts by their mean
-and variance, so a host with few documents stays near the common rate. A host whose shrunk rate
-exceeds the limit of a rule is rejected, and its verdict is joined back to its documents.
+rates of the hosts are shrunk: a Beta prior is fitted to the counts of all hosts by the moments
+of the beta-binomial, which tell how much hosts differ beyond the chance of their few documents.
+So a host with few documents stays near the common rate, the nearer the more alike hosts are. A
+host whose shrunk rate exceeds the limit of a rule is rejected, and its verdict is joined back to
+its documents.
 
 A null text has no words (and fails by length); a null host is a host of its own. Repeated rows
 count as often as they occur. Columns other than id, text and host do not matter. An empty table
@@ -26,6 +28,8 @@ DUPLICATE_LINES = 0.3
 WORD_LENGTH = (2.0, 20.0)
 #: A host is rejected if more than this share of its documents fails a rule, after shrinking.
 HOST_LIMITS = {"short": 0.8, "repeated": 0.5, "symbols": 0.5, "lines": 0.5, "length": 0.5}
+#: The least and the greatest weight of the prior, in documents.
+STRENGTHS = (2.0, 1e6)
 SYMBOLS = "[#*$%&|<>]"
 
 
@@ -82,26 +86,43 @@ def rule_failures() -> dict[str, Column]:
     }
 
 
-def host_rates(measures: DataFrame) -> DataFrame:
-    """`host`, `n_docs` and per rule the failures and the shrunk rate of each host.
+def prior_strength(mean: float, excess: float, hosts: int, docs: int, limit: float) -> float:
+    """The weight of the prior in documents: with a common rate m, it is Beta(m*s, (1-m)*s).
 
-    For a rule with mean rate m over all documents and variance v of the hosts' rates, the
-    prior is Beta(m*s, (1-m)*s) with s = m(1-m)/v - 1, at most 1e6. It is at least 2: a single
-    document never decides about its host.
+    `excess` is the sum over hosts of n * (rate - m)**2. If hosts differed by chance only, it
+    would be m(1-m) * (hosts - 1); each further document of a host adds m(1-m) times the share r
+    of the variance that lies between hosts, and s = 1/r - 1. Hosts of one document say nothing
+    about r: if there are no others, or they differ less than by chance, s is the greatest.
+
+    It is at least what keeps a host with a single document at or below the limit, so one
+    document alone never rejects its host while the common rate is below the limit.
     """
-    rules = rule_failures()
+    least, most = STRENGTHS
+    chance = mean * (1 - mean)
+    between = (excess / chance - (hosts - 1)) / (docs - hosts) if chance and docs > hosts else 0.0
+    strength = 1 / between - 1 if between > 0 else most
+    if mean < limit:
+        least = max(least, (1 - limit) / (limit - mean))
+    return min(max(strength, least), max(most, least))
+
+
+def host_rates(measures: DataFrame, limits: dict[str, float] | None = None) -> DataFrame:
+    """`host`, `n_docs` and per rule the failures and the shrunk rate of each host."""
+    rules, limits = rule_failures(), limits or HOST_LIMITS
     hosts = materialise(measures.groupBy("host").agg(
         F.count(F.lit(1)).alias("n_docs"),
         *(F.count_if(test).alias(f"{rule}_failures") for rule, test in rules.items())), "hosts")
-    moments = hosts.agg(*(x for rule in rules for x in (
-        (F.sum(f"{rule}_failures") / F.sum("n_docs")).alias(f"{rule}_mean"),
-        F.var_pop(F.col(f"{rule}_failures") / F.col("n_docs")).alias(f"{rule}_var")))).first()
+    seen = hosts.agg(F.count(F.lit(1)).alias("hosts"), F.sum("n_docs").alias("docs"), *(
+        x for rule in rules for x in (
+            F.sum(f"{rule}_failures").alias(f"{rule}_sum"),
+            F.sum(F.col(f"{rule}_failures") * F.col(f"{rule}_failures") / F.col("n_docs"))
+            .alias(f"{rule}_squares")))).first()
 
     def shrunk(rule: str) -> Column:
-        mean = (moments and moments[f"{rule}_mean"]) or 0.0
-        variance = (moments and moments[f"{rule}_var"]) or 0.0
-        strength = mean * (1 - mean) / variance - 1 if variance > 0 else 1e6
-        strength = min(max(strength, 2.0), 1e6)
+        docs = seen["docs"] or 0
+        mean = seen[f"{rule}_sum"] / docs if docs else 0.0
+        excess = seen[f"{rule}_squares"] - docs * mean * mean if docs else 0.0
+        strength = prior_strength(mean, excess, seen["hosts"], docs, limits.get(rule, 1.0))
         return ((F.col(f"{rule}_failures") + mean * strength)
                 / (F.col("n_docs") + strength)).alias(f"{rule}_rate")
 
@@ -112,7 +133,7 @@ def judged(docs: DataFrame, host: str = "source",
            limits: dict[str, float] | None = None) -> DataFrame:
     """Per row: the measures, `base_failed`, `host_failed` and `kept`."""
     measures = materialise(document_measures(docs, host), "document_measures")
-    rates = host_rates(measures)
+    rates = host_rates(measures, limits)
     over = F.lit(False)
     for rule, limit in (limits or HOST_LIMITS).items():
         over = over | (F.col(f"{rule}_rate") > limit)
