@@ -26,6 +26,13 @@ TEXTS = [
 ]
 
 
+#: Names that operators use themselves, or that are hard to quote.
+EXTRA = ["host", "fp", "spans", "t", "size", "words", "copy", "rate", "_size", "kept", "row", "key",
+         "key_rest", "_row", "_kept", "_limit", "_source", "_copies", "_s", "_lang", "_threshold",
+         "_score", "_small_key", "limit", "score", "class", "item", "copies", "target", "s",
+         "a`tick", "a.dot", "a b", "copy_2"]
+
+
 def hard_rows():
     rows = [(i, t, "en", f"s{i % 3}" if i % 5 else None, len(t or "")) for i, t in enumerate(TEXTS)]
     rows += [rows[5], rows[5], (None, "a null id", None, None, None)]
@@ -37,8 +44,7 @@ def hard(spark):
     """The hard texts with repeated rows, null ids and sources, and clashing extra columns."""
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     docs = spark.createDataFrame(hard_rows(), schema)
-    extra = ["host", "fp", "spans", "t", "size", "words", "copy", "rate", "_size", "kept"]
-    return docs.select("*", *(F.lit("extra").alias(c) for c in extra))
+    return docs.select("*", *(F.lit(f"extra {c}").alias(c) for c in EXTRA))
 
 
 @pytest.fixture(scope="session")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 import reference as plain
+from conftest import EXTRA
 from tidemark.llm import mixing, secrets
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -120,9 +121,23 @@ def test_run_equals_the_stages_in_turn(spark, docs, folder):
     assert rows(pipeline.run(spark, folder), [*COLUMNS, "copy"]) == rows(step, [*COLUMNS, "copy"])
 
 
-def test_stages_on_hard_rows_and_empty_tables(spark, hard, none, folder):
+def test_stages_on_hard_rows_and_empty_tables(spark, hard, none, folder, tmp_path):
+    """Every extra column keeps its name and values, whatever the stage calls its own."""
     for name, stage in pipeline.STAGES:
-        out = stage(spark, hard, folder)
+        stage(spark, hard, folder).write.parquet(f"{tmp_path}/{name}")
+        out = spark.read.parquet(f"{tmp_path}/{name}")
         assert out.columns[:len(hard.columns)] == hard.columns, name
-        out.collect()
+        own = out.columns[len(hard.columns):]
+        assert own == (["copy_3"] if name == "mixing" else []), name
+        found = out.collect()
+        assert found and all(r[c] == f"extra {c}" for r in found for c in EXTRA), name
         assert stage(spark, none, folder).count() == 0, name
+
+
+def test_rows_that_differ_by_the_place_of_a_null_both_stay(spark, folder):
+    """Their copies do not, and neither is taken for the other."""
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    texts = ["one two three four five", "six seven eight nine ten"]
+    rows_of = [(1, texts[0], "en", None, 1), (1, texts[1], None, "en", 1)]
+    docs = spark.createDataFrame(rows_of * 3, schema)
+    assert rows(pipeline.near_duplicates(spark, docs, folder)) == sorted(rows_of, key=repr)

@@ -32,9 +32,42 @@ def join_small(facts: DataFrame, small: DataFrame, key: str, rows: int) -> DataF
     return joined.drop("_small_key")
 
 
-def row_key(docs: DataFrame, name: str = "_row") -> DataFrame:
-    """Adds a hash of the whole row: equal rows share it, others do not."""
-    return docs.withColumn(name, F.xxhash64(F.lit("row"), *(F.col(f"`{c}`") for c in docs.columns)))
+def quoted(name: str) -> Column:
+    """The column of this very name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def packed(docs: DataFrame, *needed: str) -> DataFrame:
+    """All columns as one struct `row`, which no name of theirs can clash with, and some beside it.
+
+    `unpacked` gives the rows back as they were.
+    """
+    return docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), *map(quoted, needed))
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    return rows.select("row.*")
+
+
+def row_keys(docs: DataFrame, *needed: str) -> DataFrame:
+    """`packed`, with 128 bits of hash of the whole row in `key` and `key_rest`.
+
+    Equal rows share them, others do not, NULLs counting with their place.
+    """
+    parts = [part for c in docs.columns for part in (quoted(c).isNull(), quoted(c))]
+    hashes = [F.xxhash64(F.lit(seed), *parts).alias(name)
+              for seed, name in (("row", "key"), ("rest", "key_rest"))]
+    return docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), *hashes,
+                       *map(quoted, needed))
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """`name`, or with the first number from 2 on that makes it none of those taken."""
+    used, n, free = {t.lower() for t in taken}, 1, name
+    while free.lower() in used:
+        n += 1
+        free = f"{name}_{n}"
+    return free
 
 
 def hex16(value: Column) -> Column:

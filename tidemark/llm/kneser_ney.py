@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import join_small, utf8
+from tidemark.llm.common import join_small, packed, unpacked, utf8
 from tidemark.session import materialise
 
 ORDER = 4
@@ -253,7 +253,7 @@ def thresholds(texts: DataFrame, quantile: float) -> tuple[DataFrame, float | No
 
 def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, quantile: float = QUANTILE,
            slack: float = SLACK) -> DataFrame:
-    """`docs` with _n_tokens, _score, _perplexity, _threshold and _kept."""
+    """`row` (all columns of `docs`), doc_id, lang, n_tokens, score, perplexity, threshold, kept."""
     spark = docs.sparkSession
     trusted = materialise(trusted_ids(labels), "trusted_ids")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string")
@@ -285,30 +285,26 @@ def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, quantile: f
 
     by_language, overall = thresholds(judged_by.select(
         "lang", fair(F.col("n_tokens"), F.col("score")).alias("log")), quantile)
-    by_language = materialise(by_language.withColumnRenamed("lang", "_lang"), "thresholds")
-    with_score = docs.withColumn("_s", score(F.col("text").cast("string"))) \
-        .withColumn("_lang", F.col("lang").cast("string"))
-    limited = join_small(with_score, by_language.withColumnRenamed("limit", "_limit"), "_lang",
-                         by_language.count())
-    threshold = F.pow(F.lit(10.0), F.coalesce("_limit", F.lit(overall).cast("double"))) * slack
-    value = F.pow(F.lit(10.0), fair(F.col("_s.n_tokens"), F.col("_s.score")))
+    by_language = materialise(by_language, "thresholds")
+    with_score = packed(docs, "doc_id", "lang", "text").select(
+        "row", "doc_id", F.col("lang").cast("string").alias("lang"),
+        score(F.col("text").cast("string")).alias("s"))
+    limited = join_small(with_score, by_language, "lang", by_language.count())
+    threshold = F.pow(F.lit(10.0), F.coalesce("limit", F.lit(overall).cast("double"))) * slack
+    value = F.pow(F.lit(10.0), fair(F.col("s.n_tokens"), F.col("s.score")))
     return limited.select(
-        *(F.col(f"`{c}`") for c in docs.columns), F.col("_s.n_tokens").alias("_n_tokens"),
-        F.col("_s.score").alias("_score"), value.alias("_perplexity"),
-        threshold.alias("_threshold")).withColumn(
-        "_kept", F.coalesce(F.col("_perplexity") <= F.col("_threshold"), F.lit(True)))
+        "row", "doc_id", "lang", "s.n_tokens", "s.score", value.alias("perplexity"),
+        threshold.alias("threshold")).withColumn(
+        "kept", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))
 
 
 def judged(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """Per row: `doc_id`, `lang`, `n_tokens`, `score`, `perplexity`, `threshold`, `kept`."""
-    result = scored(docs.select("doc_id", "lang", "text"), labels, **options)
-    return result.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), "lang",
-        *(F.col(f"_{c}").alias(c) for c in
-          ("n_tokens", "score", "perplexity", "threshold", "kept")))
+    return scored(docs.select("doc_id", "lang", "text"), labels, **options).select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "n_tokens", "score", "perplexity",
+        "threshold", "kept")
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of `docs` that the classifier keeps."""
-    return scored(docs, labels, **options).filter("_kept").select(
-        *(F.col(f"`{c}`") for c in docs.columns))
+    return unpacked(scored(docs, labels, **options).filter("kept"))

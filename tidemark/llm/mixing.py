@@ -8,7 +8,7 @@ between 0 and 1, is below the fraction of the rate.
 
 Sources are ordered by code point, null last, and weights repeat in that order. A null text has
 size 0; null is a source of its own. Repeated rows draw alike. Other columns do not matter to
-`mixture` and are kept by `mixed`. An empty table, or one without any word, gives target 0 and
+`mixture` and are kept by `mixed`, whatever their names. An empty table, or one without any word, gives target 0 and
 takes nothing.
 """
 
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import WORD, join_small
+from tidemark.llm.common import WORD, free_name, join_small, packed
 from tidemark.session import materialise
 
 WEIGHTS = (5, 2, 1)
@@ -85,32 +85,38 @@ def copies(rate: Column, seed: int, *identity: Column) -> Column:
     return (F.floor(rate) + F.when(draw < rate - F.floor(rate), 1).otherwise(0)).cast("bigint")
 
 
-def _rated(docs: DataFrame, weights: tuple, max_repeats: int, seed: int) -> DataFrame:
-    """`docs` with _size, _copies and the columns of its source's target."""
-    sized = docs.withColumn("_size", words_in(F.col("text")))
-    targets, rows = source_targets(
-        sized.select(F.col("source").cast("string").alias("source"), F.col("_size").alias("size")),
-        weights, max_repeats)
-    targets = targets.select("source", *(F.col(c).alias(f"_{c}")
-                                         for c in ("source_size", "target", "rate")))
-    joined = join_small(sized.withColumn("_source", F.col("source").cast("string")),
-                        targets.withColumnRenamed("source", "_source"), "_source", rows)
-    draw = copies(F.col("_rate"), seed, F.col("doc_id"), F.col("text"))
-    return joined.withColumn("_copies", F.least(draw, F.lit(max_repeats).cast("bigint")))
+def _rated(docs: DataFrame, rest: list[str], weights: tuple, max_repeats: int,
+           seed: int) -> DataFrame:
+    """`size`, `copies`, `source_size`, `target`, and the columns `rest` of the documents.
+
+    The documents have the columns doc_id, text and source, and none of the names above.
+    """
+    sized = docs.withColumns({"size": words_in(F.col("text")),
+                              "source": F.col("source").cast("string")})
+    targets, rows = source_targets(sized.select("source", "size"), weights, max_repeats)
+    joined = join_small(sized, targets, "source", rows)
+    draw = copies(F.col("rate"), seed, F.col("doc_id"), F.col("text"))
+    return joined.select(
+        "size", "source_size", "target",
+        F.least(draw, F.lit(max_repeats).cast("bigint")).alias("copies"), *rest)
 
 
 def mixture(docs: DataFrame, weights: tuple = WEIGHTS, max_repeats: int = MAX_REPEATS,
             seed: int = SEED) -> DataFrame:
     """Per row: `doc_id`, `size`, `source_size`, `target`, `copies`, `taken` (size * copies)."""
-    return _rated(docs.select("doc_id", "text", "source"), weights, max_repeats, seed).select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("_size").alias("size"),
-        F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
-        F.col("_copies").alias("copies"), (F.col("_size") * F.col("_copies")).alias("taken"))
+    rated = _rated(docs.select("doc_id", "text", "source"), ["doc_id"], weights, max_repeats, seed)
+    return rated.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "size", "source_size", "target", "copies",
+        (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def mixed(docs: DataFrame, weights: tuple = WEIGHTS, max_repeats: int = MAX_REPEATS,
           seed: int = SEED) -> DataFrame:
-    """`docs` with every row as often as the mix takes it, and `copy` counting from 0."""
-    rated = _rated(docs, weights, max_repeats, seed).filter("_copies > 0")
-    return rated.select(*(F.col(f"`{c}`") for c in docs.columns),
-                        F.explode(F.expr("sequence(0, int(_copies) - 1)")).alias("copy"))
+    """`docs` with every row as often as the mix takes it, and `copy` counting from 0.
+
+    Where `docs` has a column of that name, the number is called `copy_2`, and so on.
+    """
+    rated = _rated(packed(docs, "doc_id", "text", "source"), ["row"], weights, max_repeats, seed)
+    return rated.filter("copies > 0").select(
+        "row.*", F.explode(F.expr("sequence(0, int(copies) - 1)"))
+        .alias(free_name("copy", docs.columns)))
