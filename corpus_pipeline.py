@@ -13,7 +13,8 @@ documents.
 Null texts are empty documents: the classifier judges them, and as copies of each other one of
 them stays. Repeated rows are copies. Rows without an id are treated like others; among near
 copies the smallest id stays, null last. Empty tables pass through. Columns beyond those of the
-documents are kept, whatever their names.
+documents are kept, whatever their names. The last stage's number of a copy is called `copy`, or
+`copy_2` and so on where a column has that name.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import decontaminate, kneser_ney, mixing, secrets, simhash
-from tidemark.llm.common import read_table, row_key
+from tidemark.llm.common import read_table, row_keys, unpacked
 from tidemark.session import materialise
 
 
@@ -32,29 +33,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class of near duplicates: that with the smallest id, then row hash."""
-    keyed = row_key(docs)
-    rows = keyed.select(F.col("_row").alias("doc_id"), "text", F.col("doc_id").alias("id"))
+    keyed = row_keys(docs, "doc_id", "text")
+    rows = keyed.select(F.col("key").alias("doc_id"), "text", F.col("doc_id").alias("id"))
     classes = simhash.near_duplicates(rows.select("doc_id", "text")) \
-        .select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_class")).distinct()
+        .select(F.col("doc_id").alias("key"), F.col("component_id").alias("class")).distinct()
     named = materialise(
-        rows.select(F.col("doc_id").alias("_row"), "id").distinct().join(classes, "_row"),
+        rows.select(F.col("doc_id").alias("key"), "id").distinct().join(classes, "key"),
         "row_classes")
-    kept = named.groupBy("_class").agg(
-        F.min(F.struct(F.col("id").isNull(), "id", "_row")).alias("first")).select(
-        F.col("first._row").alias("_row"))
+    kept = named.groupBy("class").agg(
+        F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("first")).select(
+        F.col("first.key").alias("key"))
     # Rows that are equal in every column have one hash: of these too, one stays.
-    single = keyed.dropDuplicates(["_row"]).join(kept, "_row", "left_semi")
-    return single.select(*(F.col(f"`{c}`") for c in docs.columns))
+    single = keyed.select("row", "key", "key_rest").dropDuplicates(["key", "key_rest"])
+    return unpacked(single.join(kept, "key", "left_semi"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that share no passage with a benchmark item."""
-    keyed = row_key(docs)
+    keyed = row_keys(docs, "text")
     found = decontaminate.overlaps(
-        keyed.select(F.col("_row").alias("doc_id"), "text"),
+        keyed.select(F.col("key").alias("doc_id"), "text"),
         read_table(spark, sf_dir, "benchmark"))
-    return keyed.join(found.select(F.col("doc_id").alias("_row")).distinct(), "_row",
-                      "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return unpacked(keyed.select("row", "key").join(
+        found.select(F.col("doc_id").alias("key")).distinct(), "key", "left_anti"))
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
