@@ -231,6 +231,64 @@ def test_licence_tags_of_unknown_identifiers(names, labels, expression, reusable
     assert found[6] == (1.0 if labels else 0.0)
 
 
+def brute_overlap(doc, item):
+    """Whether any stretch of any diagonal is a passage, by its definition; all pairs."""
+    for shift in range(1 - len(item), len(doc)):
+        start, end = max(shift, 0), min(shift + len(item), len(doc))
+        agree = [doc[i] == item[i - shift] for i in range(start, end)]
+        for a in range(len(agree)):
+            for b in range(a + min(12, len(item)), len(agree) + 1):
+                if sum(agree[a:b]) >= 0.8 * (b - a):
+                    return True
+    return False
+
+
+def test_overlaps_equal_all_pairs_of_documents_items_and_diagonals(spark):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(60)]
+    items = [[rng.choice(words) for _ in range(n)] for n in (1, 2, 4, 5, 7, 11, 12, 13, 20, 30, 45)]
+    items += [items[9][:16] + [rng.choice(words) for _ in range(14)] for _ in range(4)]
+    docs = []
+    for _ in range(150):
+        doc = [rng.choice(words) for _ in range(rng.randrange(40))]
+        for item in rng.sample(items, 2):
+            a = rng.randrange(len(item))
+            part = item[a:a + rng.randrange(3, 40)]
+            part = [rng.choice(words) if rng.random() < rng.choice([0, 0.1, 0.25]) else w
+                    for w in part]
+            at = rng.randrange(len(doc) + 1)
+            doc[at:at] = part
+        docs.append(doc)
+    table = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)],
+                                  "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)],
+                                      "item_id bigint, text string")
+    want = {(i, j) for i, d in enumerate(docs) for j, t in enumerate(items) if brute_overlap(d, t)}
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.overlaps(table, benchmark).collect()}
+    assert got == want and len(want) > 100
+    for row in decontaminate.contaminated(table, benchmark).collect():
+        mine = sorted(j for i, j in want if i == row["doc_id"])
+        assert row["items"] == ",".join(map(str, mine)) and row["n_items"] == len(mine)
+        assert row["item_id"] in mine
+        assert row["condemned"] == any(len(items[j]) >= 5 for j in mine)
+    assert {i for i, _ in want} == {r["doc_id"] for r in decontaminate.contaminated(
+        table, benchmark).collect()}
+
+
+def test_a_shared_instruction_gives_one_row_per_document(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(4000)]
+    shared = " ".join(rng.sample(words, 16))
+    items = [(i, f"{shared} {' '.join(rng.sample(words, 12))}") for i in range(40)] + [(99, "yes")]
+    docs = [(i, f"{' '.join(rng.sample(words, 20))} {shared} yes") for i in range(30)] + [
+        (1000 + i, "oh yes indeed") for i in range(30)]
+    found = decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id bigint, text string"),
+        spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(r["doc_id"], r["n_items"], r["condemned"]) for r in found} == {
+        (i, 41, True) for i in range(30)} | {(1000 + i, 1, False) for i in range(30)}
+
+
 def keys_in(text):
     """The parts of a text that are taken for random keys."""
     spans = secrets.all_spans(text, secrets.base_spans(text), secrets.VOCABULARY, 2.0)

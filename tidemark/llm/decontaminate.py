@@ -13,7 +13,9 @@ test hashes exactly, so a full bitmap costs time but no result.
 
 Tokens are lower-cased words without ASCII punctuation. Items of fewer than MIN_TOKENS
 tokens are compared by windows of their own length, under masks of which one ignores whatever
-tokens may be replaced. Items without tokens, null texts and empty
+tokens may be replaced. A word or two of an item stand in many documents that never saw the
+benchmark, so an overlap of fewer than CONDEMNING_TOKENS tokens, which only an item that short can
+have, is reported but does not condemn its document. Items without tokens, null texts and empty
 texts match nothing. Items that share an item_id, or have none, are compared each by its own
 tokens. Repeated rows are reported once per doc_id and item_id, where null is an id like others.
 Other columns do not matter. Empty tables give an empty result.
@@ -35,6 +37,7 @@ from tidemark.session import materialise
 MASKS = ("11011000101", "11100010011", "10110100011", "1110111")
 MIN_TOKENS = 12
 MIN_AGREEMENT = 0.8
+CONDEMNING_TOKENS = 5
 BITMAP_BITS = 1 << 24
 MARGIN = 24
 _MISMATCH = 4.0  # what a disagreeing token costs against an agreeing one: 1 in 5 may differ
@@ -274,3 +277,25 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     return checked.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", (-F.col("best.f")).alias("first_token"),
         (-F.col("best.l")).alias("n_tokens"), F.col("best.n_equal").alias("n_equal"))
+
+
+def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """One row per document with an overlap: its best one, and all items it overlaps with.
+
+    `n_items` and `items` (ids in order, comma-joined, `-` for null) tell which these are,
+    `item_id`, `first_token`, `n_tokens` and `n_equal` are those of the overlap in which most
+    tokens agree, the shorter, earlier and smaller id of several, and `condemned` says whether
+    any overlap is long enough to condemn the document.
+    """
+    named = F.struct(F.col("item_id").isNotNull().alias("known"), "item_id")
+    best = F.max(F.struct(
+        "n_equal", (-F.col("n_tokens")).alias("l"), (-F.col("first_token")).alias("f"),
+        (-F.col("item_id")).alias("i"))).alias("best")
+    ids = F.transform(F.array_sort(F.collect_set(named)), lambda one: F.coalesce(
+        one["item_id"].cast("string"), F.lit("-")))
+    return overlaps(docs, items).groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_items"), F.array_join(ids, ",").alias("items"), best,
+        F.bool_or(F.col("n_tokens") >= CONDEMNING_TOKENS).alias("condemned")).select(
+        "doc_id", "n_items", "items", (-F.col("best.i")).alias("item_id"),
+        (-F.col("best.f")).alias("first_token"), (-F.col("best.l")).alias("n_tokens"),
+        F.col("best.n_equal").alias("n_equal"), "condemned")

@@ -22,8 +22,8 @@ def _over_documents(operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return decontaminate.overlaps(read_table(spark, folder, "documents"),
-                                  read_table(spark, folder, "benchmark"))
+    return decontaminate.contaminated(read_table(spark, folder, "documents"),
+                                      read_table(spark, folder, "benchmark"))
 
 
 def _quality(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,10 +33,9 @@ def _quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def _chat(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations, and one whose texts are control strings of other templates."""
-    text = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame(
-        [(-1, 0, "user", text), (-1, 1, "assistant", text)],
-        "conv_id bigint, turn bigint, role string, text string")
+    extra = spark.sql("""
+        SELECT bigint(-1) AS conv_id, bigint(turn) AS turn, role, '</s>[INST] ok [/INST]' AS text
+        FROM VALUES (0, 'user'), (1, 'assistant') AS turns(turn, role)""")
     told = read_table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     return chat.transcript_digests(chat.chat_transcripts(told.unionByName(extra)))
 
