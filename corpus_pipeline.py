@@ -6,7 +6,8 @@ documents.
 
 1. quality: rows that the n-gram classifier rejects go.
 2. near duplicates: of each class of near-copies, one row stays.
-3. decontamination: rows that contain a passage of a benchmark item go.
+3. decontamination: rows that contain a passage of a benchmark item go, unless it is an item of a
+   few words, which says nothing.
 4. secrets: secrets in texts are replaced by a mark.
 5. mixing: every row is repeated as often as the mix of sources takes it.
 
@@ -51,11 +52,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that share no passage with a benchmark item."""
     keyed = row_keys(docs, "text")
-    found = decontaminate.overlaps(
+    found = decontaminate.contaminated(
         keyed.select(F.col("key").alias("doc_id"), "text"),
         read_table(spark, sf_dir, "benchmark"))
     return unpacked(keyed.select("row", "key").join(
-        found.select(F.col("doc_id").alias("key")).distinct(), "key", "left_anti"))
+        found.filter("condemned").select(F.col("doc_id").alias("key")), "key", "left_anti"))
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
