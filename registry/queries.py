@@ -18,6 +18,7 @@ from tidemark.session import new_scratch_database, new_scratch_path
 from tidemark.sources import contracts
 from tidemark.sources.events import read_account_tables
 from tidemark.sources.tables import AccountTables, development_limit
+from tidemark.streaming.arrivals import load_on_arrival
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -165,6 +166,21 @@ def _mart_from_bases(spark: SparkSession, folder: str) -> DataFrame:
     return mart
 
 
+def _late_closures(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Closures that arrive in two drops, the second with late rows; the table, and those rows."""
+    closed = read_account_tables(spark, folder).closed
+    contract, key = loads.BASE_TABLES["account_closed"]
+    in_time = (F.col(key) < moment(FIRST_RUN_END)) & (F.hour(key) < 22)
+    source, database = new_scratch_path(spark, "source"), new_scratch_database(spark)
+    checkpoint = new_scratch_path(spark, "arrivals")
+    for drop in (in_time, ~in_time):
+        closed.filter(drop).write.mode("append").parquet(source)
+        load_on_arrival(spark, source, contract, f"{database}.closed", contract, key, checkpoint,
+                        late_table=f"{database}.late").awaitTermination()
+    return (loads.read_base(spark, f"{database}.closed", contract),
+            spark.table(f"{database}.late").drop("arrival"))
+
+
 def _rate_from_bases(spark: SparkSession, folder: str) -> DataFrame:
     for database, touched in _both_runs(spark, folder):
         rate = kept_rate.load_rate(spark, database, touched, buckets=SMALL_MART_BUCKETS)
@@ -357,6 +373,8 @@ def _queries() -> dict[str, Query]:
         "incremental_mart_by_content": lambda spark, folder: _mart_by_content(spark, folder)[0],
         "mart_content_changes": lambda spark, folder: _mart_by_content(spark, folder)[1],
         "base_views": _base_views,
+        "arrivals_closures_state": lambda spark, folder: _late_closures(spark, folder)[0],
+        "arrivals_late_closures": lambda spark, folder: _late_closures(spark, folder)[1],
         "schema_guard": _schema_guard,
         "mart_unified_accounts": _built_mart("unified_accounts"),
         "mart_active_user_rate": _built_mart("active_user_rate"),

@@ -9,9 +9,9 @@ from tidemark.sources.events import read_account_tables
 
 QUERIES = all_queries()
 LAZY = [n for n in QUERIES
-        if not n.startswith(("incremental", "mart_")) and n not in
+        if not n.startswith(("incremental", "mart_", "arrivals_")) and n not in
         ("check_summary", "check_stored_failures", "check_not_null", "changed_rows",
-         "development_limit", "schema_guard")]
+         "development_limit", "schema_guard", "base_views")]
 
 BROADCASTS_DATES = ("open_accounts_by_date", "user_activity_by_date", "user_drilldown",
                     "user_drilldown_on_date", "active_user_rate_expanded")
