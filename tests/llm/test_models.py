@@ -2,6 +2,7 @@
 
 import collections
 import math
+import random
 import zlib
 
 import numpy as np
@@ -105,6 +106,37 @@ def test_quality_of_a_rare_language(spark):
         assert not [i for i in kept if i >= 20_000]
 
 
+SCRIPTS = {
+    "ru": ("время человек год жизнь день работа слово место вопрос город дело сторона", 0x430, 32),
+    "el": ("χρόνος άνθρωπος ημέρα ζωή εργασία λέξη τόπος ερώτηση πόλη κόσμος χώρα αρχή", 0x3B1, 25),
+    "zh": ("时间 人们 生活 工作 学校 城市 国家 问题 世界 开始 地方 事情", 0x4E00, 9000),
+    "en": ("time people year life day work word place question town matter side", 0x61, 26),
+}
+
+
+def test_texts_of_random_letters_are_rejected_in_any_script(spark):
+    """A third of the clean texts of each language is trusted; nothing else is known."""
+    rng, rows, labels = random.Random(6), [], []
+    for lang, (words, first, letters) in SCRIPTS.items():
+        words = words.split()
+        for clean in (True, False):
+            for k in range(150 if clean else 60):
+                text = " ".join(rng.choice(words) if clean else "".join(
+                    chr(first + rng.randrange(letters)) for _ in rng.choice(words))
+                    for _ in range(rng.randrange(40, 80)))
+                rows.append((len(rows), text, lang, clean))
+                if clean and k % 3 == 0:
+                    labels.append((rows[-1][0], 1))
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id bigint, text string, lang string")
+    judged = {r["doc_id"]: r["kept"] for r in kn.judged(
+        docs, spark.createDataFrame(labels, "doc_id bigint, quality int")).collect()}
+    for lang in SCRIPTS:
+        for clean in (True, False):
+            kept = [judged[i] for i, _, of, good in rows if of == lang and good is clean]
+            share = sum(kept) / len(kept)
+            assert share >= 0.9 if clean else share <= 0.1, (lang, clean, share)
+
+
 def test_thresholds(spark):
     rng = np.random.default_rng(7)
     logs = {"many": rng.normal(1.0, 0.1, 5000), None: rng.normal(2.0, 0.1, 1000), "one": [3.0]}

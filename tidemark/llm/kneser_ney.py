@@ -1,7 +1,8 @@
 """Quality by the perplexity of an n-gram model trained on trusted text.
 
 The model is an interpolated modified Kneser-Ney model of order 4 over 64 symbols: the bytes of
-a text, folded (letters by case stay apart, digits are one symbol, rarer bytes share classes).
+a text, folded (letters by case stay apart, digits are one symbol, rarer ASCII bytes share
+classes, and the bytes of other scripts share the symbols of the letters, nearly one for each).
 Counts of n-grams are summed per n-gram over the cluster; every order's counts are joined with
 the sums of their contexts, shard by shard, and give the discounted share of each n-gram and the
 weight of each context. Folding bounds the joined tables: 64**4 n-grams at most, 64 MiB as a
@@ -60,9 +61,10 @@ def _folding() -> np.ndarray:
                b"#$%&*|<>@^~=+{}[]/\\_"]
     for symbol, members in zip([1, 54, 55, 56, 57, 58, 59], classes):
         fold[np.frombuffer(members, dtype=np.uint8)] = symbol
-    fold[0x80:0xC0] = 60
-    fold[0xC0:0xE0] = 61
-    fold[0xE0:] = 62
+    # Other scripts share the symbols, nearly one for each byte, so that their letters stay apart.
+    for k in range(0x40):
+        fold[0x80 + k] = 1 + k % 62
+        fold[0xC0 + k] = 1 + (11 * k + 5) % 62
     return fold
 
 
