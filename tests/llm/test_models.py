@@ -6,6 +6,8 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 import reference as plain
@@ -13,12 +15,16 @@ from tidemark.llm import kneser_ney as kn
 from tidemark.llm import pitman_yor as py
 
 
+def grams_of(text):
+    symbols = [255] * (kn.ORDER - 1) + list(text) + [255]
+    return [tuple(symbols[i:i + kn.ORDER]) for i in range(len(text) + 1)]
+
+
 def plain_kneser_ney(texts):
-    """log10 probability of an n-gram code, by the textbook recursion over dictionaries."""
+    """The probability of an n-gram, by the textbook recursion over dictionaries."""
     counts = collections.Counter()
     for text in texts:
-        symbols = [0] * (kn.ORDER - 1) + [int(kn.FOLD[b]) for b in text] + [0]
-        counts.update(tuple(symbols[i:i + kn.ORDER]) for i in range(len(text) + 1))
+        counts.update(grams_of(text))
     levels = {kn.ORDER: counts}
     for order in range(kn.ORDER - 1, 0, -1):
         levels[order] = collections.Counter(g[1:] for g in levels[order + 1])
@@ -46,28 +52,55 @@ def plain_kneser_ney(texts):
     return probability
 
 
-def test_kneser_ney_equals_the_recursion(spark):
-    texts = ["the cat sat. The cat ran!", "a cat, a dog; a bird", "", None, "the dog sat", "ÉÈ 123 xyz"]
-    docs = spark.createDataFrame([(t,) for t in texts], "text string")
-    table = kn.log_table(kn.collect_model(kn.gram_counts(docs)))
+@pytest.mark.parametrize("block_bytes, together", [(1 << 20, 256), (20, 2)])
+def test_kneser_ney_equals_the_recursion(spark, monkeypatch, block_bytes, together):
+    """Also where the blocks are many, so that the shards are dealt out in copies."""
+    monkeypatch.setattr(kn, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(kn, "BLOCKS_TOGETHER", together)
+    texts = ["the cat sat. The cat ran!", "a cat, a dog; a bird", "", None, "the dog sat",
+             "ÉÈ 123 xyz"]
+    counts = kn.gram_counts(spark.createDataFrame([(t,) for t in texts], "text string"))
     probability = plain_kneser_ney([(t or "").encode() for t in texts])
-    for text in ["the cat", "", "zebra 9", "É", "THE!!"]:
-        symbols = [0] * (kn.ORDER - 1) + [int(kn.FOLD[b]) for b in text.encode()] + [0]
-        grams = [tuple(symbols[i:i + kn.ORDER]) for i in range(len(symbols) - kn.ORDER + 1)]
-        tokens, score = kn.text_score(text.encode(), table)
-        assert tokens == len(grams)
-        assert score == pytest.approx(sum(math.log10(probability(g)) for g in grams), rel=1e-4)
-    sums = (10.0 ** table.astype(np.float64)).reshape(-1, kn.SYMBOLS).sum(axis=1)
-    assert sums == pytest.approx(np.ones(len(sums)), rel=1e-4)
+    asked = ["the cat", "", None, "zebra 9", "É", "THE!!", "время", "the cat sat on a dog. " * 9,
+             "the cat"] + texts
+    rows = spark.createDataFrame(list(enumerate(asked)), "id bigint, text string").repartition(3)
+    found = {r["id"]: r for r in kn.text_scores(rows, counts).collect()}
+    assert len(found) == len(asked)
+    for i, text in enumerate(asked):
+        grams = grams_of((text or "").encode())
+        assert found[i]["n_tokens"] == len(grams)
+        assert found[i]["score"] == pytest.approx(
+            sum(math.log10(probability(g)) for g in grams), rel=1e-5)
+
+
+def test_kneser_ney_probabilities_sum_to_one(spark):
+    """Over all symbols that may follow, after known and unknown contexts."""
+    counts = kn.gram_counts(spark.createDataFrame([("abcab abd",), ("bcd",)], "text string"))
+    tables = kn.model_tables(counts)
+    answer = kn._answers(kn.collect_pairs(tables))
+    rows = kn.sharded_model(tables).toArrow()
+    for context in [b"abc", b" ab", b"xab", b"xya", b"xyz", b"\xff\xff\xff"]:
+        codes = np.array([int.from_bytes(context + bytes([b]), "big") for b in range(256)],
+                         dtype=np.uint32)
+        shards = kn._shard_of(codes >> np.uint32(8) & np.uint32(0xFFFF))
+        assert len(set(shards)) == 1
+        asked = pa.table({"block": [1], "shard": [int(shards[0])], "codes": [codes.tobytes()]})
+        model = rows.filter(pa.compute.equal(rows["shard"], int(shards[0])))
+        logs = np.frombuffer(answer(asked, model)["logs"][0].as_py(), dtype=np.float32)
+        assert (10.0 ** logs.astype(float)).sum() == pytest.approx(1.0, rel=1e-5)
 
 
 def test_kneser_ney_counts_long_texts_in_pieces(monkeypatch):
-    text = bytes(range(32, 127)) * 30
-    whole = np.concatenate(list(kn.gram_codes(text)))
-    monkeypatch.setattr(kn, "_PIECE", 100)
-    assert np.array_equal(np.concatenate(list(kn.gram_codes(text))), whole)
-    monkeypatch.setattr(kn, "_PIECE", len(text))
-    assert np.array_equal(np.concatenate(list(kn.gram_codes(text))), whole)
+    texts = [bytes(range(32, 127)) * 30, b"", None, b"ab", bytes(range(97, 123)) * 7, b""]
+    wanted = collections.Counter(g for t in texts for g in grams_of(t or b""))
+    for piece in (1, 7, 100, len(texts[0]), 1 << 20):
+        monkeypatch.setattr(kn, "_PIECE", piece)
+        symbols, starts = kn.joined_texts(texts)
+        found = collections.Counter(
+            tuple(int(c).to_bytes(4, "big")) for _, codes, inside in kn.gram_pieces(symbols, starts)
+            for c in codes[inside])
+        assert found == wanted
+        assert len(kn.distinct_grams(symbols, starts)) == len(wanted)
 
 
 def test_quality_separates_labelled_documents(spark, medium):

@@ -193,3 +193,23 @@ def separators(characters: bytes) -> np.ndarray:
 
 
 BLANKS = separators(SPACE.encode())
+
+
+def _folding() -> np.ndarray:
+    """Bytes as 64 symbols; 0 is kept for the borders of a text."""
+    fold = np.full(256, 63, dtype=np.uint8)
+    for k in range(26):
+        fold[ord("a") + k] = 2 + k
+        fold[ord("A") + k] = 28 + k
+    classes = [b" \t\n\r\x0b\x0c", b"0123456789", b".", b",", b"'\"`", b";:!?()-",
+               b"#$%&*|<>@^~=+{}[]/\\_"]
+    for symbol, members in zip([1, 54, 55, 56, 57, 58, 59], classes):
+        fold[np.frombuffer(members, dtype=np.uint8)] = symbol
+    # Other scripts share the symbols, nearly one for each byte, so that their letters stay apart.
+    for k in range(0x40):
+        fold[0x80 + k] = 1 + k % 62
+        fold[0xC0 + k] = 1 + (11 * k + 5) % 62
+    return fold
+
+
+FOLD = _folding()

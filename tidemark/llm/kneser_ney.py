@@ -1,13 +1,18 @@
 """Quality by the perplexity of an n-gram model trained on trusted text.
 
-The model is an interpolated modified Kneser-Ney model of order 4 over 64 symbols: the bytes of
-a text, folded (letters by case stay apart, digits are one symbol, rarer ASCII bytes share
-classes, and the bytes of other scripts share the symbols of the letters, nearly one for each).
-Counts of n-grams are summed per n-gram over the cluster; every order's counts are joined with
-the sums of their contexts, shard by shard, and give the discounted share of each n-gram and the
-weight of each context. Folding bounds the joined tables: 64**4 n-grams at most, 64 MiB as a
-table of logarithms, whatever the corpus. So this bounded result is broadcast, and documents are
-scored where they lie, without moving any text.
+The model is an interpolated modified Kneser-Ney model of order 4 over the bytes of a text, with
+a border before and after it. Counts of n-grams are summed per n-gram over the cluster; every
+order's counts are joined with the sums of their contexts and give the discounted share of each
+n-gram and the weight of each context.
+
+Documents meet the counts in sharded joins. Texts are gathered into blocks of some megabytes, and
+the distinct n-grams of each block are sent once to the shards of the model, which are cut by the
+two middle bytes: these are shared by an n-gram of order 4, its context, its lower order and the
+lower context, so one shard has all counts that its probability needs. What is left, order 2, has
+65,536 n-grams at most, whatever the corpus, and goes along to every task. The answers return to
+their block, and its documents sum them up. A shard answers `BLOCKS_TOGETHER` blocks in one group;
+for more blocks it is dealt out again, so no group grows with the input, and an n-gram that is
+frequent everywhere is asked for once a block.
 
 Documents labelled good are trusted. The model learns, in each language, from at most `sample`
 of them, those with the smallest hashes of their ids; a fifth of all never takes part, and of a
@@ -22,23 +27,30 @@ texts, a perplexity is taken over the text and `PRIOR_TOKENS` tokens of the lang
 Null and empty texts have one token, the end, and are judged like others. Repeated rows are
 judged alike. An id that is labelled both good and bad is not trusted. Without trusted documents
 all are kept. Other columns do not matter to `judged` and are kept by `kept_documents`. Empty
-tables give empty results.
+tables give empty results. A text must fit in one row.
 """
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import join_small, packed, unpacked, utf8
+from tidemark.llm.common import join_small, row_keys, unpacked, utf8
 from tidemark.session import materialise
 
 ORDER = 4
-SYMBOLS = 64
+SYMBOLS = 256
+#: The byte before and after a text; UTF-8 has no such byte.
+BORDER = b"\xff"
+#: A constant of the code below: the middle bytes of an n-gram are spread over so many shards.
+SHARDS = 64
+BLOCK_BYTES = 2 << 20
+#: So many blocks ask one copy of a shard.
+BLOCKS_TOGETHER = 256
 SAMPLE = 20_000
 QUANTILE = 0.99
 SLACK = 1.1
@@ -51,51 +63,38 @@ BROADCAST_IDS = 1_000_000
 _PIECE = 1 << 20
 
 
-def _folding() -> np.ndarray:
-    """The symbol of each byte; 0 is kept for the borders of a text."""
-    fold = np.full(256, 63, dtype=np.uint8)
-    for k in range(26):
-        fold[ord("a") + k] = 2 + k
-        fold[ord("A") + k] = 28 + k
-    classes = [b" \t\n\r\x0b\x0c", b"0123456789", b".", b",", b"'\"`", b";:!?()-",
-               b"#$%&*|<>@^~=+{}[]/\\_"]
-    for symbol, members in zip([1, 54, 55, 56, 57, 58, 59], classes):
-        fold[np.frombuffer(members, dtype=np.uint8)] = symbol
-    # Other scripts share the symbols, nearly one for each byte, so that their letters stay apart.
-    for k in range(0x40):
-        fold[0x80 + k] = 1 + k % 62
-        fold[0xC0 + k] = 1 + (11 * k + 5) % 62
-    return fold
-
-
-FOLD = _folding()
-
-
-def gram_codes(text: bytes) -> Iterator[np.ndarray]:
-    """Codes of the n-grams that end at each byte and at the end of the text, piece by piece."""
-    before = np.zeros(ORDER - 1, dtype=np.uint8)
-    for at in range(0, len(text) + 1, _PIECE):
-        piece = FOLD[np.frombuffer(text[at:at + _PIECE], dtype=np.uint8)]
-        if at + _PIECE > len(text):
-            piece = np.r_[piece, np.uint8(0)]
-        symbols = np.r_[before, piece].astype(np.int32)
-        before = symbols[len(symbols) - ORDER + 1:].astype(np.uint8)
-        codes = symbols[:len(piece)]
+def joined_texts(texts: Iterable[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the texts with their borders, one after another, and where each starts."""
+    bordered = [BORDER * (ORDER - 1) + (t or b"") + BORDER for t in texts]
+    sizes = np.fromiter(map(len, bordered), dtype=np.int64, count=len(bordered))
+    return np.frombuffer(b"".join(bordered), dtype=np.uint8), np.cumsum(sizes) - sizes
+
+
+def gram_pieces(symbols: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The place, the codes of the n-grams from there on, and which of them lie within a text."""
+    for at in range(0, len(symbols) - ORDER + 1, _PIECE):
+        part = symbols[at:at + _PIECE + ORDER - 1].astype(np.uint32)
+        n = len(part) - ORDER + 1
+        codes, inside = part[:n], np.ones(n, dtype=bool)
         for k in range(1, ORDER):
-            codes = codes * SYMBOLS + symbols[k:k + len(piece)]
-        yield codes
+            codes = codes << np.uint32(8) | part[k:k + n]
+            first, last = np.searchsorted(starts, [at + k, at + k + n])
+            inside[starts[first:last] - k - at] = False
+        yield at, codes, inside
+
+
+def distinct_grams(symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    found = [np.unique(codes[inside]) for _, codes, inside in gram_pieces(symbols, starts)]
+    return found[0] if len(found) == 1 else np.unique(np.concatenate(found))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts = np.zeros(SYMBOLS ** ORDER, dtype=np.int32)
-        for text in utf8(batch.column(0)):
-            for codes in gram_codes(text or b""):
-                found, times = np.unique(codes, return_counts=True)
-                counts[found] += times.astype(np.int32)
-        codes = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(codes), pa.array(counts[codes].astype(np.int64))], names=["code", "n"])
+        for _, codes, inside in gram_pieces(*joined_texts(utf8(batch.column(0)))):
+            found, times = np.unique(codes[inside], return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found.astype(np.int64)), pa.array(times.astype(np.int64))],
+                names=["code", "n"])
 
 
 def gram_counts(docs: DataFrame) -> dict[int, DataFrame]:
@@ -138,58 +137,165 @@ def model_tables(counts: dict[int, DataFrame]) -> list[tuple[DataFrame, DataFram
     return tables
 
 
-def collect_model(counts: dict[int, DataFrame]) -> list[tuple[np.ndarray, ...]]:
-    """The tables as arrays; together at most 64**4 n-grams and 64**3 contexts of each order."""
-    def arrays(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        table = df.toArrow()
-        return table.column(0).to_numpy(), table.column(1).to_numpy().astype(np.float32)
-
-    return [(*arrays(shares), *arrays(weights)) for shares, weights in model_tables(counts)]
-
-
-def log_table(model: list[tuple[np.ndarray, ...]]) -> np.ndarray:
-    """log10 of the probability of every n-gram of the highest order."""
-    lower = np.full(1, 1.0 / SYMBOLS, dtype=np.float32)
-    for order, (codes, shares, contexts, weights) in enumerate(model, 1):
-        weight = np.ones(SYMBOLS ** (order - 1), dtype=np.float32)
-        weight[contexts] = weights
-        if order == 1:
-            full = np.full(SYMBOLS, weight[0] * lower[0], dtype=np.float32)
-        else:
-            # An n-gram's lower order leaves out its first symbol.
-            full = weight.reshape(SYMBOLS, -1)[:, :, None] * lower.reshape(1, -1, SYMBOLS)
-            full = full.reshape(-1)
-        full[codes] += shares
-        lower = full
-    return np.log10(lower, out=lower)
-
-
-def text_score(text: bytes | None, table: np.ndarray) -> tuple[int, float]:
-    """Number of tokens (bytes and the end) and log10 of the probability of a text."""
-    tokens, score = 0, 0.0
-    for codes in gram_codes(text or b""):
-        tokens += len(codes)
-        score += float(table[codes].sum(dtype=np.float64))
-    return tokens, score
-
-
-@functools.lru_cache(maxsize=1)
-def _table_of(shared) -> np.ndarray:
-    return log_table(shared.value)
-
-
-def _scorer(spark: SparkSession, model: list[tuple[np.ndarray, ...]]) -> Callable[[Column], Column]:
-    """A column function: struct of n_tokens and score of a text."""
-    shared = spark.sparkContext.broadcast(model)
-    kind = pa.struct([("n_tokens", pa.int64()), ("score", pa.float64())])
-
-    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        table = _table_of(shared)
-        for texts in columns:
-            scores = [text_score(t, table) for t in utf8(texts)]
-            yield pa.array([{"n_tokens": n, "score": s} for n, s in scores], kind)
-
-    return F.arrow_udf(run, "struct<n_tokens:bigint,score:double>")
+def collect_pairs(tables: list[tuple[DataFrame, DataFrame]]) -> np.ndarray:
+    """The probability of every n-gram of order 2, from the tables of the orders up to it."""
+    full = np.full(1, 1.0 / SYMBOLS)
+    for order, (shares, weights) in enumerate(tables[:2], 1):
+        share, weight = shares.toArrow(), weights.toArrow()
+        given = np.ones(SYMBOLS ** (order - 1))
+        given[weight.column(0).to_numpy()] = weight.column(1).to_numpy()
+        # The lower order leaves out the first symbol, and has one value for all if it is the first.
+        full = (given[:, None] * full[None, :] * np.ones((1, SYMBOLS))).reshape(-1)
+        full[share.column(0).to_numpy()] += share.column(1).to_numpy()
+    return full
+
+
+def _shard_of(middle):
+    """The shard of two middle bytes, as numbers of a column or an array."""
+    spread = middle * 40503 % 65536
+    return F.floor(spread / 1024).cast("int") if isinstance(middle, Column) else spread // 1024
+
+
+def sharded_model(tables: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """`shard`, `kind`, `code`, `value`: shares and weights of order 4, then those of order 3."""
+    code = F.col("code")
+    middles = [F.floor(code / SYMBOLS) % SYMBOLS ** 2, code % SYMBOLS ** 2,
+               F.floor(code / SYMBOLS), code]
+    rows = None
+    for kind, (table, middle) in enumerate(zip([*tables[3], *tables[2]], middles)):
+        part = table.toDF("code", "value").select(
+            _shard_of(middle).alias("shard"), F.lit(kind).alias("kind"), "code", "value")
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
+def _in_blocks(names: list[str]) -> Callable:
+    """Rows as rows of one block each, with an array for each column."""
+    def finish(block: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        columns = [pa.concat_arrays([p.column(i) for p in parts]) for i in range(len(names))]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int64()),
+             *(pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns)],
+            names=["block", *names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        block, parts, size = TaskContext.get().partitionId() << 32, [], 0
+        for batch in batches:
+            lengths = pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy(
+                zero_copy_only=False)
+            ends, at = np.cumsum(lengths.astype(np.int64) + ORDER), 0
+            while at < batch.num_rows:
+                before = int(ends[at - 1]) if at else 0
+                upto = min(int(np.searchsorted(ends, before + BLOCK_BYTES - size)) + 1,
+                           batch.num_rows)
+                parts.append(batch.slice(at, upto - at))
+                size += int(ends[upto - 1]) - before
+                at = upto
+                if size >= BLOCK_BYTES:
+                    yield finish(block, parts)
+                    block, parts, size = block + 1, [], 0
+        if parts:
+            yield finish(block, parts)
+
+    return run
+
+
+def _requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per block and shard: the distinct n-grams of the block's texts, sorted."""
+    for batch in batches:
+        for block, texts in zip(batch.column(0), batch.column(1)):
+            codes = distinct_grams(*joined_texts(utf8(texts.values)))
+            shard = _shard_of(codes >> np.uint32(8) & np.uint32(0xFFFF))
+            order = np.argsort(shard, kind="stable")
+            bounds = np.searchsorted(shard[order], np.arange(SHARDS + 1))
+            asked = [k for k in range(SHARDS) if bounds[k] < bounds[k + 1]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block.as_py()] * len(asked), pa.int64()), pa.array(asked, pa.int32()),
+                 pa.array([codes[order[bounds[k]:bounds[k + 1]]].tobytes() for k in asked],
+                          pa.binary())], names=["block", "shard", "codes"])
+
+
+def _answers(pairs: np.ndarray) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def run(requests: pa.Table, model: pa.Table) -> pa.Table:
+        kinds, codes, values = (model[c].to_numpy() for c in ("kind", "code", "value"))
+        parts = []
+        for kind in range(4):
+            own = np.flatnonzero(kinds == kind)
+            own = own[np.argsort(codes[own])]
+            parts.append((codes[own], values[own]))
+
+        def look(kind: int, wanted: np.ndarray, missing: float) -> np.ndarray:
+            known, value = parts[kind]
+            if not len(known):
+                return np.full(len(wanted), missing)
+            at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+            return np.where(known[at] == wanted, value[at], missing)
+
+        logs = []
+        for data in requests["codes"]:
+            gram = np.frombuffer(data.as_py(), dtype=np.uint32).astype(np.int64)
+            three = look(2, gram & 0xFFFFFF, 0.0) \
+                + look(3, gram >> 8 & 0xFFFF, 1.0) * pairs[gram & 0xFFFF]
+            four = look(0, gram, 0.0) + look(1, gram >> 8, 1.0) * three
+            logs.append(np.log10(four).astype(np.float32).tobytes())
+        return pa.Table.from_arrays(
+            [requests["block"].cast(pa.int64()), requests["shard"].cast(pa.int32()),
+             pa.array(logs, pa.binary())], names=["block", "shard", "logs"])
+
+    return run
+
+
+def _text_scores(names: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+        columns = {c: block[c][0].values for c in names}
+        symbols, starts = joined_texts(utf8(columns["text"]))
+        known = distinct_grams(symbols, starts)
+        shard = _shard_of(known >> np.uint32(8) & np.uint32(0xFFFF))
+        logs = np.zeros(len(known), dtype=np.float32)
+        for k, data in zip(answers["shard"].to_pylist(), answers["logs"]):
+            logs[shard == k] = np.frombuffer(data.as_py(), dtype=np.float32)
+        scores = np.zeros(len(starts))
+        for at, codes, inside in gram_pieces(symbols, starts):
+            each = np.zeros(len(codes))
+            each[inside] = logs[np.searchsorted(known, codes[inside])]
+            first = np.searchsorted(starts, at, "right") - 1
+            last = np.searchsorted(starts, at + len(codes))
+            cuts = np.maximum(starts[first:last], at) - at
+            scores[first:last] += np.add.reduceat(each, cuts)
+        tokens = np.diff(np.r_[starts, len(symbols)]) - ORDER + 1
+        return pa.Table.from_arrays(
+            [*(columns[c] for c in names if c != "text"), pa.array(tokens), pa.array(scores)],
+            names=[*(c for c in names if c != "text"), "n_tokens", "score"])
+
+    return run
+
+
+def text_scores(texts: DataFrame, counts: dict[int, DataFrame]) -> DataFrame:
+    """The columns of `texts` other than `text`, its `n_tokens` (bytes and the end) and `score`.
+
+    The score is the log10 of the text's probability under the model of the n-gram counts.
+    """
+    rest = [f for f in texts.schema.fields if f.name != "text"]
+    names = ["text", *(f.name for f in rest)]
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rest)
+    arrays = ", ".join(f"{f.name} array<{f.dataType.simpleString()}>" for f in rest)
+    blocks = materialise(
+        texts.select(F.col("text").cast("binary").alias("text"), *names[1:]).mapInArrow(
+            _in_blocks(names), f"block bigint, text array<binary>, {arrays}"), "text_blocks")
+    copies = max(1, -(-blocks.count() // BLOCKS_TOGETHER))
+    copy = F.pmod(F.xxhash64("block"), F.lit(copies)).alias("copy")
+    requests = blocks.select("block", "text").mapInArrow(
+        _requests, "block bigint, shard int, codes binary").select("*", copy)
+    tables = model_tables(counts)
+    model = sharded_model(tables).withColumn(
+        "copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(copies - 1).cast("bigint"))))
+    answers = requests.groupBy("shard", "copy").cogroup(model.groupBy("shard", "copy")) \
+        .applyInArrow(_answers(collect_pairs(tables)), "block bigint, shard int, logs binary")
+    return materialise(
+        blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+            _text_scores(names), f"{kept}, n_tokens bigint, score double"), "text_scores")
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -253,13 +359,13 @@ def thresholds(texts: DataFrame, quantile: float) -> tuple[DataFrame, float | No
     return levels.select("lang", (limit / STEPS).alias("limit")), overall["own"] / STEPS
 
 
-def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, quantile: float = QUANTILE,
+def scored(texts: DataFrame, labels: DataFrame, sample: int = SAMPLE, quantile: float = QUANTILE,
            slack: float = SLACK) -> DataFrame:
-    """`row` (all columns of `docs`), doc_id, lang, n_tokens, score, perplexity, threshold, kept."""
-    spark = docs.sparkSession
+    """n_tokens, score, perplexity, threshold and kept beside the columns of `texts` but `text`.
+
+    `texts` has doc_id (bigint), lang and text (strings), and perhaps columns to tell rows apart.
+    """
     trusted = materialise(trusted_ids(labels), "trusted_ids")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string")
-                        .alias("lang"), F.col("text").cast("string").alias("text"))
     in_docs = materialise(texts.select("doc_id", "lang").distinct().join(trusted, "doc_id"),
                           "trusted_languages")
     places = materialise(training_places(in_docs, sample), "training_places")
@@ -269,44 +375,41 @@ def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, quantile: f
                       .select("doc_id").distinct(), "training_ids")
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    placed = join_small(texts, places, "lang", languages)
-    training = materialise(placed.filter(learnt).join(ids, "doc_id").select("text"),
-                           "trusted_documents")
-    score = _scorer(spark, collect_model(gram_counts(training)))
-    # Texts are scored where they lie; only their scores are joined.
+    training = materialise(
+        join_small(texts.select("doc_id", "lang", "text"), places, "lang", languages)
+        .filter(learnt).join(ids, "doc_id").select("text"), "trusted_documents")
+    scores = text_scores(texts, gram_counts(training))
     judged_by = materialise(
-        placed.filter(~learnt).select("doc_id", "lang", score("text").alias("s"))
-        .join(trusted, "doc_id").select("lang", "s.n_tokens", "s.score"), "trusted_scores")
+        join_small(scores, places, "lang", languages).filter(~learnt)
+        .join(trusted, "doc_id").select("lang", "n_tokens", "score"), "trusted_scores")
     # The mean over everything that judges stands in for what a short text does not show.
     tokens, total = judged_by.agg(F.sum("n_tokens"), F.sum("score")).first()
     mean = total / tokens if tokens else 0.0
-
-    def fair(tokens: Column, score: Column) -> Column:
-        """The logarithm of the perplexity."""
-        return -(score + PRIOR_TOKENS * mean) / (tokens + PRIOR_TOKENS)
-
-    by_language, overall = thresholds(judged_by.select(
-        "lang", fair(F.col("n_tokens"), F.col("score")).alias("log")), quantile)
+    # The logarithm of the perplexity.
+    log = -(F.col("score") + PRIOR_TOKENS * mean) / (F.col("n_tokens") + PRIOR_TOKENS)
+    by_language, overall = thresholds(judged_by.select("lang", log.alias("log")), quantile)
     by_language = materialise(by_language, "thresholds")
-    with_score = packed(docs, "doc_id", "lang", "text").select(
-        "row", "doc_id", F.col("lang").cast("string").alias("lang"),
-        score(F.col("text").cast("string")).alias("s"))
-    limited = join_small(with_score, by_language, "lang", by_language.count())
     threshold = F.pow(F.lit(10.0), F.coalesce("limit", F.lit(overall).cast("double"))) * slack
-    value = F.pow(F.lit(10.0), fair(F.col("s.n_tokens"), F.col("s.score")))
-    return limited.select(
-        "row", "doc_id", "lang", "s.n_tokens", "s.score", value.alias("perplexity"),
+    return join_small(scores, by_language, "lang", by_language.count()).select(
+        *scores.columns, F.pow(F.lit(10.0), log).alias("perplexity"),
         threshold.alias("threshold")).withColumn(
         "kept", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))
 
 
+def _texts() -> list[Column]:
+    return [F.col("doc_id").cast("bigint").alias("doc_id"),
+            F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")]
+
+
 def judged(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """Per row: `doc_id`, `lang`, `n_tokens`, `score`, `perplexity`, `threshold`, `kept`."""
-    return scored(docs.select("doc_id", "lang", "text"), labels, **options).select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "n_tokens", "score", "perplexity",
-        "threshold", "kept")
+    return scored(docs.select(*_texts()), labels, **options)
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of `docs` that the classifier keeps."""
-    return unpacked(scored(docs, labels, **options).filter("kept"))
+    keyed = row_keys(docs, "doc_id", "lang", "text")
+    gone = scored(keyed.select("key", "key_rest", *_texts()), labels, **options) \
+        .filter("NOT kept").select("key", "key_rest").distinct()
+    return unpacked(keyed.select("row", "key", "key_rest").join(
+        gone, ["key", "key_rest"], "left_anti").select("row"))

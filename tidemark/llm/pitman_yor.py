@@ -39,8 +39,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Row, functions as F
 
-from tidemark.llm.common import BLANKS, utf8, words_of
-from tidemark.llm.kneser_ney import FOLD
+from tidemark.llm.common import BLANKS, FOLD, utf8, words_of
 from tidemark.session import materialise
 
 FOLDS = 7
