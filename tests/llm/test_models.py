@@ -84,7 +84,7 @@ def test_kneser_ney_probabilities_sum_to_one(spark):
                          dtype=np.uint32)
         shards = kn._shard_of(codes >> np.uint32(8) & np.uint32(0xFFFF))
         assert len(set(shards)) == 1
-        asked = pa.table({"block": [1], "shard": [int(shards[0])], "codes": [codes.tobytes()]})
+        asked = pa.table({"block": [1], "shard": [int(shards[0])], "codes": [kn.packed_codes(codes)]})
         model = rows.filter(pa.compute.equal(rows["shard"], int(shards[0])))
         logs = np.frombuffer(answer(asked, model)["logs"][0].as_py(), dtype=np.float32)
         assert (10.0 ** logs.astype(float)).sum() == pytest.approx(1.0, rel=1e-5)

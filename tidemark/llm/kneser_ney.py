@@ -37,6 +37,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import join_small, row_keys, unpacked, utf8
@@ -48,7 +49,7 @@ SYMBOLS = 256
 BORDER = b"\xff"
 #: A constant of the code below: the middle bytes of an n-gram are spread over so many shards.
 SHARDS = 64
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 4 << 20
 #: So many blocks ask one copy of a shard.
 BLOCKS_TOGETHER = 256
 SAMPLE = 20_000
@@ -83,6 +84,22 @@ def gram_pieces(symbols: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int,
         yield at, codes, inside
 
 
+#: Blocks are written once and shuffled once, so their texts are worth some compression.
+_LEVEL = 6
+
+
+def _compressed(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=_LEVEL).compress(data)
+
+
+def texts_of(block: pa.Scalar, sizes: pa.Scalar) -> Iterator[bytes]:
+    """The texts of a block."""
+    data, at = zstandard.ZstdDecompressor().decompress(block.as_py()), 0
+    for size in sizes.as_py():
+        yield data[at:at + size]
+        at += size
+
+
 def distinct_grams(symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
     found = [np.unique(codes[inside]) for _, codes, inside in gram_pieces(symbols, starts)]
     return found[0] if len(found) == 1 else np.unique(np.concatenate(found))
@@ -170,13 +187,15 @@ def sharded_model(tables: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
 
 
 def _in_blocks(names: list[str]) -> Callable:
-    """Rows as rows of one block each, with an array for each column."""
+    """Rows as rows of one block each: its texts as one, their sizes, arrays of other columns."""
     def finish(block: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-        columns = [pa.concat_arrays([p.column(i) for p in parts]) for i in range(len(names))]
+        texts = [t or b"" for p in parts for t in utf8(p.column(0))]
+        columns = [pa.array([len(t) for t in texts], pa.int64()), *(
+            pa.concat_arrays([p.column(i) for p in parts]) for i in range(1, len(names) + 1))]
         return pa.RecordBatch.from_arrays(
-            [pa.array([block], pa.int64()),
+            [pa.array([block], pa.int64()), pa.array([_compressed(b"".join(texts))], pa.binary()),
              *(pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns)],
-            names=["block", *names])
+            names=["block", "text", "sizes", *names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -202,19 +221,28 @@ def _in_blocks(names: list[str]) -> Callable:
     return run
 
 
+def packed_codes(codes: np.ndarray) -> bytes:
+    """Sorted codes as their compressed differences."""
+    return _compressed(np.diff(codes, prepend=np.uint32(0)).tobytes())
+
+
+def unpacked_codes(data: bytes) -> np.ndarray:
+    steps = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint32)
+    return np.cumsum(steps, dtype=np.int64)
+
+
 def _requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per block and shard: the distinct n-grams of the block's texts, sorted."""
     for batch in batches:
-        for block, texts in zip(batch.column(0), batch.column(1)):
-            codes = distinct_grams(*joined_texts(utf8(texts.values)))
+        for block, text, sizes in zip(*batch.columns):
+            codes = distinct_grams(*joined_texts(texts_of(text, sizes)))
             shard = _shard_of(codes >> np.uint32(8) & np.uint32(0xFFFF))
-            order = np.argsort(shard, kind="stable")
-            bounds = np.searchsorted(shard[order], np.arange(SHARDS + 1))
-            asked = [k for k in range(SHARDS) if bounds[k] < bounds[k + 1]]
+            asked = [(k, codes[shard == k]) for k in np.unique(shard).tolist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block.as_py()] * len(asked), pa.int64()), pa.array(asked, pa.int32()),
-                 pa.array([codes[order[bounds[k]:bounds[k + 1]]].tobytes() for k in asked],
-                          pa.binary())], names=["block", "shard", "codes"])
+                [pa.array([block.as_py()] * len(asked), pa.int64()),
+                 pa.array([k for k, _ in asked], pa.int32()),
+                 pa.array([packed_codes(own) for _, own in asked], pa.binary())],
+                names=["block", "shard", "codes"])
 
 
 def _answers(pairs: np.ndarray) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -235,7 +263,7 @@ def _answers(pairs: np.ndarray) -> Callable[[pa.Table, pa.Table], pa.Table]:
 
         logs = []
         for data in requests["codes"]:
-            gram = np.frombuffer(data.as_py(), dtype=np.uint32).astype(np.int64)
+            gram = unpacked_codes(data.as_py())
             three = look(2, gram & 0xFFFFFF, 0.0) \
                 + look(3, gram >> 8 & 0xFFFF, 1.0) * pairs[gram & 0xFFFF]
             four = look(0, gram, 0.0) + look(1, gram >> 8, 1.0) * three
@@ -249,8 +277,7 @@ def _answers(pairs: np.ndarray) -> Callable[[pa.Table, pa.Table], pa.Table]:
 
 def _text_scores(names: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
-        columns = {c: block[c][0].values for c in names}
-        symbols, starts = joined_texts(utf8(columns["text"]))
+        symbols, starts = joined_texts(texts_of(block["text"][0], block["sizes"][0]))
         known = distinct_grams(symbols, starts)
         shard = _shard_of(known >> np.uint32(8) & np.uint32(0xFFFF))
         logs = np.zeros(len(known), dtype=np.float32)
@@ -266,8 +293,8 @@ def _text_scores(names: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
             scores[first:last] += np.add.reduceat(each, cuts)
         tokens = np.diff(np.r_[starts, len(symbols)]) - ORDER + 1
         return pa.Table.from_arrays(
-            [*(columns[c] for c in names if c != "text"), pa.array(tokens), pa.array(scores)],
-            names=[*(c for c in names if c != "text"), "n_tokens", "score"])
+            [*(block[c][0].values for c in names), pa.array(tokens), pa.array(scores)],
+            names=[*names, "n_tokens", "score"])
 
     return run
 
@@ -278,15 +305,16 @@ def text_scores(texts: DataFrame, counts: dict[int, DataFrame]) -> DataFrame:
     The score is the log10 of the text's probability under the model of the n-gram counts.
     """
     rest = [f for f in texts.schema.fields if f.name != "text"]
-    names = ["text", *(f.name for f in rest)]
+    names = [f.name for f in rest]
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rest)
     arrays = ", ".join(f"{f.name} array<{f.dataType.simpleString()}>" for f in rest)
     blocks = materialise(
-        texts.select(F.col("text").cast("binary").alias("text"), *names[1:]).mapInArrow(
-            _in_blocks(names), f"block bigint, text array<binary>, {arrays}"), "text_blocks")
+        texts.select(F.col("text").cast("binary").alias("text"), *names).mapInArrow(
+            _in_blocks(names), f"block bigint, text binary, sizes array<bigint>, {arrays}"),
+        "text_blocks")
     copies = max(1, -(-blocks.count() // BLOCKS_TOGETHER))
     copy = F.pmod(F.xxhash64("block"), F.lit(copies)).alias("copy")
-    requests = blocks.select("block", "text").mapInArrow(
+    requests = blocks.select("block", "text", "sizes").mapInArrow(
         _requests, "block bigint, shard int, codes binary").select("*", copy)
     tables = model_tables(counts)
     model = sharded_model(tables).withColumn(
@@ -375,9 +403,8 @@ def scored(texts: DataFrame, labels: DataFrame, sample: int = SAMPLE, quantile:
                       .select("doc_id").distinct(), "training_ids")
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    training = materialise(
-        join_small(texts.select("doc_id", "lang", "text"), places, "lang", languages)
-        .filter(learnt).join(ids, "doc_id").select("text"), "trusted_documents")
+    training = join_small(texts.select("doc_id", "lang", "text"), places, "lang", languages) \
+        .filter(learnt).join(ids, "doc_id").select("text")
     scores = text_scores(texts, gram_counts(training))
     judged_by = materialise(
         join_small(scores, places, "lang", languages).filter(~learnt)
