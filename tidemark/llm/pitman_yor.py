@@ -1,21 +1,21 @@
 """A hierarchical Pitman-Yor language model, sampled over the cluster.
 
-The context of a token is the ending of the word before it: its last two bytes, folded to 64
-symbols each, so there are 4,096 context restaurants. Those whose words end alike share one of
-64 parent restaurants, which share the root, whose base is uniform over the V known words and
-one unknown word. Customers of a context restaurant are the training tokens that follow it;
+The context of a token is the word before it, known by its last byte, folded to 64 symbols, and
+10 bits of its hash, so there are 65,536 context restaurants. Those whose words end alike share
+one of 64 parent restaurants, which share the root, whose base is uniform over the V known words
+and one unknown word. Customers of a context restaurant are the training tokens that follow it;
 every table of a restaurant is a customer of its parent.
 
 The seating is sampled by Gibbs sweeps. A sweep draws the number of tables of every dish in
-every restaurant given the probabilities of its parent and the totals of the sweep before: with
-c customers, t tables have probability proportional to S(c, t) * a**t, where S is a generalised
+every restaurant given the probabilities of its parent and the totals of a run of sweeps before,
+the same for all sweeps of a run: with c customers, t tables have probability proportional to S(c, t) * a**t, where S is a generalised
 Stirling number (all seatings of c customers at t tables) and a the weight of a new table. From
 WHOLE customers on, the rest are seated one after another, skipping to the next one that opens
 a table. A text's probability is the mean of the predictive probabilities over the samples; the
 totals of each sample are exact, so the probabilities of a context sum to one.
 
 How it is spread out: a dish (a word) lives in one shard with all of its restaurants, so seating
-needs only the totals of the restaurants from elsewhere, 4,161 numbers. Documents are cut into
+needs only the totals of the restaurants from elsewhere, 65,601 numbers. Documents are cut into
 blocks of text. A block counts its different (word, context) pairs and sends each once, so a hot
 word costs a row per block at most. A shard's requests are united some FAN_IN at a time, level by
 level, so no task holds those of all blocks, however hot a word. The shards answer with a
@@ -23,7 +23,7 @@ probability for each pair, the answers go down the same levels, and the blocks s
 documents. Columns of numbers travel compressed. Blocks, counts and seatings
 are written tables, so a lost executor costs its own tasks.
 
-Words are told apart by 52 bits of a hash. Null and empty texts have one token, the end. A
+Words are told apart by 48 bits of a hash. Null and empty texts have one token, the end. A
 document without an id is trained on. Repeated rows are trained on and scored as often as they
 occur. Other columns do not matter. If no text is trained on, every token is the unknown word.
 An empty table gives an empty table.
@@ -44,8 +44,10 @@ from tidemark.session import materialise
 
 FOLDS = 7
 HELD_OUT = 2
-CONTEXT_BITS = 12
-CONTEXTS, PARENTS = 1 << CONTEXT_BITS, 64
+#: Bits of a context: those of the hash of the word before, below the symbol of its last byte.
+HASH_BITS, SYMBOL_BITS = 10, 6
+CONTEXT_BITS = HASH_BITS + SYMBOL_BITS
+CONTEXTS, PARENTS = 1 << CONTEXT_BITS, 1 << SYMBOL_BITS
 STRENGTH = 1.0
 BURN_IN, SAMPLES = 3, 4
 WHOLE = 64
@@ -56,6 +58,7 @@ SEED = 11
 
 _END = np.uint64(0x9F4E0D5C31B7A268)
 _PAIR_SHIFT = np.uint64(CONTEXT_BITS)
+_GROUP_SHIFT = np.uint64(HASH_BITS)
 _LOW = np.uint64(CONTEXTS - 1)
 
 
@@ -78,10 +81,9 @@ def unpacked(data: bytes, kind: str) -> np.ndarray:
 def pair_keys(text: bytes | None) -> np.ndarray:
     """For each token its word's hash, with the context in the low bits."""
     hashes, tails = words_of(text.lower() if text else b"", BLANKS)
-    ending = FOLD[tails >> 8].astype(np.uint64) * np.uint64(64) + np.where(
-        tails & 255, FOLD[tails & 255], 0).astype(np.uint64)
+    before = FOLD[tails >> 8].astype(np.uint64) << _GROUP_SHIFT | hashes >> np.uint64(64 - HASH_BITS)
     words = np.r_[hashes, _END] >> _PAIR_SHIFT << _PAIR_SHIFT
-    return words | np.r_[np.uint64(0), ending]
+    return words | np.r_[np.uint64(0), before]
 
 
 def _shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -175,13 +177,13 @@ class Shard:
     def __init__(self, keys: np.ndarray, counts: np.ndarray):
         self.keys, self.counts = keys, counts.astype(np.int64)
         self.context = (keys & _LOW).astype(np.int64)
-        group = keys >> np.uint64(6)
+        group = keys >> _GROUP_SHIFT
         word = keys >> _PAIR_SHIFT
         self.group_first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
         self.word_first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
         self.group = np.cumsum(np.r_[False, group[1:] != group[:-1]])
         self.group_word = np.cumsum(np.r_[False, word[1:] != word[:-1]])[self.group_first]
-        self.parent = self.context[self.group_first] >> 6
+        self.parent = self.context[self.group_first] >> HASH_BITS
         self.word_group_first = np.flatnonzero(
             np.r_[True, self.group_word[1:] != self.group_word[:-1]])
         self.word_counts = np.add.reduceat(self.counts, self.word_first)
@@ -351,9 +353,21 @@ def _gather(table: pa.Table) -> pa.Table:
 
 def _summed(rows: DataFrame, column: str) -> np.ndarray:
     """The sum over rows of an array column; its length does not depend on the input."""
-    sums = rows.select(F.posexplode(column)).groupBy("pos").agg(F.sum("col").alias("v"))
-    found = {r["pos"]: r["v"] for r in sums.collect()}
-    return np.array([found[i] for i in range(len(found))])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, kind = 0, None
+        for batch in batches:
+            kind = batch.schema.types[0]
+            for values in batch.column(0):
+                total = total + values.values.to_numpy(zero_copy_only=False)
+        if kind is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total], kind)], names=["v"])
+
+    kind = rows.schema[column].dataType.simpleString()
+    sums = rows.select(column).mapInArrow(run, f"v {kind}").select(F.posexplode("v")) \
+        .groupBy("pos").agg(F.sum("col").alias("v")).toArrow()
+    found = np.zeros(sums.num_rows, dtype=sums["v"].to_numpy().dtype)
+    found[sums["pos"].to_numpy()] = sums["v"].to_numpy()
+    return found
 
 
 def _samples(row: dict, model: Model) -> Iterator[Seating]:
